@@ -6,10 +6,13 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from tickerloom.functions.numeric import growth_rate
 
-BY_YEAR = Window.partitionBy("ticker").orderBy("year")
+
+def _by_year() -> WindowSpec:
+    return Window.partitionBy("ticker").orderBy("year")
 
 
 def _year(tape: DataFrame) -> Column:
@@ -51,9 +54,9 @@ def dividend_change(annual: DataFrame, calendar: bool = False) -> DataFrame:
 
     A missing year is bridged unless `calendar` asks for adjacent years.
     """
-    before = F.lag("annual_dividend").over(BY_YEAR)
+    before = F.lag("annual_dividend").over(_by_year())
     if calendar:
-        before = F.when(F.lag("year").over(BY_YEAR) == F.col("year") - 1, before)
+        before = F.when(F.lag("year").over(_by_year()) == F.col("year") - 1, before)
     return annual.withColumn("dividend_increase", F.col("annual_dividend") - before).withColumn(
         "flag", F.when(F.col("dividend_increase") > 0, 1).otherwise(0)
     )
@@ -66,11 +69,11 @@ def growth_streak(changes: DataFrame) -> DataFrame:
     year never counts as one, so every year has such a position, and a single
     window sort finds both.
     """
-    position = F.row_number().over(BY_YEAR)
+    position = F.row_number().over(_by_year())
     last_break = F.last(F.when(F.col("flag") == 0, F.col("_position")), ignorenulls=True)
     return (
         changes.withColumn("_position", position)
-        .withColumn("grp", last_break.over(BY_YEAR))
+        .withColumn("grp", last_break.over(_by_year()))
         .withColumn("consecutive_growth_years", F.col("_position") - F.col("grp"))
         .drop("_position")
     )
@@ -83,7 +86,7 @@ def qualify_growth(streaks: DataFrame, as_of: datetime, min_streak: int = 5) ->
     filter comes before the frame: a streak that just reached the threshold has a
     rate of zero. The exponent is 1/5 whatever the frame holds.
     """
-    frame = BY_YEAR.rowsBetween(-4, 0)
+    frame = _by_year().rowsBetween(-4, 0)
     rate = growth_rate(
         F.last("annual_dividend").over(frame), F.first("annual_dividend").over(frame), 5
     )
