@@ -377,6 +377,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             dividends.dividend_cagr_calendar(companies_tape(s, d), S.as_of), "calendar_cagr"),
         "log_returns": lambda s, d: rounded(
             returns.log_returns(companies_tape(s, d), S.as_of, S.growth_days), "log_return"),
+        "intraday_returns": lambda s, d: rounded(
+            returns.log_returns(clean.clean_tape(data.event_tape(s, d)), data.EVENTS_AS_OF, 365),
+            "log_return"),
         "market_returns": lambda s, d: rounded(
             returns.market_returns(index_tape(s, d), S.as_of, S.growth_days), "market_return"),
         "beta": beta(paired=False),

@@ -100,15 +100,6 @@ def test_beta_without_market_movement_is_null(spark):
     assert by_ticker(found, "beta") == {"AAA": None}
 
 
-def test_beta_without_broadcast(rows, index, monkeypatch):
-    import tickerloom.functions.sizing as sizing
-
-    monkeypatch.setattr(sizing, "fits", lambda *a, **k: False)
-    assert by_ticker(returns.beta(rows, index, S.as_of), "beta") == near(
-        {"AAA": 0.07773310, "BBB": 0.11298427, "CCC": 0.0, "EEE": 0.77108759}
-    )
-
-
 def test_monthly_beta_of_the_index_is_one(index):
     found = returns.beta_monthly(index, index, S.as_of)
     assert by_ticker(found, "beta_monthly") == near({"^GSPC": 1.0})

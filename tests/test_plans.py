@@ -66,11 +66,15 @@ def test_market_is_broadcast_and_nothing_runs_in_one_task(tape):
     assert "SinglePartition" not in plan
 
 
-def test_returns_share_one_tape_exchange(tape):
-    found = returns.log_returns(tape, S.as_of)
+def test_daily_returns_shuffle_the_tape_once(tape):
+    plan = plan_of(returns.log_returns(tape, S.as_of))
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
+def test_intraday_returns_share_one_tape_exchange(tape):
+    found = returns.log_returns(tape, S.as_of, daily=False)
     found.collect()
-    plan = plan_of(found)
-    final = plan.split("== Initial Plan ==")[0]
+    final = plan_of(found).split("== Initial Plan ==")[0]
     assert "ReusedExchange" in final
     assert final.count("FileScan parquet") == 1
 

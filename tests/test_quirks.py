@@ -1,5 +1,6 @@
 """Behaviour that arrival order, bad values or edge sizes must not change."""
 
+import math
 import random
 from datetime import datetime, timedelta
 
@@ -9,7 +10,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tickerloom.functions.timeline import since, with_previous
+from tickerloom.functions import sizing
+from tickerloom.functions.timeline import is_daily, since, with_previous
 from tickerloom.operators import clean, coverage, dividends, membership, prices, returns
 
 S = SETTINGS
@@ -85,7 +87,7 @@ def test_window_edges_are_inclusive(spark):
         st.tuples(st.sampled_from("AB"), st.integers(0, 4000), st.floats(1, 100)),
         min_size=1, max_size=30, unique_by=lambda r: r[:2],
     ),
-    grain=st.sampled_from(["hour", "day", "month", "year"]),
+    grain=st.sampled_from(["hour", "day", "month", "year", None]),
 )
 def test_previous_row_matches_brute_force(spark, rows, grain):
     start = datetime(2023, 1, 1)
@@ -93,7 +95,8 @@ def test_previous_row_matches_brute_force(spark, rows, grain):
         [(k, start + timedelta(hours=3 * h), v) for k, h, v in rows],
         "k string, t timestamp, v double",
     )
-    found = {(r.k, r.t): r.previous_v for r in with_previous(frame, "k", "t", ["v"], grain).collect()}
+    found = {(r.k, r.t): r.previous_v for r in with_previous(
+        frame, "k", "t", ["v"], daily=grain is None, grain=grain or "day").collect()}
     expected = {}
     for key in "AB":
         own = sorted((start + timedelta(hours=3 * h), v) for k, h, v in rows if k == key)
@@ -103,7 +106,7 @@ def test_previous_row_matches_brute_force(spark, rows, grain):
 
 
 def test_previous_row_of_a_hot_key(spark):
-    """One key holds nearly all rows; its pieces are no larger than a day."""
+    """One key holds nearly all rows; its pieces are no larger than an hour."""
     n = 20_000
     ticks = spark.range(n).select(
         F.lit("HOT").alias("k"),
@@ -114,12 +117,48 @@ def test_previous_row_of_a_hot_key(spark):
         F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 86_400).alias("t"),
         F.col("id").alias("v"),
     ))
-    found = with_previous(ticks, "k", "t", ["v"], grain="day")
+    assert not is_daily(ticks, "t")
+    found = with_previous(ticks, "k", "t", ["v"])
     wrong = found.filter(~F.col("previous_v").eqNullSafe(F.when(F.col("v") > 0, F.col("v") - 1)))
     assert found.count() == n + 3
     assert wrong.count() == 0
 
 
+def test_intraday_beta_equals_brute_force(spark):
+    random.seed(3)
+    start = datetime(2024, 6, 1, 9, 30)
+    rows = [(t, start + timedelta(minutes=25 * i), random.uniform(50, 60), 0.0)
+            for t in ("^GSPC", "AAA") for i in range(300) if random.random() > 0.1]
+    tape = clean.clean_tape(raw_tape(spark, rows))
+    company = clean.company_rows(tape, S.benchmarks)
+    index = clean.instrument_rows(tape, S.market)
+
+    def series(ticker):
+        own = sorted((d, p) for t, d, p, _ in rows if t == ticker)
+        return {d: math.log(p / q) for (_, q), (d, p) in zip(own, own[1:])} | {own[0][0]: None}
+
+    a, m = series("AAA"), series("^GSPC")
+    pairs = [(a[d], m[d]) for d in a if d in m and a[d] is not None and m[d] is not None]
+    market = [m[d] for d in a if m.get(d) is not None]
+    ma, mm = (sum(x) / len(pairs) for x in zip(*pairs))
+    mean = sum(market) / len(market)
+    covariance = sum((x - ma) * (y - mm) for x, y in pairs) / len(pairs)
+    variance = sum((y - mean) ** 2 for y in market) / len(market)
+    expected = {"AAA": pytest.approx(covariance / variance)}
+    assert by_ticker(returns.beta(company, index, S.as_of), "beta") == expected
+
+
+def test_intraday_index_too_long_to_broadcast(spark, monkeypatch):
+    rows = [(t, datetime(2024, 6, 3, h), 50.0 + h * k, 0.0)
+            for k, t in ((1, "^GSPC"), (2, "AAA")) for h in range(9, 17)]
+    tape = clean.clean_tape(raw_tape(spark, rows))
+    args = (clean.company_rows(tape, S.benchmarks), clean.instrument_rows(tape, S.market), S.as_of)
+    expected = by_ticker(returns.beta(*args), "beta")
+    monkeypatch.setattr(sizing, "fits", lambda *a, **k: False)
+    shuffled = by_ticker(returns.beta(*args), "beta")
+    assert shuffled == {k: pytest.approx(v) for k, v in expected.items()}
+
+
 def test_streak_is_no_longer_than_the_years_seen(spark):
     random.seed(5)
     rows = [(t, datetime(y, 3, 1), 1.0, float(random.randint(0, 4)))

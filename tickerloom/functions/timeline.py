@@ -32,27 +32,41 @@ def normalise_utc(column: Column, source_zone: str = "UTC") -> Column:
     return F.to_utc_timestamp(column, source_zone).cast("timestamp")
 
 
+def is_daily(rows: DataFrame, column: str = "date") -> bool:
+    """Whether every value of `column` is a whole day.
+
+    Reads that column alone, and stops at the first time of day it meets.
+    """
+    dtype = rows.schema[column].dataType
+    if isinstance(dtype, T.DateType):
+        return True
+    midnight = F.to_date(column).cast(dtype)
+    return rows.filter(F.col(column) != midnight).isEmpty()
+
+
 def with_previous(
     rows: DataFrame,
     key: str,
     order: str,
     values: list[str],
-    grain: str = "month",
+    daily: bool | None = None,
+    grain: str = "hour",
 ) -> DataFrame:
     """Add `previous_<value>`: the value of the key's preceding row in time.
 
-    `order` must be unique within `key`. A DATE column bounds a key to one row a
-    day, so one window per key does. A timestamp has no such bound and one key
-    may hold much of the table: its rows are then split by `grain`, each piece
-    looks back within itself, and the first row of a piece takes the last value
-    of the key's piece before. Only one row per piece meets in a window per key.
-    Rows without key or time have no place in the order and drop out.
+    `order` must be unique within `key`. Whole days then bound a key to one row a
+    day, and one window per key does. With times of day there is no such bound and
+    one key may hold much of the table: its rows are then split by `grain`, each
+    piece looks back within itself, and the first row of a piece takes the last
+    value of the key's piece before. Only one row per piece meets in a window per
+    key. `daily` says which holds; left out, the data is asked.
     """
-    # Stated up front: inferred on one side of the join only, the same filter
-    # would keep the two sides from sharing their exchange.
+    # Rows without key or time have no place in the order. Stated up front: inferred
+    # on one side of the join only, the same filter would keep its two sides from
+    # sharing their exchange.
     rows = rows.filter(F.col(key).isNotNull() & F.col(order).isNotNull())
-    in_key = Window.partitionBy(key).orderBy(order)
-    if isinstance(rows.schema[order].dataType, T.DateType):
+    if is_daily(rows, order) if daily is None else daily:
+        in_key = Window.partitionBy(key).orderBy(order)
         return rows.withColumns({f"previous_{v}": F.lag(v).over(in_key) for v in values})
 
     # One exchange on (key, piece) serves the look-back, the edges and the join.

@@ -12,6 +12,7 @@ from tickerloom.settings import AnalysisSettings
 SETTINGS = AnalysisSettings(
     as_of=datetime(2001, 8, 1), market="0", risk_free="1", min_streak=2
 )
+EVENTS_AS_OF = datetime(2024, 2, 1)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -239,6 +239,14 @@ def oracle_sql() -> dict[str, str]:
         "log_returns": f"""
             SELECT ticker, date, adj_close, {six('r')} AS log_return FROM returns
             WHERE ticker NOT IN ('0', '1')""",
+        "intraday_returns": f"""
+            , steps AS (
+                SELECT *, lag(adj_close) OVER (PARTITION BY ticker ORDER BY date) AS previous
+                FROM event_tape)
+            SELECT ticker, date, adj_close,
+                   CASE WHEN previous <> 0 AND adj_close / previous > 0
+                        THEN {six('ln(adj_close / previous)')} END AS log_return
+            FROM steps WHERE date >= TIMESTAMP '2023-02-01'""",
         "market_returns": f"SELECT date, {six('m')} AS market_return FROM market",
         "beta": f"SELECT ticker, {six('beta')} AS beta FROM betas",
         "beta_paired": f"SELECT ticker, {six('paired')} AS beta FROM betas",
