@@ -57,11 +57,6 @@ def index_tape(spark: SparkSession, sf: str) -> DataFrame:
     return clean.instrument_rows(tape(spark, sf), S.market)
 
 
-def curated_tape(spark: SparkSession, sf: str) -> DataFrame:
-    """For queries with several passes over the tape: clean it once, store it."""
-    return curated.curate(data.raw_tape(spark, sf), shared_folder(spark, "curated"))
-
-
 def rounded(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({n: F.round(n, 6) for n in names})
 
@@ -110,6 +105,10 @@ def normalise_names(spark, sf):
     return delimited.register_folder(spark, folder, "found_customers", sep="|")
 
 
+def curated_tape(spark, sf):
+    return curated.curate(data.raw_tape(spark, sf), shared_folder(spark, "curated"))
+
+
 def _defective_events(spark, sf):
     """Events as text rows, some of them unreadable."""
     kind, value = F.col("event_type"), F.col("value")
@@ -135,7 +134,7 @@ def quarantine(spark, sf):
 def publish_document(spark, sf):
     folder = shared_folder(spark, "document")
     publish_report(
-        curated_tape(spark, sf), data.companies(spark, sf), S, folder,
+        tape(spark, sf), data.companies(spark, sf), S, folder,
         at(RUN_TIME, T.TimestampType()),
     )
     company = documents.read_companies(spark, folder).select(
@@ -263,15 +262,14 @@ def dividend_change(spark, sf):
     return rounded(dividends.dividend_change(annual), "annual_dividend", "dividend_increase")
 
 
-def rates(spark, sf, source=None):
+def rates(spark, sf):
     return benchmarks.benchmark_rates(
-        tape(spark, sf) if source is None else source,
-        S.market, S.risk_free, S.as_of, S.growth_days,
+        tape(spark, sf), S.market, S.risk_free, S.as_of, S.growth_days
     )
 
 
 def report(spark, sf, settings=S):
-    return company_report(curated_tape(spark, sf), data.companies(spark, sf), settings)
+    return company_report(tape(spark, sf), data.companies(spark, sf), settings)
 
 
 def flagship(spark, sf, settings=S):
@@ -280,9 +278,9 @@ def flagship(spark, sf, settings=S):
 
 
 def gordon_value(spark, sf):
-    source = curated_tape(spark, sf)
-    found = company_report(source, data.companies(spark, sf), S)
-    valued = valuation.gordon_value(found, rates(spark, sf, source), S.market, S.risk_free)
+    valued = valuation.gordon_value(
+        report(spark, sf), rates(spark, sf), S.market, S.risk_free
+    )
     return rounded(valued, "required_return", "next_dividend", "fair_price")
 
 
@@ -294,7 +292,7 @@ def audit(spark, sf):
         ),
         "ticker", "left_semi",
     )
-    return dropped_companies(curated_tape(spark, sf), active, settings)
+    return dropped_companies(tape(spark, sf), active, settings)
 
 
 # --- collector tables ------------------------------------------------------------
@@ -351,7 +349,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "write_snapshot_csv": write_snapshot_csv,
         "stream_ingest": stream_ingest,
         "quarantine": quarantine,
-        "clean_tape": lambda s, d: tape(s, d),
+        "clean_tape": tape,
+        "curated_tape": curated_tape,
         "company_rows": companies_tape,
         "recent_rows": lambda s, d: clean.recent_rows(
             companies_tape(s, d), S.as_of, S.history_days),

@@ -43,11 +43,14 @@ def test_names_that_collide_are_refused(spark):
 def test_tape_files_with_extra_columns(spark, tmp_path):
     (tmp_path / "a.csv").write_text(
         "Date,Ticker,Open,Adj Close,Dividends\n2024-01-02,AAA,1,2.5,0.1\n2024-01-03,AAA,1,,0\n"
+        "2024-01-04,AAA,1\n"
     )
     rows = delimited.read_tape(spark, str(tmp_path)).orderBy("date").collect()
     assert [(r.ticker, r.date, r.adj_close, r.dividends) for r in rows] == [
         ("AAA", "2024-01-02", "2.5", "0.1"), ("AAA", "2024-01-03", None, "0"),
+        ("AAA", "2024-01-04", None, None),
     ]
+    assert [r[delimited.CORRUPT] for r in rows] == [None, None, "2024-01-04,AAA,1"]
 
 
 def test_files_with_different_headers_are_refused(spark, tmp_path):
@@ -77,8 +80,9 @@ def test_bad_rows_are_quarantined_with_reason(spark, tmp_path):
     assert sorted(r.reason for r in bad) == [
         "bad date", "bad dividend", "bad price", "malformed line", "no ticker",
     ]
-    by_reason = {r.reason: json.loads(r.raw_row) for r in bad}
-    assert by_reason["bad price"]["adj_close"] == "x"
+    by_reason = {r.reason: r.raw_row for r in bad}
+    assert json.loads(by_reason["bad price"])["adj_close"] == "x"
+    assert by_reason["malformed line"] == "2024-01-02,AAA,2.5,0.1,extra"
 
 
 def test_snapshots_round_trip(spark, tmp_path):

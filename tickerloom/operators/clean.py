@@ -22,11 +22,10 @@ def dedupe_tape(tape: DataFrame) -> DataFrame:
     order = []
     for name in ranked:
         order += [F.col(name).isNull().alias(f"no_{name}"), F.col(name)]
-    return (
-        tape.groupBy("ticker", "date")
-        .agg(F.min(F.struct(*order)).alias("_row"))
-        .select("ticker", "date", *[F.col(f"_row.{v}").alias(v) for v in values])
-    )
+    # Spark computes the repeated aggregate once. Without a projection on top of it,
+    # joins that filter tickers move below the shuffle.
+    survivor = F.min(F.struct(*order))
+    return tape.groupBy("ticker", "date").agg(*[survivor[v].alias(v) for v in values])
 
 
 def with_calendar(tape: DataFrame) -> DataFrame:

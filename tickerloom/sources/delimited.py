@@ -22,6 +22,7 @@ def read_text_columns(spark: SparkSession, path: str, sep: str = ",") -> DataFra
     raw = (
         spark.read.schema(schema)
         .option("enforceSchema", False)
+        .option("columnPruning", False)  # a pruned read does not count the fields of a line
         .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(path, sep=sep, header=True)
     )

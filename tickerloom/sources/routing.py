@@ -29,10 +29,16 @@ def quarantine_reason(tape: DataFrame) -> Column:
 
 
 def route(tape: DataFrame) -> DataFrame:
-    """Add `reason` and `route`; refused rows keep their text in `raw_row`."""
+    """Add `reason` and `route`; refused rows keep their text in `raw_row`.
+
+    That is the line itself when it was malformed, else its fields as JSON.
+    """
     source = ["ticker", "date", "adj_close", "dividends"]
     judged = tape.withColumn("reason", quarantine_reason(tape))
     refused = F.col("reason").isNotNull()
+    text = F.to_json(F.struct(*source))
+    if CORRUPT in tape.columns:
+        text = F.coalesce(F.col(CORRUPT), text)
     extra = [c for c in judged.columns if c not in (*source, CORRUPT, "reason")]
     return judged.select(
         "ticker",
@@ -41,7 +47,7 @@ def route(tape: DataFrame) -> DataFrame:
         F.col("dividends").try_cast("double").alias("dividends"),
         *extra,
         "reason",
-        F.when(refused, F.to_json(F.struct(*source))).alias("raw_row"),
+        F.when(refused, text).alias("raw_row"),
         F.when(refused, QUARANTINED).otherwise(ACCEPTED).alias("route"),
     )
 

@@ -183,6 +183,7 @@ def oracle_sql() -> dict[str, str]:
                 FROM events)
             SELECT * FROM judged""",
         "clean_tape": "SELECT * FROM tape",
+        "curated_tape": "SELECT * FROM tape",
         "company_rows": "SELECT * FROM comp",
         "recent_rows": "SELECT * FROM comp WHERE date >= TIMESTAMP '2000-08-01'",
         "normalise_utc": """

@@ -27,6 +27,7 @@ def tape_stream(spark: SparkSession, folder: str, header: list[str] | None = Non
         spark.readStream.schema(schema)
         .option("header", True)
         .option("enforceSchema", False)
+        .option("columnPruning", False)  # a pruned read does not count the fields of a line
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("pathGlobFilter", "*.csv")
         .option("recursiveFileLookup", True)
