@@ -193,6 +193,8 @@ def test_membership_of_one_and_no_snapshot(spark):
     one = snapshots(spark, 1)
     assert membership.new_members(one).count() == 5
     assert membership.previous_members(one).count() == 0
+    undated = one.limit(1).withColumn("updated_at", F.lit(None).cast("timestamp"))
+    assert membership.previous_members(one.unionByName(undated)).count() == 0
     none = snapshots(spark, 0)
     assert membership.snapshot_diff(none).count() == 0
     assert membership.latest_members(none).count() == 0

@@ -30,8 +30,9 @@ def latest_company(snapshots: DataFrame) -> DataFrame:
 
 
 def snapshot_times(snapshots: DataFrame, count: int = 2) -> DataFrame:
-    """The newest `count` distinct snapshot times."""
-    return snapshots.select("updated_at").distinct().orderBy(F.desc("updated_at")).limit(count)
+    """The newest `count` distinct snapshot times; a missing time is none."""
+    times = snapshots.select("updated_at").filter(F.col("updated_at").isNotNull()).distinct()
+    return times.orderBy(F.desc("updated_at")).limit(count)
 
 
 def _last_two(snapshots: DataFrame) -> DataFrame:
