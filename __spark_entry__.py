@@ -357,6 +357,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "normalise_utc": utc,
         "dedupe_tape": lambda s, d: clean.dedupe_tape(data.raw_tape(s, d)),
         "latest_company": lambda s, d: membership.latest_company(data.snapshots(s, d)),
+        "current_company": lambda s, d: membership.latest_company(
+            data.snapshots(s, d), members_only=True),
         "snapshot_times": lambda s, d: membership.snapshot_times(data.snapshots(s, d)),
         "latest_members": lambda s, d: membership.latest_members(data.snapshots(s, d)),
         "previous_members": lambda s, d: membership.previous_members(data.snapshots(s, d)),
@@ -372,6 +374,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dividend_growth": lambda s, d: rounded(
             dividends.dividend_growth(companies_tape(s, d), S.as_of, S.min_streak),
             "five_year_cagr"),
+        "dividend_growth_calendar": lambda s, d: rounded(
+            dividends.dividend_growth(
+                companies_tape(s, d), S.as_of, S.min_streak, calendar=True),
+            "five_year_cagr"),
         "dividend_cagr_calendar": lambda s, d: rounded(
             dividends.dividend_cagr_calendar(companies_tape(s, d), S.as_of), "calendar_cagr"),
         "log_returns": lambda s, d: rounded(
@@ -392,6 +398,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dividend_history": lambda s, d: prices.dividend_history(
             companies_tape(s, d), S.as_of, S.history_days),
         "benchmark_rates": lambda s, d: rounded(rates(s, d), "rate"),
+        "index_rate_calendar": lambda s, d: rounded(
+            benchmarks.index_rate(
+                tape(s, d), S.market, S.as_of, S.growth_days, calendar=True),
+            "rate"),
         "company_report": flagship,
         "dropped_companies": audit,
         "gordon_value": gordon_value,

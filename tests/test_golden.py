@@ -73,6 +73,7 @@ def test_calendar_streak_breaks_at_a_missing_year(spark):
     as_of = datetime(2024, 7, 1)
     bridged = dividends.dividend_growth(tape, as_of, 1)
     adjacent = dividends.dividend_growth(tape, as_of, 1, calendar=True)
+    assert by_ticker(adjacent, "five_year_cagr") == near({"A": (2023 / 2019) ** 0.25 - 1})
     assert by_ticker(bridged, "consecutive_growth_years") == {"A": 4}
     assert by_ticker(adjacent, "consecutive_growth_years") == {"A": 2}
 
@@ -132,6 +133,9 @@ def test_histories(rows):
 def test_benchmark_rates(tape):
     found = benchmarks.benchmark_rates(tape, S.market, S.risk_free, S.as_of)
     assert by_ticker(found, "rate") == near({"^GSPC": 0.12723451, "^TNX": 0.043})
+    apart = benchmarks.index_rate(tape, S.market, S.as_of).unionByName(
+        benchmarks.risk_free_rate(tape, S.risk_free))
+    assert by_ticker(apart, "rate") == by_ticker(found, "rate")
 
 
 def test_report_and_value(spark, tape):

@@ -186,6 +186,8 @@ def test_membership(spark):
     assert status == {"AAA": "retained", "BBB": "retained", "EEE": "retained", "^TNX": "retained",
                       "^GSPC": "retained", "FFF": "added", "CCC": "removed"}
     names = {r["ticker"]: r["name"] for r in membership.latest_company(shots).collect()}
+    current = membership.latest_company(shots, members_only=True)
+    assert sorted(r["ticker"] for r in current.collect()) == symbols(membership.latest_members(shots))
     assert names["AAA"] == "AAA at 2024-07-01" and names["CCC"] == "CCC at 2024-06-28"
 
 

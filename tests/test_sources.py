@@ -94,6 +94,32 @@ def test_snapshots_round_trip(spark, tmp_path):
     assert sorted(back.collect()) == sorted(shots.select(back.columns).collect())
 
 
+def test_a_run_written_again_replaces_itself_only(spark, tmp_path):
+    path, shots = str(tmp_path / "runs"), snapshots(spark)
+    delimited.write_snapshots(shots, path)
+    delimited.write_snapshots(shots.filter("updated_at = '2024-06-28'"), path)
+    assert delimited.read_snapshots(spark, path).count() == shots.count()
+
+
+def test_fetched_rows_land_under_their_output_key(spark, tmp_path):
+    path = str(tmp_path / "data")
+    plan = collector.fetch_plan(
+        spark.createDataFrame([("AAA",)], "symbol string"),
+        spark.createDataFrame([("BBB",)], "symbol string"), RUN, "run.csv",
+    )
+    keyed = raw_tape(spark).join(
+        plan.select(F.col("symbol").alias("ticker"), "output_key"), "ticker"
+    )
+    for _ in range(2):
+        delimited.write_tape(keyed, path)
+    names = {p.name for p in Path(path).glob("output_key=*")}
+    assert names == {"output_key=run-daily.csv", "output_key=run-historical-batch-0.csv"}
+    header = ["Date", "Ticker", "Adj Close", "Dividends"]
+    folder = f"{path}/output_key=run-daily.csv"
+    assert delimited.read_tape(spark, folder, header).count() == 9
+    assert delimited.read_tape(spark, path).count() == keyed.count()
+
+
 def test_folder_is_found_and_registered(spark, tmp_path):
     (tmp_path / "a.csv").write_text("Symbol|GICS Sector|Founded\nA|Tech|1999\nB|Energy|2001\n")
     delimited.register_folder(spark, str(tmp_path), "found", sep="|")
@@ -242,10 +268,11 @@ def test_jobs_from_folder_to_document(spark, tmp_path):
     plan = membership_job(spark, runs, str(tmp_path / "worklist"), RUN, "2024-07-01-00-00-00.csv")
     assert plan.count() == 7
     assert whole(tmp_path / "worklist")["New_Tickers"] == ["FFF"]
-    report = analysis_job(
-        spark, tape, runs, str(tmp_path / "routed"), str(tmp_path / "curated"),
-        str(tmp_path / "doc"), S, RUN,
-    )
+    for _ in range(2):
+        report = analysis_job(
+            spark, tape, runs, str(tmp_path / "routed"), str(tmp_path / "curated"),
+            str(tmp_path / "doc"), S, RUN,
+        )
     assert sorted(r.ticker for r in report.collect()) == ["AAA", "BBB"]
     assert [c["name"] for c in whole(tmp_path / "doc")[0]["companies"]] == [
         "AAA at 2024-07-01", "BBB at 2024-07-01"]

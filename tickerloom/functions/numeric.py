@@ -10,9 +10,9 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return F.try_divide(numerator, denominator)
 
 
-def growth_rate(last: Column, first: Column, periods: float) -> Column:
+def growth_rate(last: Column, first: Column, periods: float | Column) -> Column:
     """Compound rate that turns `first` into `last` over `periods` steps."""
-    return F.pow(ratio(last, first), F.lit(1.0 / periods)) - 1
+    return F.pow(ratio(last, first), ratio(F.lit(1.0), F.lit(periods))) - 1
 
 
 def log_return(price: Column, previous: Column) -> Column:

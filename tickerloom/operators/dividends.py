@@ -79,13 +79,23 @@ def growth_streak(changes: DataFrame) -> DataFrame:
     )
 
 
-def qualify_growth(streaks: DataFrame, as_of: datetime, min_streak: int = 5) -> DataFrame:
+def qualify_growth(streaks: DataFrame, as_of: datetime, min_streak: int = 5,
+                   calendar: bool = False) -> DataFrame:
     """Tickers whose streak reaches `min_streak` and still lives in the last full year.
 
     The growth rate looks over the last five *qualifying* years, so the streak
     filter comes before the frame: a streak that just reached the threshold has a
-    rate of zero. The exponent is 1/5 whatever the frame holds.
+    rate of zero. The exponent is 1/5 whatever the frame holds. `calendar` compares
+    with the dividend of exactly four years before instead, over four periods.
     """
+    if calendar:
+        base = F.first("annual_dividend").over(_by_year().rangeBetween(-4, -4))
+        rated = streaks.withColumn(
+            "five_year_cagr", growth_rate(F.col("annual_dividend"), base, 4)
+        )
+        return rated.filter(
+            (F.col("consecutive_growth_years") >= min_streak) & (F.col("year") == as_of.year - 1)
+        )
     frame = _by_year().rowsBetween(-4, 0)
     rate = growth_rate(
         F.last("annual_dividend").over(frame), F.first("annual_dividend").over(frame), 5
@@ -99,9 +109,12 @@ def qualify_growth(streaks: DataFrame, as_of: datetime, min_streak: int = 5) ->
 
 def dividend_growth(tape: DataFrame, as_of: datetime, min_streak: int = 5,
                     calendar: bool = False) -> DataFrame:
-    """Dividend growers with payment frequency, streak and growth rate."""
+    """Dividend growers with payment frequency, streak and growth rate.
+
+    `calendar` wants adjacent years in a streak and four calendar years in the rate.
+    """
     streaks = growth_streak(dividend_change(annual_dividends(tape), calendar))
-    return qualify_growth(streaks, as_of, min_streak).select(
+    return qualify_growth(streaks, as_of, min_streak, calendar).select(
         "ticker", "dividend_frequency", "consecutive_growth_years", "five_year_cagr"
     )
 

@@ -8,18 +8,25 @@ from pyspark.sql import functions as F
 ATTRIBUTES = ["security", "gics_sector", "gics_sub_industry"]
 
 
-def latest_company(snapshots: DataFrame) -> DataFrame:
+def latest_company(snapshots: DataFrame, members_only: bool = False) -> DataFrame:
     """Newest attributes of every symbol ever seen, under report names.
 
-    Equal times fall back to the smallest attributes. The row limit per symbol is
+    `members_only` leaves out symbols that the latest snapshot no longer has. Equal
+    times fall back to the smallest attributes. The row limit per symbol is
     applied before the shuffle as well, so a symbol with many copies is no burden.
     """
     newest = Window.partitionBy("symbol").orderBy(
         F.desc("updated_at"), *[F.asc_nulls_last(a) for a in ATTRIBUTES]
     )
+    newest_rows = snapshots.withColumn("_position", F.row_number().over(newest)).filter(
+        F.col("_position") == 1
+    )
+    if members_only:
+        # One broadcast row by construction.
+        latest = F.broadcast(snapshot_times(snapshots, 1))
+        newest_rows = newest_rows.join(latest, "updated_at", "left_semi")
     return (
-        snapshots.withColumn("_position", F.row_number().over(newest))
-        .filter(F.col("_position") == 1)
+        newest_rows
         .select(
             F.col("symbol").alias("ticker"),
             F.col("security").alias("name"),

@@ -15,14 +15,19 @@ def publish_report(tape: DataFrame, companies: DataFrame, settings: AnalysisSett
                    path: str, updated_at: Column, keep_nulls: bool = False) -> DataFrame:
     """Store the report as a table, publish the document at `path`, return the table.
 
-    The document's lines read the report more than once, hence the stored table.
+    Sorting the document's lines reads their sources more than once, hence the stored
+    report and rates.
     """
+    spark = tape.sparkSession
     report = materialise(
         company_report(tape, companies, settings),
-        shared_folder(tape.sparkSession, "report"),
+        shared_folder(spark, "report"),
     )
-    rates = benchmark_rates(
-        tape, settings.market, settings.risk_free, settings.as_of, settings.growth_days
+    rates = materialise(
+        benchmark_rates(
+            tape, settings.market, settings.risk_free, settings.as_of, settings.growth_days
+        ),
+        shared_folder(spark, "rates"),
     )
     publish_document(report, rates, path, updated_at, keep_nulls)
     return report

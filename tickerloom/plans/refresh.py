@@ -34,10 +34,11 @@ def analysis_job(spark: SparkSession, tape_folder: str, snapshot_folder: str,
                  settings: AnalysisSettings, run_time: datetime) -> DataFrame:
     """Route raw price files, curate the good rows, publish the document.
 
-    Refused rows stay in `routed_folder` with their reason. Returns the report table.
+    Every run reads all of `tape_folder` and replaces what an earlier run wrote. Refused
+    rows stay in `routed_folder` with their reason. Returns the report table.
     """
-    write_routed(route(read_tape(spark, tape_folder)), routed_folder)
-    tape = curate(read_route(spark, routed_folder, ACCEPTED), curated_folder)
+    write_routed(route(read_tape(spark, tape_folder)), routed_folder, "overwrite")
+    tape = curate(read_route(spark, routed_folder, ACCEPTED), curated_folder, "overwrite")
     companies = latest_company(read_snapshots(spark, snapshot_folder))
     stamp = at(run_time, SNAPSHOT["updated_at"].dataType)
     return publish_report(tape, companies, settings, document_path, stamp)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tickerloom.operators.clean import clean_tape
 
 
-def write_curated(tape: DataFrame, path: str) -> None:
+def write_curated(tape: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Write a clean tape in `year` folders, ordered by ticker inside each file.
 
     The rebalance hint sizes files: it splits a heavy year over several tasks and
@@ -20,7 +20,7 @@ def write_curated(tape: DataFrame, path: str) -> None:
         .hint("rebalance", "year")
         .sortWithinPartitions("year", "ticker", "date")
         .write.partitionBy("year")
-        .mode("errorifexists")
+        .mode(mode)
         .parquet(path)
     )
 
@@ -29,9 +29,9 @@ def read_curated(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def curate(raw: DataFrame, path: str) -> DataFrame:
+def curate(raw: DataFrame, path: str, mode: str = "errorifexists") -> DataFrame:
     """Clean `raw` into the curated layout at `path` and read it back."""
     tape = clean_tape(raw).drop("month")
-    write_curated(tape, path)
+    write_curated(tape, path, mode)
     schema = tape.select("ticker", "date", "adj_close", "dividends", "year").schema
     return raw.sparkSession.read.schema(schema).parquet(path).withColumn("month", F.month("date"))

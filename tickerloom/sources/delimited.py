@@ -11,13 +11,14 @@ from tickerloom.functions.names import normalise_names, snake
 CORRUPT = "_corrupt_record"
 
 
-def read_text_columns(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+def read_text_columns(spark: SparkSession, path: str, sep: str = ",",
+                      header: list[str] | None = None) -> DataFrame:
     """All columns as text under normalised names, malformed lines kept aside.
 
-    The header of one file gives the names; a file with another header stops the
-    read instead of filling the wrong columns.
+    The header of one file gives the names, unless `header` does; a file with another
+    header stops the read instead of filling the wrong columns.
     """
-    names = spark.read.csv(path, sep=sep, header=True).columns
+    names = header or spark.read.csv(path, sep=sep, header=True).columns
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
     raw = (
         spark.read.schema(schema)
@@ -34,9 +35,9 @@ def file_age_rank() -> F.Column:
     return -F.unix_micros(F.col("_metadata.file_modification_time"))
 
 
-def read_tape(spark: SparkSession, path: str) -> DataFrame:
+def read_tape(spark: SparkSession, path: str, header: list[str] | None = None) -> DataFrame:
     """Raw text tape: ticker, date, adj_close, dividends, rank of its file."""
-    return read_text_columns(spark, path).select(
+    return read_text_columns(spark, path, header=header).select(
         "ticker", "date", "adj_close", "dividends", CORRUPT,
         file_age_rank().alias("source_rank"),
     )
@@ -51,9 +52,10 @@ def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_snapshots(universe: DataFrame, path: str) -> None:
-    """Append a collection run as pipe-separated files in a folder named by its time.
+    """Write a collection run as pipe-separated files in a folder named by its time.
 
-    Column names in the files are the ones that the reader expects.
+    A run written again replaces its own folder only. Column names in the files are
+    the ones that the reader expects.
     """
     (
         universe.select(
@@ -65,15 +67,17 @@ def write_snapshots(universe: DataFrame, path: str) -> None:
             F.date_format("updated_at", "yyyy-MM-dd-HH-mm-ss").alias("run"),
         )
         .write.partitionBy("run")
-        .mode("append")
+        .option("partitionOverwriteMode", "dynamic")
+        .mode("overwrite")
         .csv(path, sep="|", header=True)
     )
 
 
-def write_tape(tape: DataFrame, path: str, mode: str = "append") -> None:
-    """Append tape rows as comma-separated files with the collector's headers.
+def write_tape(tape: DataFrame, path: str) -> None:
+    """Write tape rows as comma-separated files with the collector's headers.
 
-    With an `output_key` column each key gets its own folder.
+    With an `output_key` column each key has its own folder, and a key written again
+    replaces it. Without one the rows are appended.
     """
     columns = [
         F.col("date").cast("string").alias("Date"),
@@ -82,10 +86,15 @@ def write_tape(tape: DataFrame, path: str, mode: str = "append") -> None:
         F.col("dividends").alias("Dividends"),
     ]
     if "output_key" in tape.columns:
-        writer = tape.select(*columns, "output_key").write.partitionBy("output_key")
+        writer = (
+            tape.select(*columns, "output_key")
+            .write.partitionBy("output_key")
+            .option("partitionOverwriteMode", "dynamic")
+            .mode("overwrite")
+        )
     else:
-        writer = tape.select(*columns).write
-    writer.mode(mode).csv(path, header=True)
+        writer = tape.select(*columns).write.mode("append")
+    writer.csv(path, header=True)
 
 
 def register_folder(spark: SparkSession, path: str, name: str, sep: str = ",",

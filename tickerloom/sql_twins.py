@@ -137,6 +137,10 @@ def six(expression: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    index_growth = (
+        "pow(arg_max_null(adj_close, date) / arg_min_null(adj_close, date), "
+        "365.0 / date_diff('day', min(date), max(date))) - 1"
+    )
     selects = {
         "scan_tape": "SELECT ticker, date, adj_close, dividends FROM raw_tape",
         "scan_snapshots": "SELECT * FROM snapshots",
@@ -191,6 +195,7 @@ def oracle_sql() -> dict[str, str]:
             FROM events""",
         "dedupe_tape": "SELECT ticker, date, adj_close, dividends FROM tape",
         "latest_company": "SELECT * FROM newest",
+        "current_company": "SELECT n.* FROM newest n JOIN now_in ON ticker = symbol",
         "snapshot_times": "SELECT * FROM times",
         "latest_members": "SELECT * FROM now_in",
         "previous_members": "SELECT * FROM before_in",
@@ -232,6 +237,12 @@ def oracle_sql() -> dict[str, str]:
         "dividend_growth": f"""
             SELECT ticker, dividend_frequency, consecutive_growth_years,
                    {six('five_year_cagr')} AS five_year_cagr FROM growth""",
+        "dividend_growth_calendar": f"""
+            SELECT s.ticker, s.dividend_frequency, CAST(s.streak AS INTEGER) AS consecutive_growth_years,
+                   {six('pow(s.annual_dividend / nullif(a.annual_dividend, 0), 0.25) - 1')}
+                       AS five_year_cagr
+            FROM streaks s LEFT JOIN annual a ON a.ticker = s.ticker AND a.year = 1996
+            WHERE s.year = 2000 AND s.streak >= 2""",
         "dividend_cagr_calendar": f"""
             SELECT b.ticker, b.year, {six('pow(b.annual_dividend / nullif(a.annual_dividend, 0), 0.25) - 1')}
                        AS calendar_cagr
@@ -269,6 +280,9 @@ def oracle_sql() -> dict[str, str]:
             SELECT ticker, date, dividends FROM comp
             WHERE date >= TIMESTAMP '2000-08-01' AND dividends > 0""",
         "benchmark_rates": f"SELECT ticker, {six('rate')} AS rate FROM rates",
+        "index_rate_calendar": f"""
+            SELECT ticker, {six(index_growth)} AS rate
+            FROM tape WHERE ticker = '0' AND date >= TIMESTAMP '1996-08-02' GROUP BY ticker""",
         "company_report": f"""
             SELECT * REPLACE ({six('beta')} AS beta, {six('five_year_cagr')} AS five_year_cagr)
             FROM report""",
