@@ -72,7 +72,7 @@ def test_daily_returns_shuffle_the_tape_once(tape):
 
 
 def test_intraday_returns_share_one_tape_exchange(tape):
-    found = returns.log_returns(tape, S.as_of, daily=False)
+    found = returns.log_returns(tape, S.as_of, coarse=False)
     found.collect()
     final = plan_of(found).split("== Initial Plan ==")[0]
     assert "ReusedExchange" in final

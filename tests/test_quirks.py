@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tickerloom.functions import sizing
-from tickerloom.functions.timeline import is_daily, since, with_previous
+from tickerloom.functions.timeline import is_coarse, since, with_previous
 from tickerloom.operators import clean, coverage, dividends, membership, prices, returns
 
 S = SETTINGS
@@ -96,7 +96,7 @@ def test_previous_row_matches_brute_force(spark, rows, grain):
         "k string, t timestamp, v double",
     )
     found = {(r.k, r.t): r.previous_v for r in with_previous(
-        frame, "k", "t", ["v"], daily=grain is None, grain=grain or "day").collect()}
+        frame, "k", "t", ["v"], coarse=grain is None, grain=grain or "day").collect()}
     expected = {}
     for key in "AB":
         own = sorted((start + timedelta(hours=3 * h), v) for k, h, v in rows if k == key)
@@ -105,6 +105,19 @@ def test_previous_row_matches_brute_force(spark, rows, grain):
     assert found == expected
 
 
+@pytest.mark.parametrize("times, coarse", [
+    (["2024-01-02", "2024-07-02"], True),
+    (["2024-01-02 05:00:00", "2024-07-02 04:00:00", None], True),  # midnights of a zone
+    (["2024-01-02 18:30:00", "2024-01-02 18:45:00"], True),
+    (["2024-01-02", "2024-01-02 09:31:00"], False),
+    (["2024-01-02", "2024-01-02 09:30:00.000001"], False),
+])
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_coarse_times(spark, times, coarse, kind):
+    rows = spark.createDataFrame([(t,) for t in times], "t string")
+    assert is_coarse(rows.select(F.col("t").cast(kind).alias("date"))) is coarse
+
+
 def test_previous_row_of_a_hot_key(spark):
     """One key holds nearly all rows; its pieces are no larger than an hour."""
     n = 20_000
@@ -117,7 +130,7 @@ def test_previous_row_of_a_hot_key(spark):
         F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 86_400).alias("t"),
         F.col("id").alias("v"),
     ))
-    assert not is_daily(ticks, "t")
+    assert not is_coarse(ticks, "t")
     found = with_previous(ticks, "k", "t", ["v"])
     wrong = found.filter(~F.col("previous_v").eqNullSafe(F.when(F.col("v") > 0, F.col("v") - 1)))
     assert found.count() == n + 3

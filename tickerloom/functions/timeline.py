@@ -32,16 +32,24 @@ def normalise_utc(column: Column, source_zone: str = "UTC") -> Column:
     return F.to_utc_timestamp(column, source_zone).cast("timestamp")
 
 
-def is_daily(rows: DataFrame, column: str = "date") -> bool:
-    """Whether every value of `column` is a whole day.
+# Times of day that a coarse column can hold.
+COARSE_TIMES_A_DAY = 24 * 4
 
-    Reads that column alone, and stops at the first time of day it meets.
+
+def is_coarse(rows: DataFrame, column: str = "date") -> bool:
+    """Whether every time is a whole quarter of an hour.
+
+    Daily tapes are: midnight of any time zone falls on one. With one row per key and
+    time, a key then has at most `COARSE_TIMES_A_DAY` rows a day. Reads that column
+    alone, and stops at the first finer time it meets.
     """
     dtype = rows.schema[column].dataType
     if isinstance(dtype, T.DateType):
         return True
-    midnight = F.to_date(column).cast(dtype)
-    return rows.filter(F.col(column) != midnight).isEmpty()
+    finer = ~F.minute(column).isin(0, 15, 30, 45) | (
+        F.col(column) != F.date_trunc("minute", column).cast(dtype)
+    )
+    return rows.filter(finer).isEmpty()
 
 
 def with_previous(
@@ -49,23 +57,23 @@ def with_previous(
     key: str,
     order: str,
     values: list[str],
-    daily: bool | None = None,
+    coarse: bool | None = None,
     grain: str = "hour",
 ) -> DataFrame:
     """Add `previous_<value>`: the value of the key's preceding row in time.
 
-    `order` must be unique within `key`. Whole days then bound a key to one row a
-    day, and one window per key does. With times of day there is no such bound and
-    one key may hold much of the table: its rows are then split by `grain`, each
-    piece looks back within itself, and the first row of a piece takes the last
-    value of the key's piece before. Only one row per piece meets in a window per
-    key. `daily` says which holds; left out, the data is asked.
+    `order` must be unique within `key`. Coarse times (see `is_coarse`) then bound the
+    rows of a key, and one window per key does. Finer ones do not, and one key may hold
+    much of the table: its rows are then split by `grain`, each piece looks back within
+    itself, and the first row of a piece takes the last value of the key's piece
+    before. Only one row per piece meets in a window per key. `coarse` says which
+    holds; left out, the data is asked.
     """
     # Rows without key or time have no place in the order. Stated up front: inferred
     # on one side of the join only, the same filter would keep its two sides from
     # sharing their exchange.
     rows = rows.filter(F.col(key).isNotNull() & F.col(order).isNotNull())
-    if is_daily(rows, order) if daily is None else daily:
+    if is_coarse(rows, order) if coarse is None else coarse:
         in_key = Window.partitionBy(key).orderBy(order)
         return rows.withColumns({f"previous_{v}": F.lag(v).over(in_key) for v in values})
 

@@ -8,29 +8,29 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickerloom.functions.numeric import log_return, ratio
-from tickerloom.functions.sizing import broadcast_if_fits
-from tickerloom.functions.timeline import is_daily, with_previous
+from tickerloom.functions.sizing import BROADCAST_ROWS, broadcast_if_fits
+from tickerloom.functions.timeline import COARSE_TIMES_A_DAY, is_coarse, with_previous
 from tickerloom.operators.clean import recent_rows
 
 
 def log_returns(tape: DataFrame, as_of: datetime, days: int = 365 * 5,
-                daily: bool | None = None) -> DataFrame:
+                coarse: bool | None = None) -> DataFrame:
     """Log return of every row inside the window; a ticker's first row has none.
 
-    The window filter comes first, so nothing is carried in from before it. `daily`
-    promises dates without time of day; left out, the tape is checked for it.
+    The window filter comes first, so nothing is carried in from before it. `coarse`
+    promises a tape of daily or similarly coarse rows; left out, the data is asked.
     """
     rows = recent_rows(tape, as_of, days).select("ticker", "date", "adj_close")
-    return with_previous(rows, "ticker", "date", ["adj_close"], daily).select(
+    return with_previous(rows, "ticker", "date", ["adj_close"], coarse).select(
         "ticker", "date", "adj_close",
         log_return(F.col("adj_close"), F.col("previous_adj_close")).alias("log_return"),
     )
 
 
 def market_returns(index: DataFrame, as_of: datetime, days: int = 365 * 5,
-                   daily: bool | None = None) -> DataFrame:
+                   coarse: bool | None = None) -> DataFrame:
     """Log returns of the index rows alone: (date, market_return)."""
-    return log_returns(index, as_of, days, daily).select(
+    return log_returns(index, as_of, days, coarse).select(
         "date", F.col("log_return").alias("market_return")
     )
 
@@ -47,23 +47,22 @@ def _slope(paired: bool) -> Column:
 
 
 def beta(companies: DataFrame, index: DataFrame, as_of: datetime, days: int = 365 * 5,
-         paired: bool = False, daily: bool | None = None) -> DataFrame:
+         paired: bool = False, coarse: bool | None = None) -> DataFrame:
     """Five-year daily beta of every ticker in `companies` against the `index` rows.
 
-    A daily index is broadcast: it has one row per day of the window. An intraday
-    one is counted first, and joined by a shuffle on date when it is too long. The
-    final aggregate combines per task first, so a long ticker costs no more than
-    others.
+    A coarse index is broadcast: the window bounds its rows. A finer one is counted
+    first, and joined by a shuffle on date when it is too long. The final aggregate
+    combines per task first, so a long ticker costs no more than others.
     """
     index_days = recent_rows(index, as_of, days).select("date")
-    daily_index = is_daily(index_days) if daily is None else daily
-    market = market_returns(index, as_of, days, daily_index)
-    if daily_index:
+    coarse_index = is_coarse(index_days) if coarse is None else coarse
+    market = market_returns(index, as_of, days, coarse_index)
+    if coarse_index and days * COARSE_TIMES_A_DAY <= BROADCAST_ROWS:
         market = F.broadcast(market)
     else:
         market = broadcast_if_fits(market, probe=index_days)
     return (
-        log_returns(companies, as_of, days, daily)
+        log_returns(companies, as_of, days, coarse)
         .join(market, "date")
         .groupBy("ticker")
         .agg(_slope(paired).alias("beta"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickerloom.functions.sizing import broadcast_if_fits, fits
-from tickerloom.functions.timeline import is_daily, since
+from tickerloom.functions.timeline import is_coarse, since
 from tickerloom.operators.clean import company_rows, instrument_rows, recent_rows
 from tickerloom.operators.dividends import dividend_growth, growth_with_latest
 from tickerloom.operators.prices import nested_histories
@@ -29,7 +29,9 @@ def company_report(tape: DataFrame, companies: DataFrame, settings: AnalysisSett
     many to broadcast, the joins at the end do the same work unaided.
     """
     rows = company_rows(tape, settings.benchmarks)
-    daily = is_daily(tape) if settings.daily is None else settings.daily
+    coarse = settings.coarse
+    if coarse is None:
+        coarse = is_coarse(recent_rows(tape, settings.as_of, settings.growth_days))
     growers = materialise(
         growth_with_latest(rows, settings.as_of, settings.min_streak),
         shared_folder(tape.sparkSession, "growers"),
@@ -37,7 +39,7 @@ def company_report(tape: DataFrame, companies: DataFrame, settings: AnalysisSett
     if fits(growers):
         rows = rows.join(F.broadcast(growers.select("ticker")), "ticker", "left_semi")
     index = instrument_rows(tape, settings.market)
-    risk = beta(rows, index, settings.as_of, settings.growth_days, daily=daily)
+    risk = beta(rows, index, settings.as_of, settings.growth_days, coarse=coarse)
     histories = nested_histories(
         rows, settings.as_of, settings.price_days, settings.history_days
     )

@@ -21,8 +21,8 @@ class AnalysisSettings:
     history_days: int = 365
     price_days: int = 30
     min_streak: int = 5
-    # Whether tape dates are whole days; None leaves it to a look at the data.
-    daily: bool | None = None
+    # Whether tape times are whole quarter hours, as on daily tapes; None looks.
+    coarse: bool | None = None
 
     @property
     def benchmarks(self) -> list[str]:
