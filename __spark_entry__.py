@@ -32,7 +32,7 @@ from tickerloom.operators import (
     valuation,
 )
 from tickerloom.plans.publish import publish_report
-from tickerloom.plans.report import company_report, dropped_companies
+from tickerloom.plans.report import company_figures, company_report, dropped_companies
 from tickerloom.sources import curated, delimited, documents, routing
 from tickerloom.sources.workspace import materialise, shared_folder
 from tickerloom.streaming.annual import start_annual
@@ -131,14 +131,18 @@ def quarantine(spark, sf):
     return accepted.unionByName(refused)
 
 
-def publish_document(spark, sf):
+def _published(spark, sf):
     folder = shared_folder(spark, "document")
     publish_report(
-        tape(spark, sf), data.companies(spark, sf), S, folder,
-        at(RUN_TIME, T.TimestampType()),
+        tape(spark, sf), data.companies(spark, sf), S, folder, at(RUN_TIME, T.TimestampType())
     )
-    company = documents.read_companies(spark, folder).select(
-        F.lit("company").alias("part"), "ticker", "name", "sector", "industry",
+    return folder
+
+
+def publish_document(spark, sf):
+    """The companies of the written document, read back."""
+    return documents.read_companies(spark, _published(spark, sf)).select(
+        "ticker", "name", "sector", "industry",
         F.col("consecutiveGrowthYears").alias("streak"),
         F.col("dividendFrequency").alias("payments"),
         F.round("beta", 6).alias("beta"),
@@ -148,11 +152,11 @@ def publish_document(spark, sf):
         F.size("priceHistory").cast("long").alias("n_prices"),
         F.size("dividendHistory").cast("long").alias("n_dividends"),
     )
-    rate = documents.read_benchmarks(spark, folder).select(
-        F.lit("benchmark").alias("part"), "ticker", F.round("rate", 6).alias("rate"),
-        F.col("last_updated").cast("timestamp_ntz").alias("last_updated"),
-    )
-    return company.unionByName(rate, allowMissingColumns=True)
+
+
+def published_rates(spark, sf):
+    """The benchmark rates of the written document, read back."""
+    return rounded(documents.read_benchmarks(spark, _published(spark, sf)), "rate")
 
 
 def _stored_members(spark, sf):
@@ -320,7 +324,8 @@ def wide_to_long(spark, sf):
 
 def fetch_plan(spark, sf):
     new, old = _stored_members(spark, sf)
-    return collector.fetch_plan(new, old, RUN_TIME, "2001-08-01-00-00-00.csv")
+    plan = collector.fetch_plan(new, old, RUN_TIME, "2001-08-01-00-00-00.csv")
+    return plan.withColumn("batch", F.coalesce("batch", F.lit(-1)).cast("long"))
 
 
 def utc(spark, sf):
@@ -344,6 +349,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "scan_snapshots": scan_snapshots,
         "normalise_names": normalise_names,
         "publish_document": publish_document,
+        "published_rates": published_rates,
         "worklist_json": worklist_json,
         "read_worklist": read_worklist,
         "write_snapshot_csv": write_snapshot_csv,
@@ -403,6 +409,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
                 tape(s, d), S.market, S.as_of, S.growth_days, calendar=True),
             "rate"),
         "company_report": flagship,
+        "company_figures": lambda s, d: rounded(
+            company_figures(tape(s, d), data.companies(s, d), S), "beta", "five_year_cagr"),
         "dropped_companies": audit,
         "gordon_value": gordon_value,
         "coverage_gaps": lambda s, d: coverage.coverage_gaps(companies_tape(s, d)),

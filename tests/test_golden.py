@@ -1,5 +1,6 @@
 """Values of the hand-written tape."""
 
+from dataclasses import replace
 from datetime import datetime
 
 import pytest
@@ -7,7 +8,7 @@ from golden import SETTINGS, by_ticker, companies, raw_tape, tape_rows
 from pyspark.sql import functions as F
 
 from tickerloom.operators import benchmarks, clean, dividends, prices, returns, valuation
-from tickerloom.plans.report import company_report, dropped_companies
+from tickerloom.plans.report import company_figures, company_report, dropped_companies
 
 S = SETTINGS
 
@@ -148,6 +149,24 @@ def test_report_and_value(spark, tape):
     assert found["BBB"] == pytest.approx((0.052517, 1.0, 19.041), rel=1e-4)
 
 
+def test_figures_are_the_report_without_histories(spark, tape):
+    figures = company_figures(tape, companies(spark), S)
+    report = company_report(tape, companies(spark), S)
+    assert sorted(figures.collect()) == sorted(report.select(figures.columns).collect())
+    late = S.as_of.replace(year=2026)
+    assert company_figures(tape, companies(spark), replace(S, as_of=late)).count() == 0
+
+
+def test_fine_tape_has_figures_but_no_nested_report(spark, tape):
+    tick = raw_tape(spark, [("AAA", datetime(2024, 6, 28, 9, 31), 91.5, 0.0)])
+    fine = tape.unionByName(clean.clean_tape(tick))
+    with pytest.raises(ValueError, match="company_figures"):
+        company_report(fine, companies(spark), S)
+    found = by_ticker(company_figures(fine, companies(spark), S), "last_price")
+    assert found == {"AAA": 91.5, "BBB": 26.0}
+    assert company_report(fine, companies(spark), replace(S, coarse=True)).count() == 2
+
+
 def test_report_with_too_many_growers_to_broadcast(spark, tape, monkeypatch):
     import tickerloom.plans.report as report
 

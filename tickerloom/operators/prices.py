@@ -36,8 +36,8 @@ def nested_histories(tape: DataFrame, as_of: datetime, price_days: int = 30,
                      dividend_days: int = 365) -> DataFrame:
     """Both histories as date-ordered arrays, one row per ticker seen in the longer window.
 
-    An array holds one element per distinct date of a daily tape, so the windows
-    bound it. For tapes with many rows a day use the flat histories.
+    An array holds one element per distinct date, so the windows bound it on a coarse
+    tape. For finer ones use the flat histories.
     """
     dates = F.col("date").cast("timestamp").alias("date")
     price = F.struct(dates, F.col("adj_close").alias("adj close"))

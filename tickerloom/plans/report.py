@@ -14,41 +14,70 @@ from tickerloom.operators.returns import beta
 from tickerloom.settings import AnalysisSettings
 from tickerloom.sources.workspace import materialise, shared_folder
 
-REPORT_COLUMNS = [
+FIGURES = [
     "ticker", "name", "sector", "industry", "consecutive_growth_years", "dividend_frequency",
-    "beta", "five_year_cagr", "last_dividend", "last_price", "price_history", "dividend_history",
+    "beta", "five_year_cagr", "last_dividend", "last_price",
 ]
 
 
-def company_report(tape: DataFrame, companies: DataFrame, settings: AnalysisSettings) -> DataFrame:
-    """One row per qualifying company that has all parts; the others drop out.
+def _coarse(tape: DataFrame, settings: AnalysisSettings) -> bool:
+    if settings.coarse is not None:
+        return settings.coarse
+    longest = max(settings.growth_days, settings.history_days)
+    return is_coarse(recent_rows(tape, settings.as_of, longest))
+
+
+def _growers(tape: DataFrame, settings: AnalysisSettings) -> tuple[DataFrame, DataFrame]:
+    """Stored growers, and the company rows that the other parts have to read.
 
-    The growers are found first, in one pass over the annual figures, and stored.
-    They are usually few, and then everything else reads only their rows: the
-    five-year return pass, the largest shuffle, shrinks to them. When they are too
-    many to broadcast, the joins at the end do the same work unaided.
+    Growers are usually few. Then everything else reads only their rows: the filter
+    moves below the dedupe, and the five-year return pass, the largest shuffle,
+    shrinks to them. When they are too many to broadcast, all rows stay and the joins
+    at the end do the same work unaided.
     """
     rows = company_rows(tape, settings.benchmarks)
-    coarse = settings.coarse
-    if coarse is None:
-        coarse = is_coarse(recent_rows(tape, settings.as_of, settings.growth_days))
     growers = materialise(
         growth_with_latest(rows, settings.as_of, settings.min_streak),
         shared_folder(tape.sparkSession, "growers"),
     )
     if fits(growers):
         rows = rows.join(F.broadcast(growers.select("ticker")), "ticker", "left_semi")
+    return growers, rows
+
+
+def _with_risk(growers: DataFrame, rows: DataFrame, tape: DataFrame, companies: DataFrame,
+               settings: AnalysisSettings, coarse: bool) -> DataFrame:
     index = instrument_rows(tape, settings.market)
     risk = beta(rows, index, settings.as_of, settings.growth_days, coarse=coarse)
+    return growers.join(risk, "ticker").join(companies, "ticker").select(*FIGURES)
+
+
+def company_figures(tape: DataFrame, companies: DataFrame,
+                    settings: AnalysisSettings) -> DataFrame:
+    """The report without its histories, for tapes of any density."""
+    growers, rows = _growers(tape, settings)
+    priced = recent_rows(rows, settings.as_of, settings.history_days).select("ticker").distinct()
+    figures = _with_risk(growers, rows, tape, companies, settings, _coarse(tape, settings))
+    return figures.join(priced, "ticker", "left_semi")
+
+
+def company_report(tape: DataFrame, companies: DataFrame, settings: AnalysisSettings) -> DataFrame:
+    """One row per qualifying company that has all parts; the others drop out.
+
+    Histories are arrays, so the tape must be coarse: the windows then bound them. A
+    finer tape is refused; take `company_figures` and the flat histories for it.
+    """
+    if not _coarse(tape, settings):
+        raise ValueError(
+            "times finer than quarter hours do not bound the history arrays: use "
+            "company_figures with price_history and dividend_history"
+        )
+    growers, rows = _growers(tape, settings)
+    figures = _with_risk(growers, rows, tape, companies, settings, coarse=True)
     histories = nested_histories(
         rows, settings.as_of, settings.price_days, settings.history_days
     )
-    return (
-        growers.join(risk, "ticker")
-        .join(companies, "ticker")
-        .join(histories, "ticker")
-        .select(*REPORT_COLUMNS)
-    )
+    return figures.join(histories, "ticker")
 
 
 def dropped_companies(tape: DataFrame, companies: DataFrame,

@@ -148,15 +148,13 @@ def oracle_sql() -> dict[str, str]:
             SELECT CAST(c_custkey AS INTEGER) AS cust_key, c_name AS security,
                    c_mktsegment AS market_segment, c_acctbal AS acct_bal FROM customer""",
         "publish_document": f"""
-            SELECT 'company' AS part, ticker, name, sector, industry,
+            SELECT ticker, name, sector, industry,
                    consecutive_growth_years AS streak, dividend_frequency AS payments,
                    {six('beta')} AS beta, {six('five_year_cagr')} AS cagr, last_dividend, last_price,
-                   n_prices, n_dividends, CAST(NULL AS DOUBLE) AS rate,
-                   CAST(NULL AS TIMESTAMP) AS last_updated
-            FROM report
-            UNION ALL
-            SELECT 'benchmark', ticker, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
-                   NULL, {six('rate')}, TIMESTAMP '2001-08-01' FROM rates""",
+                   n_prices, n_dividends
+            FROM report""",
+        "published_rates": f"""
+            SELECT ticker, {six('rate')} AS rate, TIMESTAMP '2001-08-01' AS last_updated FROM rates""",
         "worklist_json": """
             SELECT 0 AS section, CAST(NULL AS VARCHAR) AS symbol, '{"New_Tickers": [' AS line
             UNION ALL
@@ -213,7 +211,7 @@ def oracle_sql() -> dict[str, str]:
             FROM lineitem GROUP BY 1, 2""",
         "fetch_plan": """
             SELECT symbol, 'daily' AS mode, TIMESTAMP '2001-07-31' AS start_date,
-                   TIMESTAMP '2001-08-01' AS end_date, CAST(NULL AS BIGINT) AS batch,
+                   TIMESTAMP '2001-08-01' AS end_date, CAST(-1 AS BIGINT) AS batch,
                    '2001-08-01-00-00-00-daily.csv' AS output_key
             FROM before_in
             UNION ALL
@@ -286,6 +284,11 @@ def oracle_sql() -> dict[str, str]:
         "company_report": f"""
             SELECT * REPLACE ({six('beta')} AS beta, {six('five_year_cagr')} AS five_year_cagr)
             FROM report""",
+        "company_figures": f"""
+            SELECT ticker, name, sector, industry, consecutive_growth_years, dividend_frequency,
+                   {six('beta')} AS beta, {six('five_year_cagr')} AS five_year_cagr,
+                   last_dividend, last_price
+            FROM report""",
         "gordon_value": f"""
             , priced AS (
                 SELECT ticker, five_year_cagr AS g,

@@ -18,8 +18,8 @@ def tape_stream(spark: SparkSession, folder: str, header: list[str] | None = Non
                 files_per_batch: int = 1000, archive: str | None = None) -> DataFrame:
     """New `*.csv` files under `folder` as raw text rows.
 
-    `header` lists the columns of the files. With `archive` a finished file moves
-    there once its batch is committed.
+    `header` lists the columns of the files. With `archive` the files of a
+    committed batch move there when the next one starts.
     """
     names = header or TAPE_HEADER
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
