@@ -30,6 +30,23 @@ def test_copies_keep_the_newest_file_then_the_smallest_row(spark):
     assert by_ticker(again, "adj_close", "dividends") == found
 
 
+def test_a_third_of_all_rows_are_copies_of_one_day(spark):
+    raw = spark.range(30_000).select(
+        F.when(F.col("id") < 10_000, "HOT").otherwise(F.concat(F.lit("T"), F.col("id") % 500))
+        .alias("ticker"),
+        F.when(F.col("id") < 10_000, F.lit(0)).otherwise(F.col("id") % 30).alias("day"),
+        ((F.col("id") * 7919) % 10_007).cast("double").alias("adj_close"),
+        F.lit(0.0).alias("dividends"),
+        ((F.col("id") * 31) % 1_009).alias("source_rank"),
+    ).withColumn("date", F.timestamp_seconds(F.col("day") * 86_400)).drop("day")
+    best = {}
+    for r in raw.collect():
+        key, row = (r.ticker, r.date), (r.source_rank, r.adj_close)
+        best[key] = min(best.get(key, row), row)
+    found = {(r.ticker, r.date): r.adj_close for r in clean.dedupe_tape(raw).collect()}
+    assert found == {k: v for k, (_, v) in best.items()}
+
+
 def test_two_spellings_of_a_date_are_copies(spark):
     raw = spark.createDataFrame(
         [("A", "2024-01-02", "1.5", "0"), ("A", "2024-01-02 00:00:00", "1.5", "0")],

@@ -190,6 +190,15 @@ def test_long_document_keeps_its_order(spark, tmp_path):
     assert found["Old_Tickers"] == []
 
 
+def test_a_document_written_again_replaces_the_old_one(spark, tmp_path):
+    members = spark.createDataFrame([("A",)], "symbol string")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    documents.write_worklist(members, members, str(tmp_path / "w"))
+    documents.write_worklist(members.limit(0), members, str(tmp_path / "w"))
+    spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert whole(tmp_path / "w") == {"New_Tickers": [], "Old_Tickers": ["A"]}
+
+
 def test_worklist_round_trip_with_a_null_symbol(spark, tmp_path):
     new = spark.createDataFrame([("B",), (None,), ("A",)], "symbol string")
     old = spark.createDataFrame([("C",)], "symbol string")

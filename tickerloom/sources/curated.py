@@ -20,6 +20,7 @@ def write_curated(tape: DataFrame, path: str, mode: str = "errorifexists") -> No
         .hint("rebalance", "year")
         .sortWithinPartitions("year", "ticker", "date")
         .write.partitionBy("year")
+        .option("partitionOverwriteMode", "static")
         .mode(mode)
         .parquet(path)
     )

@@ -44,11 +44,12 @@ def frame_line(spark: SparkSession, section: int, line: str) -> DataFrame:
 
 
 def write_lines(lines: DataFrame, path: str) -> None:
-    """Write a document; one already at `path` is replaced."""
+    """Write a document; one already at `path` is replaced, all sections of it."""
     (
         lines.orderBy("section", "key")
         .select("section", "line")
         .write.partitionBy("section")
+        .option("partitionOverwriteMode", "static")
         .mode("overwrite")
         .text(path)
     )

@@ -54,7 +54,12 @@ def route(tape: DataFrame) -> DataFrame:
 
 def write_routed(routed: DataFrame, path: str, mode: str = "append") -> None:
     """Both sides in one pass over the input, as one folder per route."""
-    routed.write.partitionBy("route").mode(mode).parquet(path)
+    (
+        routed.write.partitionBy("route")
+        .option("partitionOverwriteMode", "static")
+        .mode(mode)
+        .parquet(path)
+    )
 
 
 def read_route(spark: SparkSession, path: str, which: str) -> DataFrame:
