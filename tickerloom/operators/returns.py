@@ -55,9 +55,11 @@ def beta(companies: DataFrame, index: DataFrame, as_of: datetime, days: int = 36
     combines per task first, so a long ticker costs no more than others.
     """
     index_days = recent_rows(index, as_of, days).select("date")
-    coarse_index = is_coarse(index_days) if coarse is None else coarse
-    market = market_returns(index, as_of, days, coarse_index)
-    if coarse_index and days * COARSE_TIMES_A_DAY <= BROADCAST_ROWS:
+    if coarse is None:
+        days_seen = recent_rows(companies, as_of, days).select("date").union(index_days)
+        coarse = is_coarse(days_seen)
+    market = market_returns(index, as_of, days, coarse)
+    if coarse and days * COARSE_TIMES_A_DAY <= BROADCAST_ROWS:
         market = F.broadcast(market)
     else:
         market = broadcast_if_fits(market, probe=index_days)

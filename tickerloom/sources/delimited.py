@@ -66,6 +66,7 @@ def write_snapshots(universe: DataFrame, path: str) -> None:
             F.col("updated_at").cast("string").alias("updatedAt"),
             F.date_format("updated_at", "yyyy-MM-dd-HH-mm-ss").alias("run"),
         )
+        .hint("rebalance", "run")  # few files per run, and several tasks for a large one
         .write.partitionBy("run")
         .option("partitionOverwriteMode", "dynamic")
         .mode("overwrite")
@@ -88,6 +89,7 @@ def write_tape(tape: DataFrame, path: str) -> None:
     if "output_key" in tape.columns:
         writer = (
             tape.select(*columns, "output_key")
+            .hint("rebalance", "output_key")
             .write.partitionBy("output_key")
             .option("partitionOverwriteMode", "dynamic")
             .mode("overwrite")
