@@ -4,11 +4,12 @@ from dataclasses import replace
 from datetime import datetime
 
 import pytest
-from golden import SETTINGS, by_ticker, companies, raw_tape, tape_rows
+from golden import SETTINGS, by_ticker, companies, raw_tape, snapshots, tape_rows
 from pyspark.sql import functions as F
 
 from tickerloom.operators import benchmarks, clean, dividends, prices, returns, valuation
 from tickerloom.plans.report import company_figures, company_report, dropped_companies
+from tickerloom.plans.views import register_views
 
 S = SETTINGS
 
@@ -149,6 +150,18 @@ def test_report_and_value(spark, tape):
     assert found["BBB"] == pytest.approx((0.052517, 1.0, 19.041), rel=1e-4)
 
 
+def test_views_answer_sql(spark, tape):
+    names = register_views(tape, snapshots(spark), S)
+    found = spark.sql("""
+        SELECT g.ticker, c.name, l.last_price FROM dividend_growth g
+        JOIN companies c USING (ticker) JOIN latest_prices l USING (ticker)
+        JOIN market_beta b USING (ticker) ORDER BY 1
+    """).collect()
+    assert [tuple(r) for r in found] == [
+        ("AAA", "AAA at 2024-07-01", 91.0), ("BBB", "BBB at 2024-07-01", 26.0)]
+    assert all(spark.table(n).count() > 0 for n in names)
+
+
 def test_figures_are_the_report_without_histories(spark, tape):
     figures = company_figures(tape, companies(spark), S)
     report = company_report(tape, companies(spark), S)

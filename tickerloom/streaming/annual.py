@@ -19,15 +19,15 @@ def refresh_years(batch: DataFrame, batch_id: int, tape_path: str, annual_path:
     runs twice after a failure leaves the same tables. Other years stay as they are.
     """
     spark = batch.sparkSession
+    stored = batch.select(*COLUMNS, F.year("date").alias("year"), F.lit(batch_id).alias("batch"))
     (
-        batch.select(*COLUMNS, F.year("date").alias("year"), F.lit(batch_id).alias("batch"))
-        .hint("rebalance", "year")
+        stored.hint("rebalance", "year")
         .write.partitionBy("batch", "year")
         .option("partitionOverwriteMode", "dynamic")
         .mode("overwrite")
         .parquet(tape_path)
     )
-    tape = spark.read.parquet(tape_path)
+    tape = spark.read.schema(stored.schema).parquet(tape_path)
     # Calendar years: a few at most, and the join prunes the folders of all others.
     touched = tape.filter(F.col("batch") == batch_id).select("year").distinct()
     rows = tape.join(F.broadcast(touched), "year", "left_semi")
