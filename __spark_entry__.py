@@ -71,7 +71,7 @@ def history_sizes(report: DataFrame) -> DataFrame:
     return report.withColumns({
         "n_prices": F.size("price_history").cast("long"),
         "n_dividends": F.size("dividend_history").cast("long"),
-        "last_price_date": F.element_at("price_history", -1)["date"],
+        "last_price_date": F.try_element_at("price_history", F.lit(-1))["date"],
     }).drop("price_history", "dividend_history")
 
 

@@ -41,5 +41,11 @@ def test_query_equals_twin(spark, duck, name):
     assert sorted(actual) == sorted(expected)
 
 
+def test_empty_histories_have_sizes(spark):
+    empty = "array<struct<date timestamp, x double>>"
+    report = spark.createDataFrame([([], [])], f"price_history {empty}, dividend_history {empty}")
+    assert tuple(registered.history_sizes(report).first()) == (0, 0, None)
+
+
 def test_entry(spark):
     assert registered.entry(spark).count() == 4
