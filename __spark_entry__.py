@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickerloom.sql_twins import oracle_sql  # noqa: F401  (part of the contract)
+from tickerloom import sql_twins
 from tickerloom import sampledata as data
 from tickerloom.functions.timeline import at, normalise_utc
 from tickerloom.operators import (
@@ -39,6 +39,14 @@ from tickerloom.streaming.annual import start_annual
 from tickerloom.streaming.dedupe import drop_redelivered
 from tickerloom.streaming.ingest import start_ingest, tape_stream
 
+try:
+    import corpus_pipeline
+    from tickerloom.llm import queries as llm_queries
+except ModuleNotFoundError as absent:  # the corpus operators may be taken out whole
+    if absent.name not in ("corpus_pipeline", "tickerloom.llm"):
+        raise
+    corpus_pipeline = llm_queries = None
+
 S = data.SETTINGS
 RUN_TIME = S.as_of
 
@@ -343,7 +351,7 @@ def entry(spark: SparkSession) -> DataFrame:
     return unzoned(flagship(spark, "/root/testdata/sf0.001", replace(S, min_streak=1)))
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+def tape_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "scan_tape": scan_tape,
         "scan_snapshots": scan_snapshots,
@@ -422,3 +430,19 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         return lambda spark, sf_dir: unzoned(query(spark, sf_dir))
 
     return {name: without_zone(query) for name, query in q.items()}
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    corpus = {}
+    if llm_queries:
+        corpus = llm_queries.queries() | {"pipeline": corpus_pipeline.run}
+    return tape_queries() | corpus
+
+
+def oracle_sql() -> dict[str, str]:
+    corpus = {}
+    if llm_queries:
+        corpus = dict(llm_queries.oracle_sql())
+        if corpus_pipeline.ORACLE_SQL:
+            corpus["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return sql_twins.oracle_sql() | corpus

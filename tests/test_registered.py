@@ -26,10 +26,10 @@ def text(value):
 
 
 def test_every_query_has_a_twin():
-    assert set(registered.queries()) == set(registered.oracle_sql())
+    assert set(registered.tape_queries()) == set(registered.sql_twins.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(registered.queries()))
+@pytest.mark.parametrize("name", sorted(registered.tape_queries()))
 def test_query_equals_twin(spark, duck, name):
     found = registered.queries()[name](spark, SF)
     columns = sorted(found.columns)
