@@ -8,8 +8,17 @@ from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
-
-from tickerloom.llm import neardup, quality, toxicity
+from pyspark.sql import functions as F
+
+from tickerloom.llm import (
+    decontaminate,
+    extraction,
+    lines,
+    mixing,
+    neardup,
+    quality,
+    toxicity,
+)
 from tickerloom.llm.common import table
 
 _shipped: set[str] = set()
@@ -31,6 +40,26 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken")
+
+
+def op4_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract_pages(table(spark, sf_dir, "pages"))
+
+
+def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.drop_boilerplate(table(spark, sf_dir, "documents")).select(
+        "doc_id", "text", F.col("_n_lines").alias("n_lines"),
+        F.col("_n_dropped").alias("n_dropped"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -46,7 +75,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             return query(spark, sf_dir)
         return run
 
-    found = [op1_toxicity, op6_quality, op7_minhash]
+    found = [op1_toxicity, op2_decontamination, op3_mixing, op4_extraction, op5_lines,
+             op6_quality, op7_minhash]
     return {q.__name__: shipped(q) for q in found}
 
 
