@@ -17,7 +17,9 @@ from tickerloom.llm import (
     mixing,
     neardup,
     quality,
+    suffixes,
     toxicity,
+    urls,
 )
 from tickerloom.llm.common import table
 
@@ -68,6 +70,14 @@ def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=2)
 
 
+def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
+def op9_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digest(suffixes.remove_repeats(table(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def shipped(query):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,7 +86,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         return run
 
     found = [op1_toxicity, op2_decontamination, op3_mixing, op4_extraction, op5_lines,
-             op6_quality, op7_minhash]
+             op6_quality, op7_minhash, op8_urls, op9_suffixes]
     return {q.__name__: shipped(q) for q in found}
 
 
