@@ -16,6 +16,7 @@ from tickerloom.llm import (
     lines,
     mixing,
     neardup,
+    neighbours,
     quality,
     suffixes,
     toxicity,
@@ -78,6 +79,10 @@ def op9_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.digest(suffixes.remove_repeats(table(spark, sf_dir, "documents")))
 
 
+def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def shipped(query):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -86,7 +91,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         return run
 
     found = [op1_toxicity, op2_decontamination, op3_mixing, op4_extraction, op5_lines,
-             op6_quality, op7_minhash, op8_urls, op9_suffixes]
+             op6_quality, op7_minhash, op8_urls, op9_suffixes,
+             op10_neighbours]
     return {q.__name__: shipped(q) for q in found}
 
 
