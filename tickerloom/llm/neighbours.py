@@ -11,7 +11,7 @@ Searching. Queries walk the graph together: each holds its best `beam` vectors f
 so far, and a round visits the neighbours, in both directions, of those not yet
 visited, up to `width` a round; distances are taken to the full vectors. It ends when
 no query has anything left to visit. A query that is indexed starts from its own
-place, others from any entry points the caller names. A walk may hold 400 vectors, for
+place, others from any entry points the caller names. A walk may hold 320 vectors, for
 evenly spread vectors have no short way to their neighbours; `beam` trades recall
 against work.
 
@@ -177,8 +177,8 @@ def line_groups(points: DataFrame, lines: int, seed: int) -> DataFrame:
     return placed.select(F.xxhash64("line", "stretch", window).alias("group"), "id")
 
 
-def build_graph(points: DataFrame, degree: int = 16, rounds: int = 3, lines: int = 6,
-                each: int = 5, seed: int = 11) -> DataFrame:
+def build_graph(points: DataFrame, degree: int = 24, rounds: int = 5, lines: int = 6,
+                each: int = 6, seed: int = 11) -> DataFrame:
     """(a, b, distance): up to `degree` near vectors of every vector."""
     start = line_groups(points, lines, seed).join(points, "id").withColumn(
         "worst", F.lit(float("inf")))
@@ -213,8 +213,8 @@ def _distance(x: str, y: str) -> Column:
     return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda s, v: s + v))
 
 
-def search(points: DataFrame, graph: DataFrame, queries: DataFrame, beam: int = 400,
-           width: int = 100, both_ways: int = 32) -> DataFrame:
+def search(points: DataFrame, graph: DataFrame, queries: DataFrame, beam: int = 320,
+           width: int = 100, both_ways: int = 40) -> DataFrame:
     """(query, id, distance): the best `beam` vertices found for each query.
 
     `queries` are (query, start, vector): where the walk of a query begins. Edges are
@@ -253,8 +253,8 @@ def search(points: DataFrame, graph: DataFrame, queries: DataFrame, beam: int =
                       .where(F.col("rank") <= beam).drop("rank"), "walk")
 
 
-def nearest(vectors: DataFrame, every: int = 100, k: int = 10, degree: int = 16,
-            rounds: int = 3, lines: int = 6, beam: int = 400) -> DataFrame:
+def nearest(vectors: DataFrame, every: int = 100, k: int = 10, degree: int = 24,
+            rounds: int = 5, lines: int = 6, beam: int = 320) -> DataFrame:
     """query_id, rank, vec_id, score: the `k` nearest found of each indexed row whose id
     is divisible by `every`, by Euclidean distance, ties to smaller ids."""
     points, members = vertices(saved(usable(vectors), "vectors"), k + 1)

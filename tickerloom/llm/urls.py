@@ -9,7 +9,7 @@ the suffix) and judge those without a rule.
 Rules are a handful of literals, so they become one expression. Features are SQL
 functions; the trees are Spark's own and train on all labelled rows, or on about
 `at_most` of them chosen by hash. Statistics of a suffix (the last two labels of the
-host) are counts over all rows and over the labelled ones, joined by suffix.
+host) are counts over all rows, joined by suffix.
 
 Defined results: a null URL or one without `://` has an empty host and path, no rule,
 and is judged by its features like others. Repeated rows are each judged. Without
@@ -30,7 +30,7 @@ from tickerloom.llm.common import saved
 
 FEATURES = ["url_length", "host_length", "path_length", "depth", "labels", "digits",
             "digit_ratio", "entropy", "parameters", "fragment", "secure", "hyphens",
-            "longest_part", "suffix_share", "suffix_hosts", "suffix_blocked"]
+            "longest_part", "suffix_share", "suffix_hosts"]
 
 
 @dataclass(frozen=True)
@@ -107,18 +107,15 @@ def lexical(urls: DataFrame) -> DataFrame:
 
 
 def with_suffix_statistics(urls: DataFrame) -> DataFrame:
-    """Adds, per suffix: its share of all rows, its hosts, and the share of blocked
-    among its labelled rows, drawn towards one half where they are few."""
-    per_host = urls.groupBy("suffix", "host").agg(
-        F.count("*").alias("n"), F.count("rule_verdict").alias("known"),
-        F.count_if(F.col("rule_verdict") == "block").alias("blocked"))
+    """Adds, per suffix, its share of all rows and its number of hosts. Labels are left
+    out of it: rules name suffixes, so they would drown what URLs look like."""
+    per_host = urls.groupBy("suffix", "host").agg(F.count("*").alias("n"))
     per_suffix = per_host.groupBy("suffix").agg(
-        F.sum("n").alias("n"), F.count("*").alias("hosts"),
-        ((F.sum("blocked") + 10) / (F.sum("known") + 20)).alias("suffix_blocked"))
+        F.sum("n").alias("n"), F.count("*").alias("hosts"))
     total = per_suffix.agg(F.sum("n").alias("n")).first()["n"] or 1
     return urls.join(per_suffix.select(
         "suffix", (F.col("n") / total).alias("suffix_share"),
-        F.log1p("hosts").alias("suffix_hosts"), "suffix_blocked"), "suffix")
+        F.log1p("hosts").alias("suffix_hosts")), "suffix")
 
 
 def judge(urls: DataFrame, rules: tuple[Rule, ...] = RULES, at_most: int = 200_000,
