@@ -41,7 +41,7 @@ from tickerloom.llm import textops
 from tickerloom.llm.common import rows
 
 K1, B = 1.2, 0.75
-BLOCK_ITEMS = 16
+BLOCK_ITEMS = 4
 SHARD_POSTINGS = 50_000
 RUN = 3
 RESULT = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
