@@ -247,7 +247,8 @@ def stream_annual(spark, sf):
     )
     annual = shared_folder(spark, "annual")
     start_annual(
-        stream, shared_folder(spark, "stream-tape"), annual, shared_folder(spark, "cp")
+        stream, shared_folder(spark, "stream-tape"), annual, shared_folder(spark, "cp"),
+        S.benchmarks,
     ).awaitTermination()
     return rounded(spark.read.parquet(annual), "annual_dividend")
 
@@ -298,13 +299,7 @@ def gordon_value(spark, sf):
 
 def audit(spark, sf):
     settings = replace(S, min_streak=1, history_days=30)
-    active = data.companies(spark, sf).join(
-        data.table(spark, sf, "supplier").filter(F.col("s_acctbal") >= 0).select(
-            F.col("s_suppkey").cast("string").alias("ticker")
-        ),
-        "ticker", "left_semi",
-    )
-    return dropped_companies(tape(spark, sf), active, settings)
+    return dropped_companies(tape(spark, sf), data.companies(spark, sf), settings)
 
 
 # --- collector tables ------------------------------------------------------------
@@ -406,7 +401,7 @@ def tape_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "beta_monthly": lambda s, d: rounded(
             returns.beta_monthly(companies_tape(s, d), index_tape(s, d), S.as_of, S.growth_days),
             "beta_monthly"),
-        "latest_price": lambda s, d: prices.latest_price(companies_tape(s, d)),
+        "latest_price": lambda s, d: prices.latest_price(companies_tape(s, d), S.as_of),
         "price_history": lambda s, d: prices.price_history(
             companies_tape(s, d), S.as_of, S.price_days),
         "dividend_history": lambda s, d: prices.dividend_history(

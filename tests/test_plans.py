@@ -54,7 +54,7 @@ def test_streaks_sort_once(tape):
 
 
 def test_latest_price_has_no_sort(tape):
-    plan = plan_of(prices.latest_price(tape))
+    plan = plan_of(prices.latest_price(tape, S.as_of))
     assert "Sort" not in plan and plan.count("Exchange") == 1
 
 
@@ -66,13 +66,8 @@ def test_market_is_broadcast_and_nothing_runs_in_one_task(tape):
     assert "SinglePartition" not in plan
 
 
-def test_daily_returns_shuffle_the_tape_once(tape):
-    plan = plan_of(returns.log_returns(tape, S.as_of))
-    assert plan.count("Exchange") == 1 and "Join" not in plan
-
-
-def test_intraday_returns_share_one_tape_exchange(tape):
-    found = returns.log_returns(tape, S.as_of, coarse=False)
+def test_returns_share_one_tape_exchange(tape):
+    found = returns.log_returns(tape, S.as_of)
     found.collect()
     final = plan_of(found).split("== Initial Plan ==")[0]
     assert "ReusedExchange" in final

@@ -11,8 +11,17 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tickerloom.functions import sizing
-from tickerloom.functions.timeline import is_coarse, since, with_previous
-from tickerloom.operators import clean, coverage, dividends, membership, prices, returns
+from tickerloom.functions.timeline import since, with_previous
+from tickerloom.operators import (
+    benchmarks,
+    clean,
+    coverage,
+    dividends,
+    membership,
+    prices,
+    returns,
+)
+from tickerloom.sources import routing
 
 S = SETTINGS
 
@@ -63,7 +72,7 @@ def test_row_order_changes_nothing(spark):
         return (
             by_ticker(dividends.dividend_growth(company, S.as_of, 1), "five_year_cagr"),
             {k: round(v, 9) for k, v in by_ticker(returns.beta(company, index, S.as_of), "beta").items()},
-            by_ticker(prices.latest_price(company), "last_price", "last_dividend"),
+            by_ticker(prices.latest_price(company, S.as_of), "last_price", "last_dividend"),
         )
 
     rows = tape_rows()
@@ -93,9 +102,42 @@ def test_returns_of_unusable_prices_are_null(spark, prices_, expected):
 
 def test_window_edges_are_inclusive(spark):
     cut = S.as_of - timedelta(days=30)
-    rows = [("A", cut, 1.0, 0.0), ("A", cut - timedelta(seconds=1), 1.0, 0.0)]
+    rows = [("A", cut, 1.0, 0.0), ("A", cut - timedelta(seconds=1), 1.0, 0.0),
+            ("A", S.as_of, 1.0, 0.0), ("A", S.as_of + timedelta(seconds=1), 1.0, 0.0)]
     tape = raw_tape(spark, rows)
-    assert tape.filter(since(tape, S.as_of, 30)).count() == 1
+    assert tape.filter(since(tape, S.as_of, 30)).count() == 2
+
+
+def test_later_rows_change_nothing(spark):
+    """A quote after `as_of` leaves every window, latest value and rate as it was."""
+    def outcome(rows):
+        tape = clean.clean_tape(raw_tape(spark, rows))
+        company = clean.company_rows(tape, S.benchmarks)
+        index = clean.instrument_rows(tape, S.market)
+        frames = [
+            dividends.growth_with_latest(company, S.as_of, 1), prices.latest_price(company, S.as_of),
+            prices.nested_histories(company, S.as_of), returns.beta(company, index, S.as_of),
+            returns.beta_monthly(company, index, S.as_of),
+            benchmarks.benchmark_rates(tape, S.market, S.risk_free, S.as_of),
+            benchmarks.risk_free_rate(tape, S.risk_free, S.as_of),
+        ]
+        return [sorted(map(str, f.collect())) for f in frames]
+
+    rows = tape_rows()
+    later = [(t, S.as_of + timedelta(days=d), 999.0, 9.0)
+             for t in sorted({r[0] for r in rows}) for d in (1, 40)]
+    assert outcome(rows + later) == outcome(rows)
+
+
+def test_values_that_are_no_numbers_or_dates(spark):
+    raw = spark.createDataFrame(
+        [("A", "2024-01-02", "Infinity", "NaN"), ("A", "T12:30", "1", "0"),
+         ("A", "2024-01-03", "-Infinity", "0.5")],
+        "ticker string, date string, adj_close string, dividends string")
+    found = clean.clean_tape(raw).filter("date is not null").orderBy("date").collect()
+    assert [(r["adj_close"], r["dividends"]) for r in found] == [(None, None), (None, 0.5)]
+    refused = routing.route(raw).filter("route = 'quarantined'").orderBy("date", "reason")
+    assert sorted(r["reason"] for r in refused.collect()) == ["bad date", "bad price", "bad price"]
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
@@ -104,7 +146,7 @@ def test_window_edges_are_inclusive(spark):
         st.tuples(st.sampled_from("AB"), st.integers(0, 4000), st.floats(1, 100)),
         min_size=1, max_size=30, unique_by=lambda r: r[:2],
     ),
-    grain=st.sampled_from(["hour", "day", "month", "year", None]),
+    grain=st.sampled_from(["hour", "day", "month", "year"]),
 )
 def test_previous_row_matches_brute_force(spark, rows, grain):
     start = datetime(2023, 1, 1)
@@ -113,7 +155,7 @@ def test_previous_row_matches_brute_force(spark, rows, grain):
         "k string, t timestamp, v double",
     )
     found = {(r.k, r.t): r.previous_v for r in with_previous(
-        frame, "k", "t", ["v"], coarse=grain is None, grain=grain or "day").collect()}
+        frame, "k", "t", ["v"], grain=grain).collect()}
     expected = {}
     for key in "AB":
         own = sorted((start + timedelta(hours=3 * h), v) for k, h, v in rows if k == key)
@@ -122,21 +164,8 @@ def test_previous_row_matches_brute_force(spark, rows, grain):
     assert found == expected
 
 
-@pytest.mark.parametrize("times, coarse", [
-    (["2024-01-02", "2024-07-02"], True),
-    (["2024-01-02 05:00:00", "2024-07-02 04:00:00", None], True),  # midnights of a zone
-    (["2024-01-02 18:30:00", "2024-01-02 18:45:00"], True),
-    (["2024-01-02", "2024-01-02 09:31:00"], False),
-    (["2024-01-02", "2024-01-02 09:30:00.000001"], False),
-])
-@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
-def test_coarse_times(spark, times, coarse, kind):
-    rows = spark.createDataFrame([(t,) for t in times], "t string")
-    assert is_coarse(rows.select(F.col("t").cast(kind).alias("date"))) is coarse
-
-
 def test_previous_row_of_a_hot_key(spark):
-    """One key holds nearly all rows; its pieces are no larger than an hour."""
+    """One key holds nearly all rows; its pieces are no larger than a grain."""
     n = 20_000
     ticks = spark.range(n).select(
         F.lit("HOT").alias("k"),
@@ -147,7 +176,6 @@ def test_previous_row_of_a_hot_key(spark):
         F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 86_400).alias("t"),
         F.col("id").alias("v"),
     ))
-    assert not is_coarse(ticks, "t")
     found = with_previous(ticks, "k", "t", ["v"])
     wrong = found.filter(~F.col("previous_v").eqNullSafe(F.when(F.col("v") > 0, F.col("v") - 1)))
     assert found.count() == n + 3

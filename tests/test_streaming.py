@@ -1,6 +1,6 @@
 """Streams end where the batch operators do."""
 
-from golden import raw_tape, tape_rows
+from golden import SETTINGS, raw_tape, tape_rows
 from pyspark.sql import functions as F
 
 from tickerloom.operators import clean, dividends
@@ -64,7 +64,7 @@ def test_annual_stream_equals_batch(spark, tmp_path):
     stream = spark.readStream.schema(ranked(spark, rows).schema).option(
         "maxFilesPerTrigger", 1).parquet(source)
     annual = str(tmp_path / "annual")
-    args = (str(tmp_path / "tape"), annual, str(tmp_path / "cp"))
+    args = (str(tmp_path / "tape"), annual, str(tmp_path / "cp"), SETTINGS.benchmarks)
     start_annual(stream, *args).awaitTermination()
 
     def found():
@@ -72,7 +72,8 @@ def test_annual_stream_equals_batch(spark, tmp_path):
             "ticker", "year", F.round("annual_dividend", 9), "dividend_frequency")
         return sorted(map(tuple, rows.collect()))
 
-    batch = dividends.annual_dividends(clean.clean_tape(raw_tape(spark))).select(
+    batch = dividends.annual_dividends(
+        clean.company_rows(clean.clean_tape(raw_tape(spark)), SETTINGS.benchmarks)).select(
         "ticker", "year", F.round("annual_dividend", 9), "dividend_frequency")
     assert found() == sorted(map(tuple, batch.collect()))
     before = found()
@@ -81,7 +82,7 @@ def test_annual_stream_equals_batch(spark, tmp_path):
 
 
 def test_a_batch_that_runs_twice_changes_nothing(spark, tmp_path):
-    paths = str(tmp_path / "tape"), str(tmp_path / "annual")
+    paths = str(tmp_path / "tape"), str(tmp_path / "annual"), SETTINGS.benchmarks
     rows = tape_rows()
     refresh_years(ranked(spark, rows[:30]), 0, *paths)
     refresh_years(ranked(spark, rows[20:]), 1, *paths)
@@ -91,7 +92,7 @@ def test_a_batch_that_runs_twice_changes_nothing(spark, tmp_path):
 
 
 def test_only_touched_years_are_rewritten(spark, tmp_path):
-    paths = str(tmp_path / "tape"), str(tmp_path / "annual")
+    paths = str(tmp_path / "tape"), str(tmp_path / "annual"), SETTINGS.benchmarks
     rows = tape_rows()
     refresh_years(ranked(spark, rows), 0, *paths)
     old = {f.name for f in (tmp_path / "annual" / "year=2019").glob("part-*")}

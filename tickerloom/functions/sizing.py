@@ -10,8 +10,8 @@ BROADCAST_ROWS = 500_000
 
 
 def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether `df` has at most `max_rows` rows; reads no more than needed to tell."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Whether `df` has at most `max_rows` rows; each task sends on a count alone."""
+    return df.count() <= max_rows
 
 
 def broadcast_if_fits(df: DataFrame, probe: DataFrame | None = None,

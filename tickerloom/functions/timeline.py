@@ -19,64 +19,45 @@ def at(moment: datetime, dtype: T.DataType) -> Column:
 
 
 def since(df: DataFrame, as_of: datetime, days: int, column: str = "date") -> Column:
-    """Condition: the row is at most `days` days older than `as_of`."""
+    """Condition: the row is at most `days` days older than `as_of`, and not later."""
     start = as_of - timedelta(days=days)
-    recent = F.col(column) >= at(start, df.schema[column].dataType)
+    recent = (F.col(column) >= at(start, df.schema[column].dataType)) & until(df, as_of, column)
     if column == "date" and "year" in df.columns:
         recent = recent & (F.col("year") >= start.year)  # prunes `year` folders
     return recent
 
 
+def until(df: DataFrame, as_of: datetime, column: str = "date") -> Column:
+    """Condition: the row is not later than `as_of`."""
+    known = F.col(column) <= at(as_of, df.schema[column].dataType)
+    if column == "date" and "year" in df.columns:
+        known = known & (F.col("year") <= as_of.year)
+    return known
+
+
 def normalise_utc(column: Column, source_zone: str = "UTC") -> Column:
     """Wall-clock time of `source_zone` as UTC."""
     return F.to_utc_timestamp(column, source_zone).cast("timestamp")
 
 
-# Times of day that a coarse column can hold.
-COARSE_TIMES_A_DAY = 24 * 4
-
-
-def is_coarse(rows: DataFrame, column: str = "date") -> bool:
-    """Whether every time is a whole quarter of an hour.
-
-    Daily tapes are: midnight of any time zone falls on one. With one row per key and
-    time, a key then has at most `COARSE_TIMES_A_DAY` rows a day. Reads that column
-    alone, and stops at the first finer time it meets.
-    """
-    dtype = rows.schema[column].dataType
-    if isinstance(dtype, T.DateType):
-        return True
-    finer = ~F.minute(column).isin(0, 15, 30, 45) | (
-        F.col(column) != F.date_trunc("minute", column).cast(dtype)
-    )
-    return rows.filter(finer).isEmpty()
-
-
 def with_previous(
     rows: DataFrame,
     key: str,
     order: str,
     values: list[str],
-    coarse: bool | None = None,
-    grain: str = "hour",
+    grain: str = "month",
 ) -> DataFrame:
     """Add `previous_<value>`: the value of the key's preceding row in time.
 
-    `order` must be unique within `key`. Coarse times (see `is_coarse`) then bound the
-    rows of a key, and one window per key does. Finer ones do not, and one key may hold
-    much of the table: its rows are then split by `grain`, each piece looks back within
-    itself, and the first row of a piece takes the last value of the key's piece
-    before. Only one row per piece meets in a window per key. `coarse` says which
-    holds; left out, the data is asked.
+    `order` must be unique within `key`. One key may hold much of the table, so its
+    rows are split by `grain`: each piece looks back within itself, and the first row
+    of a piece takes the last value of the key's piece before. Only one row per piece
+    meets in a window per key.
     """
     # Rows without key or time have no place in the order. Stated up front: inferred
     # on one side of the join only, the same filter would keep its two sides from
     # sharing their exchange.
     rows = rows.filter(F.col(key).isNotNull() & F.col(order).isNotNull())
-    if is_coarse(rows, order) if coarse is None else coarse:
-        in_key = Window.partitionBy(key).orderBy(order)
-        return rows.withColumns({f"previous_{v}": F.lag(v).over(in_key) for v in values})
-
     # One exchange on (key, piece) serves the look-back, the edges and the join.
     pieces = rows.withColumn("_piece", F.date_trunc(grain, order)).repartition(key, "_piece")
 

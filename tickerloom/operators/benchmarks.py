@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickerloom.functions.numeric import growth_rate
-from tickerloom.functions.timeline import since
+from tickerloom.functions.timeline import since, until
 
 
 def _index_growth(calendar: bool) -> Column:
@@ -27,10 +27,11 @@ def index_rate(tape: DataFrame, market: str, as_of: datetime, days: int = 365 *
     return inside.groupBy("ticker").agg(_index_growth(calendar).alias("rate"))
 
 
-def risk_free_rate(tape: DataFrame, risk_free: str) -> DataFrame:
-    """Last quote of the risk-free instrument, given in percent, as a fraction."""
+def risk_free_rate(tape: DataFrame, risk_free: str, as_of: datetime) -> DataFrame:
+    """Last quote up to `as_of` of the risk-free instrument, given in percent, as a
+    fraction."""
     return (
-        tape.filter(F.col("ticker") == risk_free)
+        tape.filter((F.col("ticker") == risk_free) & until(tape, as_of))
         .groupBy("ticker")
         .agg((F.max_by("adj_close", "date") / 100).alias("rate"))
     )
@@ -40,13 +41,15 @@ def benchmark_rates(tape: DataFrame, market: str, risk_free: str, as_of: datetim
                     days: int = 365 * 5, calendar: bool = False) -> DataFrame:
     """Both rates, one row each; a benchmark without rows has none.
 
-    `index_rate` and `risk_free_rate` in one pass: only the index is cut off.
+    `index_rate` and `risk_free_rate` in one pass: both end at `as_of`, and only the
+    index has a beginning.
     """
     if market == risk_free:
         raise ValueError("the index and the risk-free instrument must differ")
     is_index = F.col("ticker") == market
     used = tape.filter(
-        F.col("ticker").isin(market, risk_free) & (~is_index | since(tape, as_of, days))
+        F.col("ticker").isin(market, risk_free) & until(tape, as_of)
+        & (~is_index | since(tape, as_of, days))
     )
     percent = F.max_by("adj_close", "date") / 100
     return used.groupBy("ticker").agg(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickerloom.functions.timeline import since
@@ -43,17 +43,21 @@ def clean_tape(tape: DataFrame) -> DataFrame:
     """Typed, deduplicated tape with its calendar columns.
 
     Text dates are cast before the duplicates are looked for, so two spellings of
-    one date count as copies.
+    one date count as copies. A text that begins with no whole date and a value that
+    is not finite become null.
     """
-    typed = tape.withColumns({
-        "adj_close": F.col("adj_close").try_cast("double"),
-        "dividends": F.col("dividends").try_cast("double"),
-    })
+    typed = tape.withColumns({n: _finite(n) for n in ("adj_close", "dividends")})
     if not tape.schema["date"].dataType.typeName().startswith(("timestamp", "date")):
-        typed = typed.withColumn("date", F.col("date").try_cast("timestamp"))
+        whole = F.col("date").rlike(r"^\s*\d{4}-\d{1,2}-\d{1,2}")
+        typed = typed.withColumn("date", F.when(whole, F.col("date").try_cast("timestamp")))
     return with_calendar(dedupe_tape(typed))
 
 
+def _finite(name: str) -> Column:
+    value = F.col(name).try_cast("double")
+    return F.when(~F.isnan(value) & (F.abs(value) < float("inf")), value)
+
+
 def company_rows(tape: DataFrame, benchmarks: list[str]) -> DataFrame:
     """Rows of companies: benchmarks and null tickers drop out."""
     return tape.filter(~F.col("ticker").isin(benchmarks))

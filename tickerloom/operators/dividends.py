@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
 from tickerloom.functions.numeric import growth_rate
+from tickerloom.functions.timeline import until
 
 
 def _by_year() -> WindowSpec:
@@ -120,9 +121,10 @@ def dividend_growth(tape: DataFrame, as_of: datetime, min_streak: int = 5,
 
 
 def growth_with_latest(tape: DataFrame, as_of: datetime, min_streak: int = 5) -> DataFrame:
-    """`dividend_growth` with the latest price and dividend, from the same pass."""
+    """`dividend_growth` with the latest price and dividend, from the same pass over the
+    rows up to `as_of`."""
     whole = Window.partitionBy("ticker")
-    summary = annual_summary(tape).withColumns({
+    summary = annual_summary(tape.filter(until(tape, as_of))).withColumns({
         "last_price": F.max_by("last_price", "last_date").over(whole),
         "last_dividend": F.max_by("last_dividend", "last_paid").over(whole),
     })

@@ -7,14 +7,15 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickerloom.functions.timeline import since
+from tickerloom.functions.timeline import since, until
 from tickerloom.operators.clean import recent_rows
 
 
-def latest_price(tape: DataFrame) -> DataFrame:
-    """Last price and last positive dividend by ticker; no sort, fixed-width buffers."""
+def latest_price(tape: DataFrame, as_of: datetime) -> DataFrame:
+    """Last price and last positive dividend by ticker as of `as_of`; no sort, fixed-width
+    buffers."""
     paid_on = F.when(F.col("dividends") > 0, F.col("date"))
-    return tape.groupBy("ticker").agg(
+    return tape.filter(until(tape, as_of)).groupBy("ticker").agg(
         F.max_by("adj_close", "date").alias("last_price"),
         F.max_by("dividends", paid_on).alias("last_dividend"),
     )
@@ -36,8 +37,8 @@ def nested_histories(tape: DataFrame, as_of: datetime, price_days: int = 30,
                      dividend_days: int = 365) -> DataFrame:
     """Both histories as date-ordered arrays, one row per ticker seen in the longer window.
 
-    An array holds one element per distinct date, so the windows bound it on a coarse
-    tape. For finer ones use the flat histories.
+    An array holds one element per distinct date of its window, which is closed at both
+    ends: it does not grow with the tape. On a fine tape the flat histories are lighter.
     """
     dates = F.col("date").cast("timestamp").alias("date")
     price = F.struct(dates, F.col("adj_close").alias("adj close"))

@@ -8,29 +8,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickerloom.functions.numeric import log_return, ratio
-from tickerloom.functions.sizing import BROADCAST_ROWS, broadcast_if_fits
-from tickerloom.functions.timeline import COARSE_TIMES_A_DAY, is_coarse, with_previous
+from tickerloom.functions.timeline import with_previous
 from tickerloom.operators.clean import recent_rows
 
 
-def log_returns(tape: DataFrame, as_of: datetime, days: int = 365 * 5,
-                coarse: bool | None = None) -> DataFrame:
+def log_returns(tape: DataFrame, as_of: datetime, days: int = 365 * 5) -> DataFrame:
     """Log return of every row inside the window; a ticker's first row has none.
 
-    The window filter comes first, so nothing is carried in from before it. `coarse`
-    promises a tape of daily or similarly coarse rows; left out, the data is asked.
+    The window filter comes first, so nothing is carried in from before it.
     """
     rows = recent_rows(tape, as_of, days).select("ticker", "date", "adj_close")
-    return with_previous(rows, "ticker", "date", ["adj_close"], coarse).select(
+    return with_previous(rows, "ticker", "date", ["adj_close"]).select(
         "ticker", "date", "adj_close",
         log_return(F.col("adj_close"), F.col("previous_adj_close")).alias("log_return"),
     )
 
 
-def market_returns(index: DataFrame, as_of: datetime, days: int = 365 * 5,
-                   coarse: bool | None = None) -> DataFrame:
+def market_returns(index: DataFrame, as_of: datetime, days: int = 365 * 5) -> DataFrame:
     """Log returns of the index rows alone: (date, market_return)."""
-    return log_returns(index, as_of, days, coarse).select(
+    return log_returns(index, as_of, days).select(
         "date", F.col("log_return").alias("market_return")
     )
 
@@ -47,25 +43,16 @@ def _slope(paired: bool) -> Column:
 
 
 def beta(companies: DataFrame, index: DataFrame, as_of: datetime, days: int = 365 * 5,
-         paired: bool = False, coarse: bool | None = None) -> DataFrame:
+         paired: bool = False) -> DataFrame:
     """Five-year daily beta of every ticker in `companies` against the `index` rows.
 
-    A coarse index is broadcast: the window bounds its rows. A finer one is counted
-    first, and joined by a shuffle on date when it is too long. The final aggregate
-    combines per task first, so a long ticker costs no more than others.
+    The join carries no hint: its size at run time decides whether the market series is
+    broadcast. The final aggregate combines per task first, so a long ticker costs no
+    more than others.
     """
-    index_days = recent_rows(index, as_of, days).select("date")
-    if coarse is None:
-        days_seen = recent_rows(companies, as_of, days).select("date").union(index_days)
-        coarse = is_coarse(days_seen)
-    market = market_returns(index, as_of, days, coarse)
-    if coarse and days * COARSE_TIMES_A_DAY <= BROADCAST_ROWS:
-        market = F.broadcast(market)
-    else:
-        market = broadcast_if_fits(market, probe=index_days)
     return (
-        log_returns(companies, as_of, days, coarse)
-        .join(market, "date")
+        log_returns(companies, as_of, days)
+        .join(market_returns(index, as_of, days), "date")
         .groupBy("ticker")
         .agg(_slope(paired).alias("beta"))
     )
@@ -84,7 +71,7 @@ def beta_monthly(companies: DataFrame, index: DataFrame, as_of: datetime,
     """Beta over month-end prices.
 
     A ticker has one row a month, so one window per ticker is bounded, and so is
-    the broadcast index: one row per month since the cut-off.
+    the broadcast index: one row per month between cut-off and `as_of`.
     """
     by_month = Window.partitionBy("ticker").orderBy("month_index")
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickerloom.functions.sizing import broadcast_if_fits, fits
-from tickerloom.functions.timeline import is_coarse, since
+from tickerloom.functions.timeline import since
 from tickerloom.operators.clean import company_rows, instrument_rows, recent_rows
 from tickerloom.operators.dividends import dividend_growth, growth_with_latest
 from tickerloom.operators.prices import nested_histories
@@ -20,13 +20,6 @@ FIGURES = [
 ]
 
 
-def _coarse(tape: DataFrame, settings: AnalysisSettings) -> bool:
-    if settings.coarse is not None:
-        return settings.coarse
-    longest = max(settings.growth_days, settings.history_days)
-    return is_coarse(recent_rows(tape, settings.as_of, longest))
-
-
 def _growers(tape: DataFrame, settings: AnalysisSettings) -> tuple[DataFrame, DataFrame]:
     """Stored growers, and the company rows that the other parts have to read.
 
@@ -46,9 +39,9 @@ def _growers(tape: DataFrame, settings: AnalysisSettings) -> tuple[DataFrame, Da
 
 
 def _with_risk(growers: DataFrame, rows: DataFrame, tape: DataFrame, companies: DataFrame,
-               settings: AnalysisSettings, coarse: bool) -> DataFrame:
+               settings: AnalysisSettings) -> DataFrame:
     index = instrument_rows(tape, settings.market)
-    risk = beta(rows, index, settings.as_of, settings.growth_days, coarse=coarse)
+    risk = beta(rows, index, settings.as_of, settings.growth_days)
     return growers.join(risk, "ticker").join(companies, "ticker").select(*FIGURES)
 
 
@@ -57,23 +50,19 @@ def company_figures(tape: DataFrame, companies: DataFrame,
     """The report without its histories, for tapes of any density."""
     growers, rows = _growers(tape, settings)
     priced = recent_rows(rows, settings.as_of, settings.history_days).select("ticker").distinct()
-    figures = _with_risk(growers, rows, tape, companies, settings, _coarse(tape, settings))
+    figures = _with_risk(growers, rows, tape, companies, settings)
     return figures.join(priced, "ticker", "left_semi")
 
 
 def company_report(tape: DataFrame, companies: DataFrame, settings: AnalysisSettings) -> DataFrame:
     """One row per qualifying company that has all parts; the others drop out.
 
-    Histories are arrays, so the tape must be coarse: the windows then bound them. A
-    finer tape is refused; take `company_figures` and the flat histories for it.
+    Histories are arrays over windows that are closed at both ends. Of a tape with very
+    many times a day, `company_figures` with the flat `price_history` and
+    `dividend_history` gives the same content without arrays.
     """
-    if not _coarse(tape, settings):
-        raise ValueError(
-            "times finer than quarter hours do not bound the history arrays: use "
-            "company_figures with price_history and dividend_history"
-        )
     growers, rows = _growers(tape, settings)
-    figures = _with_risk(growers, rows, tape, companies, settings, coarse=True)
+    figures = _with_risk(growers, rows, tape, companies, settings)
     histories = nested_histories(
         rows, settings.as_of, settings.price_days, settings.history_days
     )

@@ -23,9 +23,9 @@ def register_views(tape: DataFrame, snapshots: DataFrame,
         "annual_dividends": annual,
         "growth_streaks": dividends.growth_streak(dividends.dividend_change(annual)),
         "dividend_growth": dividends.dividend_growth(rows, s.as_of, s.min_streak),
-        "log_returns": returns.log_returns(rows, s.as_of, s.growth_days, s.coarse),
-        "market_beta": returns.beta(rows, index, s.as_of, s.growth_days, coarse=s.coarse),
-        "latest_prices": prices.latest_price(rows),
+        "log_returns": returns.log_returns(rows, s.as_of, s.growth_days),
+        "market_beta": returns.beta(rows, index, s.as_of, s.growth_days),
+        "latest_prices": prices.latest_price(rows, s.as_of),
         "price_history": prices.price_history(rows, s.as_of, s.price_days),
         "dividend_history": prices.dividend_history(rows, s.as_of, s.history_days),
         "benchmark_rates": benchmarks.benchmark_rates(

@@ -10,8 +10,9 @@ from datetime import datetime
 class AnalysisSettings:
     """One analysis run.
 
-    ``as_of`` replaces the wall clock: every window ends there, so a run can be
-    repeated. Windows are day counts, not calendar months or years.
+    ``as_of`` replaces the wall clock: every window and every latest value ends there,
+    later rows change nothing, so a run can be repeated. Windows are day counts, not
+    calendar months or years.
     """
 
     as_of: datetime
@@ -21,14 +22,7 @@ class AnalysisSettings:
     history_days: int = 365
     price_days: int = 30
     min_streak: int = 5
-    # Whether tape times are whole quarter hours, as on daily tapes; None looks.
-    coarse: bool | None = None
 
     @property
     def benchmarks(self) -> list[str]:
         return [self.market, self.risk_free]
-
-    @property
-    def report_year(self) -> int:
-        """The last complete calendar year; a company must still be growing in it."""
-        return self.as_of.year - 1

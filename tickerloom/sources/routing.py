@@ -11,9 +11,18 @@ ACCEPTED, QUARANTINED = "accepted", "quarantined"
 
 
 def _unreadable(name: str) -> Column:
-    """The text is there, but it is no number. Empty text is a missing value."""
+    """The text is there, but it is no finite number. Empty text is a missing value."""
     value = F.col(name).try_cast("double")
-    return F.col(name).isNotNull() & (value.isNull() | F.isnan(value))
+    return F.col(name).isNotNull() & (
+        value.isNull() | F.isnan(value) | (F.abs(value) == float("inf")))
+
+
+def _readable_date(tape: DataFrame) -> Column:
+    """A whole date begins the text: a time alone would become one of today."""
+    moment = F.col("date").try_cast("timestamp")
+    if tape.schema["date"].dataType.typeName() != "string":
+        return moment.isNotNull()
+    return moment.isNotNull() & F.col("date").rlike(r"^\s*\d{4}-\d{1,2}-\d{1,2}")
 
 
 def quarantine_reason(tape: DataFrame) -> Column:
@@ -22,7 +31,7 @@ def quarantine_reason(tape: DataFrame) -> Column:
     return (
         F.when(corrupt, "malformed line")
         .when(F.col("ticker").isNull(), "no ticker")
-        .when(F.col("date").try_cast("timestamp").isNull(), "bad date")
+        .when(~F.coalesce(_readable_date(tape), F.lit(False)), "bad date")
         .when(_unreadable("adj_close"), "bad price")
         .when(_unreadable("dividends"), "bad dividend")
     )

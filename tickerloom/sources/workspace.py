@@ -21,7 +21,9 @@ def shared_folder(spark: SparkSession, label: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         app = spark.sparkContext.applicationId
-        base = _local_folders.setdefault(app, tempfile.mkdtemp(prefix="tickerloom-"))
+        if app not in _local_folders:
+            _local_folders[app] = tempfile.mkdtemp(prefix="tickerloom-")
+        base = _local_folders[app]
     return f"{base.rstrip('/')}/{label}-{uuid4().hex}"
 
 

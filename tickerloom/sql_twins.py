@@ -49,7 +49,7 @@ CTES = {
         SELECT ticker, date, adj_close,
                CASE WHEN previous <> 0 AND adj_close / previous > 0 THEN ln(adj_close / previous) END AS r
         FROM (SELECT *, lag(adj_close) OVER (PARTITION BY ticker ORDER BY date) AS previous
-              FROM tape WHERE date >= TIMESTAMP '1996-08-02')""",
+              FROM tape WHERE date BETWEEN TIMESTAMP '1996-08-02' AND TIMESTAMP '2001-08-01')""",
     "market": "SELECT date, r AS m FROM returns WHERE ticker = '0'",
     "betas": """
         SELECT ticker, covar_pop(r, m) / nullif(var_pop(m), 0) AS beta, regr_slope(r, m) AS paired
@@ -58,13 +58,13 @@ CTES = {
     "latest": """
         SELECT ticker, arg_max_null(adj_close, date) AS last_price,
                arg_max(dividends, date) FILTER (WHERE dividends > 0) AS last_dividend
-        FROM comp GROUP BY ticker""",
+        FROM comp WHERE date <= TIMESTAMP '2001-08-01' GROUP BY ticker""",
     "histories": """
         SELECT ticker,
-               count(CASE WHEN date >= TIMESTAMP '2001-07-02' THEN 1 END) AS n_prices,
+               count(CASE WHEN date BETWEEN TIMESTAMP '2001-07-02' AND TIMESTAMP '2001-08-01' THEN 1 END) AS n_prices,
                count(CASE WHEN dividends > 0 THEN 1 END) AS n_dividends,
-               max(CASE WHEN date >= TIMESTAMP '2001-07-02' THEN date END) AS last_price_date
-        FROM comp WHERE date >= TIMESTAMP '2000-08-01' GROUP BY ticker""",
+               max(CASE WHEN date BETWEEN TIMESTAMP '2001-07-02' AND TIMESTAMP '2001-08-01' THEN date END) AS last_price_date
+        FROM comp WHERE date BETWEEN TIMESTAMP '2000-08-01' AND TIMESTAMP '2001-08-01' GROUP BY ticker""",
     "companies": """
         SELECT CAST(s_suppkey AS VARCHAR) AS ticker, s_name AS name, r_name AS sector, n_name AS industry
         FROM supplier JOIN nation ON s_nationkey = n_nationkey
@@ -72,9 +72,10 @@ CTES = {
     "rates": """
         SELECT ticker, pow(arg_max_null(adj_close, date) / nullif(arg_min_null(adj_close, date), 0), 0.2) - 1
                    AS rate
-        FROM tape WHERE ticker = '0' AND date >= TIMESTAMP '1996-08-02' GROUP BY ticker
+        FROM tape WHERE ticker = '0' AND date BETWEEN TIMESTAMP '1996-08-02' AND TIMESTAMP '2001-08-01' GROUP BY ticker
         UNION ALL
-        SELECT ticker, arg_max_null(adj_close, date) / 100 FROM tape WHERE ticker = '1' GROUP BY ticker""",
+        SELECT ticker, arg_max_null(adj_close, date) / 100 FROM tape
+        WHERE ticker = '1' AND date <= TIMESTAMP '2001-08-01' GROUP BY ticker""",
     "report": """
         SELECT ticker, name, sector, industry, consecutive_growth_years, dividend_frequency, beta,
                five_year_cagr, last_dividend, last_price, n_prices, n_dividends, last_price_date
@@ -84,8 +85,7 @@ CTES = {
         SELECT CAST(o_custkey AS VARCHAR) AS symbol, c_name AS security, c_mktsegment AS gics_sector,
                o_orderpriority AS gics_sub_industry,
                CAST(date_trunc('month', o_orderdate) AS TIMESTAMP) AS updated_at
-        FROM orders JOIN customer ON o_custkey = c_custkey
-        WHERE o_orderdate < TIMESTAMP '2001-08-01'""",
+        FROM orders JOIN customer ON o_custkey = c_custkey""",
     "newest": """
         SELECT symbol AS ticker, security AS name, gics_sector AS sector, gics_sub_industry AS industry
         FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY updated_at DESC,
@@ -187,7 +187,7 @@ def oracle_sql() -> dict[str, str]:
         "clean_tape": "SELECT * FROM tape",
         "curated_tape": "SELECT * FROM tape",
         "company_rows": "SELECT * FROM comp",
-        "recent_rows": "SELECT * FROM comp WHERE date >= TIMESTAMP '2000-08-01'",
+        "recent_rows": "SELECT * FROM comp WHERE date BETWEEN TIMESTAMP '2000-08-01' AND TIMESTAMP '2001-08-01'",
         "normalise_utc": """
             SELECT event_id, ts AS from_utc, ts - INTERVAL '5 hours 30 minutes' AS from_offset
             FROM events""",
@@ -256,14 +256,14 @@ def oracle_sql() -> dict[str, str]:
             SELECT ticker, date, adj_close,
                    CASE WHEN previous <> 0 AND adj_close / previous > 0
                         THEN {six('ln(adj_close / previous)')} END AS log_return
-            FROM steps WHERE date >= TIMESTAMP '2023-02-01'""",
+            FROM steps WHERE date BETWEEN TIMESTAMP '2023-02-01' AND TIMESTAMP '2024-02-01'""",
         "market_returns": f"SELECT date, {six('m')} AS market_return FROM market",
         "beta": f"SELECT ticker, {six('beta')} AS beta FROM betas",
         "beta_paired": f"SELECT ticker, {six('paired')} AS beta FROM betas",
         "beta_monthly": f"""
             , ends AS (
                 SELECT ticker, year * 12 + month AS month_index, arg_max_null(adj_close, date) AS price
-                FROM tape WHERE date >= TIMESTAMP '1996-08-02' GROUP BY 1, 2),
+                FROM tape WHERE date BETWEEN TIMESTAMP '1996-08-02' AND TIMESTAMP '2001-08-01' GROUP BY 1, 2),
             steps AS (
                 SELECT ticker, month_index,
                        ln(price / lag(price) OVER (PARTITION BY ticker ORDER BY month_index)) AS r
@@ -273,14 +273,14 @@ def oracle_sql() -> dict[str, str]:
             WHERE c.ticker NOT IN ('0', '1') GROUP BY c.ticker""",
         "latest_price": "SELECT * FROM latest",
         "price_history": """
-            SELECT ticker, date, adj_close FROM comp WHERE date >= TIMESTAMP '2001-07-02'""",
+            SELECT ticker, date, adj_close FROM comp WHERE date BETWEEN TIMESTAMP '2001-07-02' AND TIMESTAMP '2001-08-01'""",
         "dividend_history": """
             SELECT ticker, date, dividends FROM comp
-            WHERE date >= TIMESTAMP '2000-08-01' AND dividends > 0""",
+            WHERE date BETWEEN TIMESTAMP '2000-08-01' AND TIMESTAMP '2001-08-01' AND dividends > 0""",
         "benchmark_rates": f"SELECT ticker, {six('rate')} AS rate FROM rates",
         "index_rate_calendar": f"""
             SELECT ticker, {six(index_growth)} AS rate
-            FROM tape WHERE ticker = '0' AND date >= TIMESTAMP '1996-08-02' GROUP BY ticker""",
+            FROM tape WHERE ticker = '0' AND date BETWEEN TIMESTAMP '1996-08-02' AND TIMESTAMP '2001-08-01' GROUP BY ticker""",
         "company_report": f"""
             SELECT * REPLACE ({six('beta')} AS beta, {six('five_year_cagr')} AS five_year_cagr)
             FROM report""",
@@ -314,24 +314,24 @@ def oracle_sql() -> dict[str, str]:
         "stream_annual": """
             SELECT ticker, year, round(sum(dividends), 6) + 0.0 AS annual_dividend,
                    count(CASE WHEN dividends > 0 THEN 1 END) AS dividend_frequency
-            FROM tape GROUP BY ticker, year""",
+            FROM comp GROUP BY ticker, year""",
     }
     built = {name: _query(select) for name, select in selects.items()}
     built["dropped_companies"] = _query(
         """
         , trading AS (SELECT DISTINCT date FROM tape
-                      WHERE ticker = '0' AND date >= TIMESTAMP '1996-08-02'),
+                      WHERE ticker = '0' AND date BETWEEN TIMESTAMP '1996-08-02' AND TIMESTAMP '2001-08-01'),
         seen AS (
             SELECT c.ticker, max(t.date) AS market_day,
-                   bool_or(c.date >= TIMESTAMP '2001-07-02') AS recent
+                   bool_or(c.date BETWEEN TIMESTAMP '2001-07-02' AND TIMESTAMP '2001-08-01') AS recent
             FROM comp c LEFT JOIN trading t ON c.date = t.date
-            WHERE c.date >= TIMESTAMP '1996-08-02' GROUP BY c.ticker),
+            WHERE c.date BETWEEN TIMESTAMP '1996-08-02' AND TIMESTAMP '2001-08-01' GROUP BY c.ticker),
         judged AS (
             SELECT g.ticker, CASE WHEN market_day IS NULL THEN 'no market day'
                                   WHEN a.s_suppkey IS NULL THEN 'no company'
                                   WHEN NOT coalesce(recent, FALSE) THEN 'no recent price' END AS reason
             FROM growth g LEFT JOIN seen USING (ticker)
-            LEFT JOIN supplier a ON CAST(a.s_suppkey AS VARCHAR) = g.ticker AND a.s_acctbal >= 0)
+            LEFT JOIN supplier a ON CAST(a.s_suppkey AS VARCHAR) = g.ticker)
         SELECT ticker, reason FROM judged WHERE reason IS NOT NULL""",
         min_streak=1,
     )

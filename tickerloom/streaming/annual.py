@@ -6,19 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tickerloom.operators.clean import dedupe_tape
+from tickerloom.operators.clean import company_rows, dedupe_tape
 from tickerloom.operators.dividends import annual_dividends
 
 COLUMNS = ["ticker", "date", "adj_close", "dividends", "source_rank"]
 
 
-def refresh_years(batch: DataFrame, batch_id: int, tape_path: str, annual_path: str) -> None:
-    """Store the batch, then rebuild the years it touches, for all tickers.
+def refresh_years(batch: DataFrame, batch_id: int, tape_path: str, annual_path: str,
+                  benchmarks: list[str]) -> None:
+    """Store the batch's company rows, then rebuild the years it touches, for all tickers.
 
     A batch owns its folder and a rebuilt year replaces its folder, so a batch that
     runs twice after a failure leaves the same tables. Other years stay as they are.
     """
     spark = batch.sparkSession
+    batch = company_rows(batch, benchmarks)
     stored = batch.select(*COLUMNS, F.year("date").alias("year"), F.lit(batch_id).alias("batch"))
     (
         stored.hint("rebalance", "year")
@@ -41,11 +43,13 @@ def refresh_years(batch: DataFrame, batch_id: int, tape_path: str, annual_path:
     )
 
 
-def start_annual(tape: DataFrame, tape_path: str, annual_path: str,
-                 checkpoint: str) -> StreamingQuery:
+def start_annual(tape: DataFrame, tape_path: str, annual_path: str, checkpoint: str,
+                 benchmarks: list[str]) -> StreamingQuery:
+    """Keep `annual_dividends` of the companies at `annual_path`; benchmarks stay out."""
     return (
         tape.writeStream.foreachBatch(
-            lambda batch, batch_id: refresh_years(batch, batch_id, tape_path, annual_path)
+            lambda batch, batch_id: refresh_years(
+                batch, batch_id, tape_path, annual_path, benchmarks)
         )
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
