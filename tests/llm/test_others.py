@@ -202,10 +202,15 @@ def test_judge(spark):
 
 def test_trees_learn(spark):
     """URLs without a rule follow what the labelled ones look like."""
-    rules = (urls.Rule("bad.com", "/", "block"), urls.Rule("good.com", "/", "allow"))
-    rows = [(i, f"http://a.bad.com/{i}{i}9/{i}77?x={i}&y=1") for i in range(100)]
-    rows += [(200 + i, f"http://a.good.com/story/of/{'abcdefgh'[i % 8]}") for i in range(100)]
-    rows += [(900, "http://b.net/7719/1277?x=3&y=1"), (901, "http://b.net/story/of/h")]
+    rules = (urls.Rule("aaa.com", "/", "block"), urls.Rule("bbb.com", "/", "allow"))
+    rng = random.Random(4)
+
+    def path(letters):
+        return "".join(rng.choice(letters) for _ in range(rng.randrange(8, 30)))
+
+    rows = [(i, f"http://x.aaa.com/{path('0123456789')}") for i in range(150)]
+    rows += [(200 + i, f"http://x.bbb.com/{path('abcdefghij')}") for i in range(150)]
+    rows += [(900, "http://x.ccc.com/77192803641277"), (901, "http://x.ccc.com/abhgdjfiecbadf")]
     found = urls.judge(spark.createDataFrame(rows, "page_id long, url string"), rules).collect()
     assert {r["page_id"]: r["verdict"] for r in found if r["page_id"] >= 900} == {
         900: "block", 901: "allow"}

@@ -48,8 +48,12 @@ from tickerloom.llm.textops import U, mix
 
 GRAM = 24
 PIECE_BYTES = 1_500_000
-BLOCK_SEGMENTS = 4_000
+BLOCK_SEGMENTS = 20_000
+BATCH_SEGMENTS = 1_000
+STRETCH = 128
 _PLACE = U(2**24 - 1)
+NO_REPEATS = pa.schema([("doc_id", pa.int64()), ("low", pa.int64()), ("high", pa.int64()),
+                        ("key", pa.int64()), ("first", pa.bool_())])
 OCCURRENCE = "anchor long, segment long, doc_id long, place long, ahead int, windows int"
 
 
@@ -134,9 +138,10 @@ def suffix_ranks(strings: list[bytes], least: int) -> list[np.ndarray]:
         longer = lengths > k
         columns[longer, k] = codes[ends[longer] - 1 - k] + 1
     before, place = columns[:, 0].copy(), np.arange(many)
+    row = (np.arange(int(lengths.sum()) + many) // STRETCH) * kinds
     for k in range(1, columns.shape[1]):
         active = np.flatnonzero(lengths >= k)
-        target = _mapped(before, place[active], kinds, many)
+        target = _mapped(before, place[active], kinds, many, row)
         grown = np.empty(len(before) + len(active), dtype=before.dtype)
         old = np.ones(len(grown), dtype=bool)
         old[target] = False
@@ -157,38 +162,75 @@ def suffix_ranks(strings: list[bytes], least: int) -> list[np.ndarray]:
     return [ranks[i, :max(n - least + 1, 0)][::-1] for i, n in enumerate(lengths)]
 
 
-def _mapped(before: np.ndarray, places: np.ndarray, kinds: int, many: int) -> np.ndarray:
-    """Where the suffixes begun by the symbols at `places` stand in the next round."""
-    stretch = 256
+def _mapped(before: np.ndarray, places: np.ndarray, kinds: int, many: int,
+            row: np.ndarray) -> np.ndarray:
+    """Where the suffixes begun by the symbols at `places` stand in the next round.
+    `row` has, for each place, where the counts of its stretch begin."""
     n = len(before)
-    row = np.arange(n, dtype=np.int64) >> 8
-    counts = np.bincount(row * kinds + before, minlength=(-(-n // stretch)) * kinds
+    counts = np.bincount(row[:n] + before, minlength=(-(-n // STRETCH)) * kinds
                          ).reshape(-1, kinds)
     total = counts.sum(axis=0)
     smaller = np.cumsum(total) - total - total[0]            # what has no symbol comes first
     above = np.cumsum(counts, axis=0) - counts
-    symbols, rows_of = before[places], places >> 8
-    padded = np.concatenate((before, np.zeros(stretch, before.dtype)))
-    view = np.lib.stride_tricks.as_strided(
-        padded, shape=(-(-n // stretch), stretch), strides=(stretch * before.itemsize,
-                                                            before.itemsize))
+    symbols, rows_of = before[places], places // STRETCH
+    view = np.zeros((len(counts), STRETCH), before.dtype)
+    view.ravel()[:n] = before
     inside = ((view[rows_of] == symbols[:, None])
-              & (np.arange(stretch)[None, :] < (places & 255)[:, None])).sum(axis=1)
+              & (np.arange(STRETCH)[None, :] < (places % STRETCH)[:, None])).sum(axis=1)
     return many + smaller[symbols] + above[rows_of, symbols] + inside
 
 
-def _block_repeats(length: int):
+def _ranks_by_batch(strings: list[bytes], anchor: np.ndarray, least: int) -> list[np.ndarray]:
+    """Ranks as of `suffix_ranks`, built for whole anchors of some BATCH_SEGMENTS
+    segments at a time, so that a round's arrays stay in the processor's cache."""
+    out: list[np.ndarray] = []
+    ends = np.append(np.flatnonzero(anchor[1:] != anchor[:-1]) + 1, len(anchor))
+    begin, above = 0, 0
+    for end, after in zip(ends, np.append(ends[1:], 0), strict=True):
+        if after == 0 or after - begin > BATCH_SEGMENTS:
+            found = suffix_ranks(strings[begin:end], least)
+            out.extend(r + above for r in found)
+            above += sum(map(len, strings[begin:end])) + end - begin
+            begin = end
+    return out
+
+
+def _block_repeats(length: int, gram: int):
     """One block: stretches to remove, and the first place of each string of anchors
     that other blocks have too."""
 
+    half = (length - gram) // 2
+
+    def sharing(block: pa.Table) -> np.ndarray:
+        """Segments that may share a window with another of their anchor: one side of
+        the anchor gives at least half of what a window has besides it."""
+        strings = block.column("bytes").to_pylist()
+        ahead, anchor = (np.asarray(block.column(c)) for c in ("ahead", "anchor"))
+        data, offsets = textops.joined(strings)
+        sums, at = textops.prefix_hashes(data), offsets[:-1] + ahead
+        ends = offsets[1:] - 1
+        found = np.asarray(block.column("split")).copy()
+        for low, high in ((at - half, at), (at + gram, at + gram + half)):
+            there = np.flatnonzero((low >= offsets[:-1]) & (high <= ends))
+            side = mix(textops.stretch_hashes(sums, low[there], high[there])
+                       ^ anchor[there].view(np.uint64))
+            _, which, counts = np.unique(side, return_inverse=True, return_counts=True)
+            found[there[counts[which] > 1]] = True
+        return found
+
     def repeats(block: pa.Table) -> pa.Table:
-        block = block.sort_by([("anchor", "ascending"), ("doc_id", "ascending"),
+        block = block.filter(pa.array(sharing(block))).sort_by([("anchor", "ascending"), ("doc_id", "ascending"),
                                ("place", "ascending")])
-        strings = block.column("bytes").to_pylist()
         anchor, doc, place, ahead = (np.asarray(block.column(c)) for c in (
             "anchor", "doc_id", "place", "ahead"))
         split = np.asarray(block.column("split"))
-        ranks = suffix_ranks(strings, length)
+        if not len(anchor):
+            return NO_REPEATS.empty_table()
+        # the anchor's own bytes are the same in all its segments, at the same offset of
+        # equal windows, and lie in every window: they need no rounds
+        strings = [s[:a] + s[a + gram:] for s, a in zip(
+            block.column("bytes").to_pylist(), ahead.tolist(), strict=True)]
+        ranks = _ranks_by_batch(strings, anchor, length - gram)
         string = np.repeat(np.arange(len(strings)), [len(r) for r in ranks])
         start = np.concatenate([np.arange(len(r)) for r in ranks])
         rank = np.concatenate(ranks)
@@ -196,8 +238,8 @@ def _block_repeats(length: int):
         string, start = string[order], start[order]
         data, offsets = textops.joined(strings)
         at = offsets[string] + start
-        alike = textops.stretch_hashes(textops.prefix_hashes(data), at, at + length)
-        # neighbours in suffix order that share `length` symbols and belong together
+        # neighbours in suffix order that share these symbols and belong together
+        alike = textops.stretch_hashes(textops.prefix_hashes(data), at, at + length - gram)
         alike = mix(mix(alike ^ anchor[string].view(np.uint64))
                     + (ahead[string] - start).astype(np.uint64))
         new = np.ones(len(alike), dtype=bool)
@@ -238,7 +280,8 @@ def covered(docs: DataFrame, length: int = 100, gram: int = GRAM) -> DataFrame:
     `docs` has a doc_id that is not null and not repeated, and the text as bytes.
     """
     found = saved(occurrences(docs, length, gram), "segments")
-    again = found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
+    again = saved(found.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"),
+                  "repeated-anchors")
     repeated = saved(found.join(again.select("anchor"), "anchor", "left_semi"),
                      "repeated-segments")
     firsts = saved(repeated.groupBy("anchor", "segment", "ahead", "windows").agg(
@@ -262,7 +305,7 @@ def covered(docs: DataFrame, length: int = 100, gram: int = GRAM) -> DataFrame:
             .groupBy("doc_id").agg(F.collect_list("cut").alias("cuts")))
     sorted_blocks = saved(
         _cut(docs.join(cuts, "doc_id"), length).groupBy("block").applyInArrow(
-            _block_repeats(length),
+            _block_repeats(length, gram),
             "doc_id long, low long, high long, key long, first boolean"), "block-repeats")
     ones = sorted_blocks.where("first")
     earliest = ones.groupBy("key").agg(
