@@ -14,8 +14,8 @@ Skew. Documents with equal sets are one class before anything is paired. In a
 bucket the members are compared with one pivot, not with each other; the links
 found make components, and following rounds take another pivot and only members of
 other components. What is left after the pivot rounds (members of one bucket in
-different components) is compared in full, so no link is lost. Sets travel by
-joins that adaptive execution can split.
+different components) is compared in full, large buckets in tiles of bounded size,
+so no link is lost. Sets travel by joins that adaptive execution can split.
 
 Defined results: null or empty texts and texts without words have no shingles,
 n_shingles 0, and are linked with nothing. A text with fewer words than a shingle
@@ -39,6 +39,8 @@ from tickerloom.llm.components import components
 from tickerloom.llm.textops import U, mix
 
 EMPTY = U(2**64 - 1)
+#: A bucket of up to so many members gives its pairs as rows; tiles hold so many sets.
+SMALL, TILE_MEMBERS, TILE_OTHERS = 32, 512, 64
 _SEEDS = mix(np.arange(1, 4097, dtype=np.uint64) * U(0xD6E8FEB86659FD93))
 
 
@@ -152,28 +154,91 @@ def _alike_in_size(share: int):
     return low * 100 >= high * share
 
 
-def _cross_pairs(members: DataFrame, share: int, pivot_order: str | None) -> DataFrame:
-    """Distinct (a, b), a < b, of one bucket but different components; with a pivot
-    order only those between the bucket's first member and the others."""
-    spread = (members.groupBy("bucket")
-              .agg(F.min("component").alias("least"), F.max("component").alias("most"),
-                   F.min_by(F.struct("id", "n", "component"),
-                            F.expr(pivot_order or "id")).alias("pivot"))
-              .where("least <> most"))
-    if pivot_order:
-        other = spread.select("bucket", F.col("pivot.id").alias("pivot_id"),
-                              F.col("pivot.n").alias("pivot_n"),
-                              F.col("pivot.component").alias("pivot_component"))
-    else:
-        other = members.join(spread.select("bucket"), "bucket", "left_semi").select(
-            "bucket", F.col("id").alias("pivot_id"), F.col("n").alias("pivot_n"),
-            F.col("component").alias("pivot_component"))
-    pairs = members.join(other, "bucket").where(
-        (F.col("component") != F.col("pivot_component")) & _alike_in_size(share))
-    if not pivot_order:
-        pairs = pairs.where("id < pivot_id")
-    return pairs.select(F.least("id", "pivot_id").alias("a"),
-                        F.greatest("id", "pivot_id").alias("b")).distinct()
+def _buckets(members: DataFrame, order: str) -> DataFrame:
+    """Buckets with members of several components: size, and the first by `order`."""
+    return (members.groupBy("bucket")
+            .agg(F.min("component").alias("least"), F.max("component").alias("most"),
+                 F.count("*").alias("size"),
+                 F.min_by(F.struct("id", "n", "component"), F.expr(order)).alias("pivot"))
+            .where("least <> most")
+            .select("bucket", "size", F.col("pivot.id").alias("pivot_id"),
+                    F.col("pivot.n").alias("pivot_n"),
+                    F.col("pivot.component").alias("pivot_component")))
+
+
+def _candidates(members: DataFrame, others: DataFrame, share: int) -> DataFrame:
+    return (members.join(others, "bucket")
+            .where((F.col("component") != F.col("pivot_component")) & _alike_in_size(share))
+            .select(F.least("id", "pivot_id").alias("a"),
+                    F.greatest("id", "pivot_id").alias("b")).distinct())
+
+
+def _pivot_links(members: DataFrame, sets: DataFrame, share: int, step: int) -> DataFrame:
+    """Links between a bucket's pivot and its members of other components. The first
+    round prefers the same pivots in all buckets, for fewer pairs; later rounds, with
+    few members left outside, take a different one in each."""
+    order = f"xxhash64(id, bucket, {step})" if step else "xxhash64(id)"
+    pivots = saved(_buckets(members, order).drop("size"), "pivots")
+    return verified(_candidates(members, pivots, share), sets, share)
+
+
+def _remaining_links(members: DataFrame, sets: DataFrame, share: int) -> DataFrame:
+    """Every link between different components of one bucket.
+
+    In a bucket of up to SMALL members the pairs are rows. A larger one is cut into
+    tiles of members and of those outside its most likely largest component, the
+    pivot's; a tile holds a bounded number of sets and gives only its links.
+    """
+    spread = saved(_buckets(members, "xxhash64(id, bucket)"), "spread-buckets")
+    few = members.join(spread.where(F.col("size") <= SMALL).select("bucket"), "bucket")
+    others = few.select("bucket", F.col("id").alias("pivot_id"), F.col("n").alias("pivot_n"),
+                        F.col("component").alias("pivot_component"))
+    small = verified(_candidates(few, others.alias("o"), share), sets, share)
+    many = members.join(spread.where(F.col("size") > SMALL)
+                        .select("bucket", "pivot_component"), "bucket")
+    outside = F.col("component") != F.col("pivot_component")
+    tiles = saved(many.groupBy("bucket").agg(
+        F.ceil(F.count("*") / TILE_MEMBERS).cast("int").alias("across"),
+        F.ceil(F.count_if(outside) / TILE_OTHERS).cast("int").alias("down")), "tiles")
+    placed = many.withColumn("outside", outside).join(tiles, "bucket")
+    across = F.pmod(F.xxhash64("id"), F.col("across")).cast("int")
+    down = F.pmod(F.xxhash64("id"), F.col("down")).cast("int")
+    every = placed.select("bucket", "id", "component", "n", F.lit(False).alias("other"),
+                          across.alias("x"), F.explode(F.sequence(
+                              F.lit(0), F.col("down") - 1)).alias("y"))
+    alone = placed.where("outside").select(
+        "bucket", "id", "component", "n", F.lit(True).alias("other"),
+        F.explode(F.sequence(F.lit(0), F.col("across") - 1)).alias("x"), down.alias("y"))
+    tiled = (every.union(alone).join(sets, "id")
+             .groupBy("bucket", "x", "y").applyInArrow(_tile_links(share), "a long, b long"))
+    return small.union(tiled).distinct()
+
+
+def _tile_links(share: int):
+    """Links of one tile: its other members, each against all its members at once."""
+
+    def links(tile: pa.Table) -> pa.Table:
+        other = np.asarray(tile.column("other"))
+        ids, component = (np.asarray(tile.column(c)) for c in ("id", "component"))
+        sets = [np.frombuffer(x, np.uint64) for x in tile.column("members").to_pylist()]
+        plain = np.flatnonzero(~other)
+        found_a, found_b = [], []
+        if len(plain):
+            sizes = np.array([len(sets[i]) for i in plain])
+            starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+            elements = np.concatenate([sets[i] for i in plain])
+            for k in np.flatnonzero(other):
+                own = sets[k]
+                at = np.minimum(np.searchsorted(own, elements), len(own) - 1)
+                both = np.add.reduceat((own[at] == elements).astype(np.int64), starts)
+                linked = ((100 * both >= share * (sizes + len(own) - both))
+                          & (component[plain] != component[k]))
+                for m in ids[plain[linked]]:
+                    found_a.append(min(m, ids[k]))
+                    found_b.append(max(m, ids[k]))
+        return pa.table({"a": pa.array(found_a, pa.int64()), "b": pa.array(found_b, pa.int64())})
+
+    return links
 
 
 def _merged(members: DataFrame, links: DataFrame) -> DataFrame:
@@ -208,8 +273,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, share: int = 80, bands: int
         classes.select("id", F.col("d1").alias("digest")), ["id", "digest"], "left_semi")
     sets = saved(sets.select("id", "members"), "shingle-sets")
     for step in range(pivot_rounds + 1):
-        order = f"xxhash64(id, {step})" if step < pivot_rounds else None
-        links = saved(verified(_cross_pairs(members, share, order), sets, share), "links")
+        links = saved(_pivot_links(members, sets, share, step) if step < pivot_rounds
+                      else _remaining_links(members, sets, share), "links")
         if not links.limit(1).count():
             continue
         members = saved(_merged(members, links), "bucket-members")
