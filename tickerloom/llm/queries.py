@@ -20,6 +20,7 @@ from tickerloom.llm import (
     quality,
     suffixes,
     toxicity,
+    twins,
     urls,
 )
 from tickerloom.llm.common import table
@@ -97,4 +98,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_mixing": twins.OP3_MIXING, "op5_lines": twins.OP5_LINES}
