@@ -53,11 +53,47 @@ def test_tape_files_with_extra_columns(spark, tmp_path):
     assert [r[delimited.CORRUPT] for r in rows] == [None, None, "2024-01-04,AAA,1"]
 
 
-def test_files_with_different_headers_are_refused(spark, tmp_path):
+def test_files_with_different_headers_are_matched_by_name(spark, tmp_path):
     (tmp_path / "a.csv").write_text("Date,Ticker,Adj Close,Dividends\n2024-01-02,AAA,2.5,0.1\n")
+    (tmp_path / "b 1.csv").write_text("Ticker,Date,Adj Close,Dividends\nBBB,2024-01-02,3.5,0.2\n")
+    (tmp_path / "c.csv").write_text(
+        "Date,Ticker,Adj Close,Dividends,Stock Splits\n2024-01-03,AAA,2.6,0,2\n2024-01-04,AAA,1\n")
+    (tmp_path / "d.csv").write_text("Time,Symbol\n2024-01-02,AAA\n")
+    (tmp_path / "e.csv").write_text("")
+    routed = routing.route(delimited.read_tape(spark, str(tmp_path))).collect()
+    good = sorted((r["ticker"], str(r["date"])[:10], r["adj_close"], r["dividends"])
+                  for r in routed if r["route"] == "accepted")
+    assert good == [("AAA", "2024-01-02", 2.5, 0.1), ("AAA", "2024-01-03", 2.6, 0.0),
+                    ("BBB", "2024-01-02", 3.5, 0.2)]
+    bad = sorted((r["reason"], r["raw_row"]) for r in routed if r["route"] == "quarantined")
+    assert bad == [("malformed line", "2024-01-02,AAA"), ("malformed line", "2024-01-04,AAA,1"),
+                   ("malformed line", "Time,Symbol")]
+
+
+def test_another_header_than_the_promised_one_is_refused(spark, tmp_path):
     (tmp_path / "b.csv").write_text("Ticker,Date,Adj Close,Dividends\nAAA,2024-01-02,2.5,0.1\n")
+    header = ["Date", "Ticker", "Adj Close", "Dividends"]
     with pytest.raises(Exception, match="CSV header does not conform"):
-        delimited.read_tape(spark, str(tmp_path)).collect()
+        delimited.read_tape(spark, str(tmp_path), header).collect()
+
+
+def test_refused_snapshot_lines_are_listed(spark, tmp_path):
+    top = "Symbol|Security|GICS Sector|GICS Sub-Industry|updatedAt\n"
+    (tmp_path / "a.csv").write_text(
+        f"{top}A|Alpha|Tech|Chips|2024-01-02 00:00:00\nB|Beta\nC|Gamma|Tech|Chips|soon\n")
+    found = delimited.refused_snapshots(spark, str(tmp_path)).collect()
+    assert sorted(r["reason"] for r in found) == ["bad time", "malformed line"]
+    assert "B|Beta" in [r["raw_row"] for r in found]
+    whole = delimited.read_snapshots(spark, str(tmp_path)).filter("updated_at IS NOT NULL")
+    assert [r["symbol"] for r in whole.collect()] == ["A"]
+
+
+def test_registered_folder_matches_columns_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("A,B\n1,x\n007,y\n")
+    (tmp_path / "b.csv").write_text("B,A,C\nz,q7,5\n")
+    found = delimited.register_folder(spark, str(tmp_path), "mixed_folder")
+    assert sorted(map(tuple, found.select("a", "b", "c").collect()), key=str) == [
+        ("007", "y", None), ("1", "x", None), ("q7", "z", 5)]
 
 
 def test_bad_rows_are_quarantined_with_reason(spark, tmp_path):

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,14 +14,49 @@ from tickerloom.functions.names import normalise_names, snake
 CORRUPT = "_corrupt_record"
 
 
-def read_text_columns(spark: SparkSession, path: str, sep: str = ",",
-                      header: list[str] | None = None) -> DataFrame:
-    """All columns as text under normalised names, malformed lines kept aside.
+def files_by_header(spark: SparkSession, path: str) -> list[list[str]]:
+    """Files under `path` that share their first line, largest group first.
+
+    The first block of each file is read for it. The driver holds one path for each
+    file, as its own listing of the folder does.
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), "value",
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"))  # grows along a file
+    first = lines.filter("block = 0").groupBy("file").agg(F.min_by("value", "at").alias("line"))
+    groups = first.groupBy("line").agg(F.sort_array(F.collect_list("file")).alias("files"))
+    found = [[unquote(f) for f in row["files"]] for row in groups.collect()]
+    return sorted(found, key=lambda files: (-len(files), files))
+
 
-    The header of one file gives the names, unless `header` does; a file with another
-    header stops the read instead of filling the wrong columns.
+def read_text_columns(spark: SparkSession, path: str, sep: str = ",",
+                      header: list[str] | None = None,
+                      needed: tuple[str, ...] = ()) -> DataFrame:
+    """All columns as text under normalised names, malformed lines kept aside, and the
+    rank of each row's file.
+
+    Columns are matched by name: files may order them differently, have more, or lack
+    some, which are null there. A file without a column of `needed` is put aside whole:
+    its lines come as malformed ones. With `header` all files have that one header, and
+    another one stops the read.
     """
-    names = header or spark.read.csv(path, sep=sep, header=True).columns
+    groups = [] if header else files_by_header(spark, path)
+    if len(groups) < 2:
+        names = header or spark.read.csv(path, sep=sep, header=True).columns
+        return _one_header(spark, path, sep, names, needed)
+    parts = [_one_header(spark, files, sep,
+                         spark.read.csv(files[0], sep=sep, header=True).columns, needed)
+             for files in groups]
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+
+
+def _one_header(spark: SparkSession, path: str | list[str], sep: str, names: list[str],
+                needed: tuple[str, ...]) -> DataFrame:
+    rank = file_age_rank().alias("source_rank")
+    if not set(needed) <= {snake(n) for n in names}:
+        missing = [F.lit(None).cast("string").alias(n) for n in needed]
+        return spark.read.text(path).select(*missing, F.col("value").alias(CORRUPT), rank)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, CORRUPT]])
     raw = (
         spark.read.schema(schema)
@@ -27,7 +65,7 @@ def read_text_columns(spark: SparkSession, path: str, sep: str = ",",
         .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(path, sep=sep, header=True)
     )
-    return raw.toDF(*[snake(n) for n in names], CORRUPT)
+    return raw.select(*[F.col(f"`{n}`").alias(snake(n)) for n in names], CORRUPT, rank)
 
 
 def file_age_rank() -> F.Column:
@@ -37,18 +75,32 @@ def file_age_rank() -> F.Column:
 
 def read_tape(spark: SparkSession, path: str, header: list[str] | None = None) -> DataFrame:
     """Raw text tape: ticker, date, adj_close, dividends, rank of its file."""
-    return read_text_columns(spark, path, header=header).select(
-        "ticker", "date", "adj_close", "dividends", CORRUPT,
-        file_age_rank().alias("source_rank"),
-    )
+    columns = ("ticker", "date", "adj_close", "dividends")
+    return read_text_columns(spark, path, header=header, needed=columns).select(
+        *columns, CORRUPT, "source_rank")
+
+
+def _snapshot_lines(spark: SparkSession, path: str) -> DataFrame:
+    columns = ("symbol", "security", "gics_sector", "gics_sub_industry", "updatedat")
+    return read_text_columns(spark, path, sep="|", needed=columns).select(
+        *columns[:-1], F.col("updatedat").try_cast("timestamp").alias("updated_at"),
+        "updatedat", CORRUPT)
 
 
 def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
     """Membership snapshots: pipe-separated, one file per collection run."""
-    return read_text_columns(spark, path, sep="|").select(
-        "symbol", "security", "gics_sector", "gics_sub_industry",
-        F.col("updatedat").try_cast("timestamp").alias("updated_at"),
-    )
+    return _snapshot_lines(spark, path).drop("updatedat", CORRUPT)
+
+
+def refused_snapshots(spark: SparkSession, path: str) -> DataFrame:
+    """reason and raw_row of the snapshot lines that belong to no collection run."""
+    lines = _snapshot_lines(spark, path)
+    fields = F.to_json(F.struct("symbol", "security", "gics_sector", "gics_sub_industry",
+                                F.col("updatedat").alias("updated_at")))
+    reason = (F.when(F.col(CORRUPT).isNotNull(), "malformed line")
+              .when(F.col("updated_at").isNull(), "bad time"))
+    return lines.select(reason.alias("reason"), F.coalesce(F.col(CORRUPT), fields).alias(
+        "raw_row")).filter("reason IS NOT NULL")
 
 
 def write_snapshots(universe: DataFrame, path: str) -> None:
@@ -99,13 +151,26 @@ def write_tape(tape: DataFrame, path: str) -> None:
     writer.csv(path, header=True)
 
 
-def register_folder(spark: SparkSession, path: str, name: str, sep: str = ",",
-                    sample: float = 1.0) -> DataFrame:
+def register_folder(spark: SparkSession, path: str, name: str, sep: str = ",") -> DataFrame:
     """Infer the columns of a folder of files and register it as a temporary view.
 
-    `sample` is the share of rows looked at for the types; all rows are read later.
+    All rows are looked at for the types. Columns are matched by name; a column whose
+    type differs between files of different headers stays text.
     """
-    found = spark.read.csv(path, sep=sep, header=True, inferSchema=True, samplingRatio=sample)
-    named = normalise_names(found)
+    groups = files_by_header(spark, path)
+    sources = groups if len(groups) > 1 else [path]
+    found = [spark.read.csv(s, sep=sep, header=True, inferSchema=True) for s in sources]
+    if len(found) > 1:
+        kinds: dict[str, set[T.DataType]] = {}
+        for part in found:
+            for field in part.schema:
+                kinds.setdefault(snake(field.name), set()).add(field.dataType)
+        for i, part in enumerate(found):
+            schema = T.StructType([
+                f if len(kinds[snake(f.name)]) == 1 else T.StructField(f.name, T.StringType())
+                for f in part.schema])
+            found[i] = spark.read.schema(schema).csv(sources[i], sep=sep, header=True)
+    named = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True),
+                   [normalise_names(part) for part in found])
     named.createOrReplaceTempView(name)
     return named
