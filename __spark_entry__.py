@@ -96,6 +96,38 @@ def scan_tape(spark, sf):
     )
 
 
+def scan_mixed_files(spark, sf):
+    """Rows with dividends come in another order beside one more column; files without
+    a price column hold the whole tape again and are put aside."""
+    folder = shared_folder(spark, "mixed-csv")
+    raw, paid = data.raw_tape(spark, sf), F.col("dividends") > 0
+    delimited.write_tape(raw.filter(~paid), f"{folder}/plain")
+    raw.filter(paid).select(
+        F.col("ticker").alias("Ticker"), F.col("source_rank").alias("Stock Splits"),
+        F.col("dividends").alias("Dividends"), F.col("adj_close").alias("Adj Close"),
+        F.col("date").cast("string").alias("Date"),
+    ).write.csv(f"{folder}/paid", header=True)
+    raw.select(F.col("ticker").alias("Ticker"), F.col("date").cast("string").alias("Date")
+               ).write.csv(f"{folder}/unpriced", header=True)
+    routed = routing.route(delimited.read_tape(spark, f"{folder}/*"))
+    return routed.filter(F.col("route") == routing.ACCEPTED).select(
+        "ticker", "date", "adj_close", "dividends")
+
+
+def nested_history(which: str, value: str):
+    """The elements of one nested history with their position in the array."""
+
+    def query(spark, sf):
+        nested = prices.nested_histories(
+            companies_tape(spark, sf), S.as_of, S.price_days, S.history_days)
+        element = F.col("element")
+        return nested.select("ticker", F.posexplode(which).alias("position", "element")).select(
+            "ticker", F.col("position").cast("long").alias("position"),
+            element["date"].alias("date"), element[value].alias(value.replace(" ", "_")))
+
+    return query
+
+
 def scan_snapshots(spark, sf):
     folder = shared_folder(spark, "snapshots-csv")
     delimited.write_snapshots(data.snapshots(spark, sf), folder)
@@ -349,6 +381,7 @@ def entry(spark: SparkSession) -> DataFrame:
 def tape_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "scan_tape": scan_tape,
+        "scan_mixed_files": scan_mixed_files,
         "scan_snapshots": scan_snapshots,
         "normalise_names": normalise_names,
         "publish_document": publish_document,
@@ -406,6 +439,8 @@ def tape_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             companies_tape(s, d), S.as_of, S.price_days),
         "dividend_history": lambda s, d: prices.dividend_history(
             companies_tape(s, d), S.as_of, S.history_days),
+        "nested_prices": nested_history("price_history", "adj close"),
+        "nested_dividends": nested_history("dividend_history", "dividends"),
         "benchmark_rates": lambda s, d: rounded(rates(s, d), "rate"),
         "index_rate_calendar": lambda s, d: rounded(
             benchmarks.index_rate(

@@ -143,6 +143,16 @@ def oracle_sql() -> dict[str, str]:
     )
     selects = {
         "scan_tape": "SELECT ticker, date, adj_close, dividends FROM raw_tape",
+        "scan_mixed_files": "SELECT ticker, date, adj_close, dividends FROM raw_tape",
+        "nested_prices": """
+            SELECT ticker, row_number() OVER (PARTITION BY ticker ORDER BY date) - 1 AS position,
+                   date, adj_close FROM comp
+            WHERE date BETWEEN TIMESTAMP '2001-07-02' AND TIMESTAMP '2001-08-01'""",
+        "nested_dividends": """
+            SELECT ticker, row_number() OVER (PARTITION BY ticker ORDER BY date) - 1 AS position,
+                   date, dividends FROM comp
+            WHERE dividends > 0
+              AND date BETWEEN TIMESTAMP '2000-08-01' AND TIMESTAMP '2001-08-01'""",
         "scan_snapshots": "SELECT * FROM snapshots",
         "normalise_names": """
             SELECT CAST(c_custkey AS INTEGER) AS cust_key, c_name AS security,
