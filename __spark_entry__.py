@@ -452,6 +452,8 @@ def tape_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dropped_companies": audit,
         "gordon_value": gordon_value,
         "coverage_gaps": lambda s, d: coverage.coverage_gaps(companies_tape(s, d)),
+        "coverage_gaps_as_of": lambda s, d: coverage.coverage_gaps(
+            companies_tape(s, d), S.as_of),
         "stream_dedupe": stream_dedupe,
         "stream_annual": stream_annual,
     }

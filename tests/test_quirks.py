@@ -266,3 +266,10 @@ def test_gaps_list_missing_weekdays(spark):
             ("A", datetime(2024, 6, 11, 15), 1.0, 0.0), ("B", datetime(2024, 6, 6), 1.0, 0.0)]
     found = coverage.coverage_gaps(clean.clean_tape(raw_tape(spark, rows))).collect()
     assert sorted((r["ticker"], r["missing_day"].day) for r in found) == [("A", 7), ("A", 10)]
+
+
+def test_gaps_reach_to_as_of(spark):
+    rows = [("AAA", "2024-01-02", 1.0, 0.0), ("AAA", "2024-01-09", 1.0, 0.0)]
+    tape = spark.createDataFrame(rows, "ticker string, date string, adj_close double, dividends double")
+    found = coverage.coverage_gaps(clean.clean_tape(tape), datetime(2024, 1, 5)).collect()
+    assert sorted(str(r["missing_day"]) for r in found) == ["2024-01-03", "2024-01-04", "2024-01-05"]

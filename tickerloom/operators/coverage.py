@@ -2,19 +2,26 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickerloom.functions.timeline import with_previous
+from tickerloom.functions.timeline import until, with_previous
 
 
-def coverage_gaps(tape: DataFrame) -> DataFrame:
-    """Missing weekdays between a ticker's first and last date.
+def coverage_gaps(tape: DataFrame, as_of: datetime | None = None) -> DataFrame:
+    """Missing weekdays between a ticker's first and last date, or up to and with the day
+    of `as_of`; later rows then change nothing.
 
     Each row looks back to the ticker's previous day and lists the weekdays in
     between, so the work follows the data: there is no calendar to join with.
     """
-    days = tape.select("ticker", F.to_date("date").alias("day")).distinct()
+    rows = tape if as_of is None else tape.filter(until(tape, as_of))
+    days = rows.select("ticker", F.to_date("date").alias("day")).distinct()
+    if as_of is not None:
+        day_after = F.lit((as_of + timedelta(days=1)).date()).alias("day")
+        days = days.union(rows.select("ticker").distinct().select("ticker", day_after))
     gap = F.sequence(F.date_add("previous_day", 1), F.date_sub("day", 1))
     return (
         with_previous(days, "ticker", "day", ["day"])

@@ -321,6 +321,21 @@ def oracle_sql() -> dict[str, str]:
                            INTERVAL 1 DAY)) AS DATE) AS missing_day
                 FROM steps WHERE day - previous > 1)
             SELECT ticker, missing_day FROM missing WHERE isodow(missing_day) < 6""",
+        "coverage_gaps_as_of": """
+            , days AS (
+                SELECT ticker, CAST(date AS DATE) AS day FROM comp
+                WHERE date <= TIMESTAMP '2001-08-01'
+                UNION SELECT ticker, DATE '2001-08-02' FROM comp
+                WHERE date <= TIMESTAMP '2001-08-01'),
+            steps AS (
+                SELECT ticker, day, lag(day) OVER (PARTITION BY ticker ORDER BY day) AS previous
+                FROM days),
+            missing AS (
+                SELECT ticker, CAST(unnest(generate_series(
+                           CAST(previous + 1 AS TIMESTAMP), CAST(day - 1 AS TIMESTAMP),
+                           INTERVAL 1 DAY)) AS DATE) AS missing_day
+                FROM steps WHERE day - previous > 1)
+            SELECT ticker, missing_day FROM missing WHERE isodow(missing_day) < 6""",
         "stream_annual": """
             SELECT ticker, year, round(sum(dividends), 6) + 0.0 AS annual_dividend,
                    count(CASE WHEN dividends > 0 THEN 1 END) AS dividend_frequency
