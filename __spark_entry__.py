@@ -36,8 +36,9 @@ from tickerloom.plans.report import company_figures, company_report, dropped_com
 from tickerloom.sources import curated, delimited, documents, routing
 from tickerloom.sources.workspace import materialise, shared_folder
 from tickerloom.streaming.annual import start_annual
+from tickerloom.streaming.curate import start_curation
 from tickerloom.streaming.dedupe import drop_redelivered
-from tickerloom.streaming.ingest import start_ingest, tape_stream
+from tickerloom.streaming.ingest import new_files, start_ingest, tape_stream
 
 try:
     import corpus_pipeline
@@ -240,8 +241,8 @@ def write_snapshot_csv(spark, sf):
 
 def _run_ingest(spark, source):
     target = shared_folder(spark, "ingested")
-    start_ingest(tape_stream(spark, source), target, shared_folder(spark, "cp")).awaitTermination()
-    return routing.read_route(spark, target, routing.ACCEPTED).drop("source_rank")
+    start_ingest(new_files(spark, source), target, shared_folder(spark, "cp")).awaitTermination()
+    return routing.read_route(spark, target, routing.ACCEPTED).drop("source_rank", "batch")
 
 
 def stream_ingest(spark, sf):
@@ -269,6 +270,23 @@ def stream_dedupe(spark, sf):
     return spark.read.parquet(target)
 
 
+def incremental_refresh(spark, sf):
+    """Rows with dividends first come at twice their price; a later delivery, with its
+    columns in another order, corrects them."""
+    source, routed = shared_folder(spark, "deliveries"), shared_folder(spark, "routed")
+    target, checkpoint = shared_folder(spark, "versions"), shared_folder(spark, "cp")
+    true, paid = tape(spark, sf), F.col("dividends") > 0
+    wrong = F.when(paid, F.col("adj_close") * 2).otherwise(F.col("adj_close"))
+    delimited.write_tape(true.withColumn("adj_close", wrong), f"{source}/first")
+    start_curation(spark, source, routed, target, checkpoint).awaitTermination()
+    true.filter(paid).select(
+        F.col("ticker").alias("Ticker"), F.col("adj_close").alias("Adj Close"),
+        F.col("dividends").alias("Dividends"), F.col("date").cast("string").alias("Date"),
+    ).write.csv(f"{source}/second", header=True)
+    start_curation(spark, source, routed, target, checkpoint).awaitTermination()
+    return curated.read_current(spark, target)
+
+
 def stream_annual(spark, sf):
     """The tape arrives as four files, one per micro-batch, that share years."""
     source = shared_folder(spark, "tape-files")
@@ -456,6 +474,7 @@ def tape_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             companies_tape(s, d), S.as_of),
         "stream_dedupe": stream_dedupe,
         "stream_annual": stream_annual,
+        "incremental_refresh": incremental_refresh,
     }
 
     def without_zone(query):

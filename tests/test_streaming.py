@@ -1,13 +1,16 @@
 """Streams end where the batch operators do."""
 
+import os
+
 from golden import SETTINGS, raw_tape, tape_rows
 from pyspark.sql import functions as F
 
 from tickerloom.operators import clean, dividends
-from tickerloom.sources import routing
+from tickerloom.sources import curated, routing
 from tickerloom.streaming.annual import refresh_years, start_annual
+from tickerloom.streaming.curate import merge_files, start_curation
 from tickerloom.streaming.dedupe import drop_redelivered
-from tickerloom.streaming.ingest import start_ingest, tape_stream
+from tickerloom.streaming.ingest import new_files, start_ingest, tape_stream
 
 HEADER = "Date,Ticker,Adj Close,Dividends\n"
 
@@ -19,7 +22,7 @@ def test_each_file_is_read_once(spark, tmp_path):
     (source / "note.txt").write_text("not for us\n")
 
     def run():
-        start_ingest(tape_stream(spark, str(source)), target, cp).awaitTermination()
+        start_ingest(new_files(spark, str(source)), target, cp).awaitTermination()
         return [routing.read_route(spark, target, r).count()
                 for r in (routing.ACCEPTED, routing.QUARANTINED)]
 
@@ -29,6 +32,54 @@ def test_each_file_is_read_once(spark, tmp_path):
     assert run() == [3, 1]
 
 
+def test_a_file_with_another_header_does_not_stop_the_stream(spark, tmp_path):
+    source, target, cp = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "cp")
+    source.mkdir()
+
+    def run():
+        start_ingest(new_files(spark, str(source), files_per_batch=2), target, cp
+                     ).awaitTermination()
+        return [sorted(map(tuple, routing.read_route(spark, target, r).select(c).collect()))
+                for r, c in ((routing.ACCEPTED, "adj_close"), (routing.QUARANTINED, "raw_row"))]
+
+    (source / "a.csv").write_text(HEADER + "2024-01-02,AAA,2.5,0.1\n")
+    (source / "b.csv").write_text("Time,Symbol\n2024-01-02,AAA\n")
+    (source / "c 1.csv").write_text("Ticker,Splits,Adj Close,Dividends,Date\nBBB,2,3.5,0,2024-01-02\n")
+    (source / "d.csv").write_text("")
+    assert run() == [[(2.5,), (3.5,)], [("2024-01-02,AAA",), ("Time,Symbol",)]]
+    (source / "e.csv").write_text(HEADER + "2024-01-03,AAA,4.5,0.1\n")
+    assert run()[0] == [(2.5,), (3.5,), (4.5,)]
+
+
+def test_new_files_touch_only_their_years(spark, tmp_path):
+    source, routed, target = tmp_path / "in", str(tmp_path / "routed"), tmp_path / "curated"
+    source.mkdir()
+
+    def deliver(name, when, *lines):
+        (source / name).write_text(HEADER + "\n".join(lines) + "\n")
+        os.utime(source / name, (when, when))
+        start_curation(spark, str(source), routed, str(target), str(tmp_path / "cp")).awaitTermination()
+        rows = curated.read_current(spark, str(target)).collect()
+        assert all(r["year"] == r["date"].year and r["month"] == r["date"].month for r in rows)
+        return sorted((r["ticker"], str(r["date"])[:10], r["adj_close"]) for r in rows)
+
+    assert deliver("bad.csv", 1_000, "never,AAA,1,0") == []
+    assert deliver("a.csv", 2_000, "2023-05-02,AAA,1,0", "2024-05-02,AAA,2,0") == [
+        ("AAA", "2023-05-02", 1.0), ("AAA", "2024-05-02", 2.0)]
+    # A correction, and a file that is older than what is known.
+    corrected = [("AAA", "2023-05-02", 1.0), ("AAA", "2024-05-02", 3.0),
+                 ("BBB", "2024-05-02", 9.0)]
+    assert deliver("b.csv", 3_000, "2024-05-02,AAA,3,0", "2024-05-02,BBB,9,0") == corrected
+    assert deliver("c.csv", 1_500, "2024-05-02,AAA,7,0") == corrected
+    years = {p.name: sorted(y.name for y in p.glob("year=*")) for p in target.glob("version=*")}
+    assert years == {"version=0": [], "version=1": ["year=2023", "year=2024"],
+                     "version=2": ["year=2024"], "version=3": ["year=2024"]}
+    again = spark.createDataFrame([(str(source / "b.csv"),)], "path string")
+    merge_files(again, 2, routed, str(target))
+    found = curated.read_current(spark, str(target)).collect()
+    assert sorted((r["ticker"], str(r["date"])[:10], r["adj_close"]) for r in found) == corrected
+
+
 def test_redelivered_and_late_rows(spark, tmp_path):
     source, target, cp = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "cp")
     source.mkdir()

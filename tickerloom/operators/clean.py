@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from tickerloom.functions.timeline import since
 
 
-def dedupe_tape(tape: DataFrame) -> DataFrame:
+def dedupe_tape(tape: DataFrame, keep_rank: bool = False) -> DataFrame:
     """Keep one row per (ticker, date): lowest `source_rank`, then smallest values.
+    With `keep_rank` the survivor brings its rank, to be compared with later deliveries.
 
     The order is total over the kept columns, so the survivor does not depend on
     how rows arrive. It is an aggregate, not a window: copies shrink to one per
@@ -30,7 +31,7 @@ def dedupe_tape(tape: DataFrame) -> DataFrame:
     survivor = F.min(F.struct(*order))
     return (
         tape.groupBy(slot, "ticker", "date")
-        .agg(*[survivor[v].alias(v) for v in values])
+        .agg(*[survivor[v].alias(v) for v in (ranked if keep_rank else values)])
         .drop("_slot")
     )
 

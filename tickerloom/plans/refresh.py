@@ -1,4 +1,4 @@
-"""The two scheduled jobs, from input folders to output folders."""
+"""The scheduled jobs, from input folders to output folders."""
 
 from __future__ import annotations
 
@@ -12,11 +12,12 @@ from tickerloom.operators.membership import latest_company, new_members, previou
 from tickerloom.plans.publish import publish_report
 from tickerloom.schemas import SNAPSHOT
 from tickerloom.settings import AnalysisSettings
-from tickerloom.sources.curated import curate
+from tickerloom.sources.curated import curate, read_current
 from tickerloom.sources.delimited import read_snapshots, read_tape
 from tickerloom.sources.documents import write_worklist
 from tickerloom.sources.routing import ACCEPTED, read_route, route, write_routed
 from tickerloom.sources.workspace import materialise, shared_folder
+from tickerloom.streaming.curate import start_curation
 
 
 def membership_job(spark: SparkSession, snapshot_folder: str, worklist_path: str,
@@ -42,3 +43,17 @@ def analysis_job(spark: SparkSession, tape_folder: str, snapshot_folder: str,
     companies = latest_company(read_snapshots(spark, snapshot_folder))
     stamp = at(run_time, SNAPSHOT["updated_at"].dataType)
     return publish_report(tape, companies, settings, document_path, stamp)
+
+
+def incremental_job(spark: SparkSession, tape_folder: str, snapshot_folder: str,
+                    routed_folder: str, curated_folder: str, checkpoint: str,
+                    document_path: str, settings: AnalysisSettings,
+                    run_time: datetime) -> DataFrame:
+    """As `analysis_job`, but reads only price files that are new since the last run and
+    rewrites only the years they touch. Returns the report table."""
+    start_curation(spark, tape_folder, routed_folder, curated_folder,
+                   checkpoint).awaitTermination()
+    companies = latest_company(read_snapshots(spark, snapshot_folder))
+    stamp = at(run_time, SNAPSHOT["updated_at"].dataType)
+    return publish_report(read_current(spark, curated_folder), companies, settings,
+                          document_path, stamp)

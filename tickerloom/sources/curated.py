@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickerloom.operators.clean import clean_tape
+from tickerloom.operators.clean import clean_tape, with_calendar
+
+VERSIONED = ("ticker string, date timestamp, adj_close double, dividends double, "
+             "source_rank long, version long, year int")
 
 
 def write_curated(tape: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -36,3 +39,23 @@ def curate(raw: DataFrame, path: str, mode: str = "errorifexists") -> DataFrame:
     write_curated(tape, path, mode)
     schema = tape.select("ticker", "date", "adj_close", "dividends", "year").schema
     return raw.sparkSession.read.schema(schema).parquet(path).withColumn("month", F.month("date"))
+
+
+def read_versions(spark: SparkSession, path: str, before: int | None = None) -> DataFrame:
+    """The newest version of each year that `streaming.curate` wrote under `path`, of
+    those numbered below `before`.
+
+    Versions and years are folder names, so finding the newest reads no column. Years
+    are few; the join prunes the folders of older versions.
+    """
+    tape = spark.read.schema(VERSIONED).parquet(path)
+    if before is not None:
+        tape = tape.filter(F.col("version") < before)
+    newest = tape.groupBy("year").agg(F.max("version").alias("version"))
+    return tape.join(F.broadcast(newest), ["year", "version"], "left_semi").select(
+        "ticker", "date", "adj_close", "dividends", "source_rank", "year")
+
+
+def read_current(spark: SparkSession, path: str) -> DataFrame:
+    """The clean tape under `path`, as `clean_tape` would give it for all deliveries."""
+    return with_calendar(read_versions(spark, path).drop("source_rank", "year"))

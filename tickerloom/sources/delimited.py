@@ -14,7 +14,7 @@ from tickerloom.functions.names import normalise_names, snake
 CORRUPT = "_corrupt_record"
 
 
-def files_by_header(spark: SparkSession, path: str) -> list[list[str]]:
+def files_by_header(spark: SparkSession, path: str | list[str]) -> list[list[str]]:
     """Files under `path` that share their first line, largest group first.
 
     The first block of each file is read for it. The driver holds one path for each
@@ -30,7 +30,7 @@ def files_by_header(spark: SparkSession, path: str) -> list[list[str]]:
     return sorted(found, key=lambda files: (-len(files), files))
 
 
-def read_text_columns(spark: SparkSession, path: str, sep: str = ",",
+def read_text_columns(spark: SparkSession, path: str | list[str], sep: str = ",",
                       header: list[str] | None = None,
                       needed: tuple[str, ...] = ()) -> DataFrame:
     """All columns as text under normalised names, malformed lines kept aside, and the
@@ -73,7 +73,8 @@ def file_age_rank() -> F.Column:
     return -F.unix_micros(F.col("_metadata.file_modification_time"))
 
 
-def read_tape(spark: SparkSession, path: str, header: list[str] | None = None) -> DataFrame:
+def read_tape(spark: SparkSession, path: str | list[str],
+              header: list[str] | None = None) -> DataFrame:
     """Raw text tape: ticker, date, adj_close, dividends, rank of its file."""
     columns = ("ticker", "date", "adj_close", "dividends")
     return read_text_columns(spark, path, header=header, needed=columns).select(

@@ -196,6 +196,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT * FROM judged""",
         "clean_tape": "SELECT * FROM tape",
         "curated_tape": "SELECT * FROM tape",
+        "incremental_refresh": "SELECT * FROM tape",
         "company_rows": "SELECT * FROM comp",
         "recent_rows": "SELECT * FROM comp WHERE date BETWEEN TIMESTAMP '2000-08-01' AND TIMESTAMP '2001-08-01'",
         "normalise_utc": """
