@@ -6,8 +6,8 @@ Weights are learned from document labels alone by gradient ascent on the likelih
 of P, so the trained model also says which sentences give offence.
 
 Features are lower-cased words and word beginnings of four to six letters that are
-more frequent in toxic than in other documents of the sample; their number is
-bounded by `vocabulary`. Each gradient step is a Spark job over the stored bags of
+clearly more frequent in toxic than in other documents of the sample; their number
+is bounded by `vocabulary`. Each gradient step is a Spark job over the stored bags of
 the sample and returns one number per feature. The sample is bounded by `at_most`
 labelled documents (see `label_sample`); scoring covers every whole text.
 
@@ -96,8 +96,10 @@ def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 
 def choose_features(sample: DataFrame, vocabulary: int = 4096, least: int = 3,
                     ratio: float = 3.0) -> dict[str, float]:
-    """Features of toxic documents with their log odds: at least `least` toxic
-    documents have it, and `ratio` times the share among the others."""
+    """Features of toxic documents with their log odds, less one standard error: at
+    least `least` toxic documents have it, and these odds reach log(`ratio`). A word
+    that a few toxic documents happen to share is thus worth little, or left out.
+    """
     totals = {r["label"]: r["n"] for r in
               sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if not totals.get(0) or not totals.get(1):
@@ -107,9 +109,9 @@ def choose_features(sample: DataFrame, vocabulary: int = 4096, least: int = 3,
         .groupBy("feature").agg(
             F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("toxic"),
             F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("other")))
-    odds = F.log((F.col("toxic") + 0.5) / (totals[1] + 1)) - F.log(
-        (F.col("other") + 0.5) / (totals[0] + 1))
-    chosen = (counts.withColumn("odds", odds)
+    toxic, other = F.col("toxic") + 0.5, F.col("other") + 0.5
+    odds = F.log(toxic / (totals[1] + 1)) - F.log(other / (totals[0] + 1))
+    chosen = (counts.withColumn("odds", odds - F.sqrt(1 / toxic + 1 / other))
               .where((F.col("toxic") >= least) & (F.col("odds") >= math.log(ratio)))
               .orderBy((F.col("odds") * F.col("toxic")).desc(), "feature").limit(vocabulary))
     return {r["feature"]: r["odds"] for r in chosen.collect()}
@@ -171,7 +173,7 @@ def _gradient(bags: DataFrame, weights: np.ndarray) -> np.ndarray:
 
 
 def fit(sample: DataFrame, vocabulary: int = 4096, steps: int = 12,
-        penalty: float = 0.05) -> ToxicityModel:
+        penalty: float = 0.3) -> ToxicityModel:
     """Noisy-or weights from (text, label), by resilient gradient steps."""
     start = choose_features(sample, vocabulary)
     if not start:
