@@ -58,6 +58,11 @@ def tape(spark: SparkSession, sf: str) -> DataFrame:
     return clean.clean_tape(data.raw_tape(spark, sf))
 
 
+def stored_tape(spark: SparkSession, sf: str) -> DataFrame:
+    """The tape curated once, for plans that read it several times."""
+    return curated.curate(data.raw_tape(spark, sf), shared_folder(spark, "curated"))
+
+
 def companies_tape(spark: SparkSession, sf: str) -> DataFrame:
     return clean.company_rows(tape(spark, sf), S.benchmarks)
 
@@ -146,10 +151,6 @@ def normalise_names(spark, sf):
     return delimited.register_folder(spark, folder, "found_customers", sep="|")
 
 
-def curated_tape(spark, sf):
-    return curated.curate(data.raw_tape(spark, sf), shared_folder(spark, "curated"))
-
-
 def _defective_events(spark, sf):
     """Events as text rows, some of them unreadable."""
     kind, value = F.col("event_type"), F.col("value")
@@ -174,9 +175,8 @@ def quarantine(spark, sf):
 
 def _published(spark, sf):
     folder = shared_folder(spark, "document")
-    publish_report(
-        tape(spark, sf), data.companies(spark, sf), S, folder, at(RUN_TIME, T.TimestampType())
-    )
+    publish_report(stored_tape(spark, sf), data.companies(spark, sf), S, folder,
+                   at(RUN_TIME, T.TimestampType()))
     return folder
 
 
@@ -332,7 +332,7 @@ def rates(spark, sf):
 
 
 def report(spark, sf, settings=S):
-    return company_report(tape(spark, sf), data.companies(spark, sf), settings)
+    return company_report(stored_tape(spark, sf), data.companies(spark, sf), settings)
 
 
 def flagship(spark, sf, settings=S):
@@ -341,8 +341,11 @@ def flagship(spark, sf, settings=S):
 
 
 def gordon_value(spark, sf):
+    stored = stored_tape(spark, sf)
     valued = valuation.gordon_value(
-        report(spark, sf), rates(spark, sf), S.market, S.risk_free
+        company_report(stored, data.companies(spark, sf), S),
+        benchmarks.benchmark_rates(stored, S.market, S.risk_free, S.as_of, S.growth_days),
+        S.market, S.risk_free,
     )
     return rounded(valued, "required_return", "next_dividend", "fair_price")
 
@@ -410,7 +413,7 @@ def tape_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_ingest": stream_ingest,
         "quarantine": quarantine,
         "clean_tape": tape,
-        "curated_tape": curated_tape,
+        "curated_tape": stored_tape,
         "company_rows": companies_tape,
         "recent_rows": lambda s, d: clean.recent_rows(
             companies_tape(s, d), S.as_of, S.history_days),
@@ -466,7 +469,8 @@ def tape_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "rate"),
         "company_report": flagship,
         "company_figures": lambda s, d: rounded(
-            company_figures(tape(s, d), data.companies(s, d), S), "beta", "five_year_cagr"),
+            company_figures(stored_tape(s, d), data.companies(s, d), S),
+            "beta", "five_year_cagr"),
         "dropped_companies": audit,
         "gordon_value": gordon_value,
         "coverage_gaps": lambda s, d: coverage.coverage_gaps(companies_tape(s, d)),
