@@ -267,6 +267,13 @@ def test_few_vectors(spark):
         (100, 1, 7, 0.0), (100, 2, 8, 5.0)]
 
 
+def test_vectors_of_doubles_keep_their_digits(spark):
+    close = [(100, [0.0, 1.0]), (1, [2e-9, 1.0]), (2, [1e-9, 1.0]), (3, [0.0, 1e300])]
+    table = spark.createDataFrame(close, "vec_id long, embedding array<double>")
+    found = neighbours.nearest(table).orderBy("rank").collect()
+    assert [(r["vec_id"], r["score"]) for r in found[:2]] == [(2, 1e-9), (1, 2e-9)]
+
+
 # --- pipeline ----------------------------------------------------------------------
 
 def test_pipeline(spark):

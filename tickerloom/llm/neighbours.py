@@ -34,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickerloom.llm.common import saved
 
@@ -42,10 +43,13 @@ WINDOW_ROWS = 64
 
 
 def usable(vectors: DataFrame, key: str = "vec_id", column: str = "embedding") -> DataFrame:
-    """(id, vector) of rows that take part, one per id."""
-    vector = F.col(column).cast("array<float>")
+    """(id, vector) of rows that take part, one per id. Vectors of floats stay so; all
+    other numbers are taken as doubles."""
+    element = vectors.schema[column].dataType.elementType
+    kind = "float" if isinstance(element, T.FloatType) else "double"
+    vector = F.col(column).cast(f"array<{kind}>")
     whole = (F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x)
-                      & (F.abs(x) < F.lit(float("inf")).cast("float")))
+                      & (F.abs(x) < F.lit(float("inf")).cast(kind)))
              & F.exists("vector", lambda x: x != 0))
     found = (vectors.select(F.col(key).cast("long").alias("id"), vector.alias("vector"))
              .where(F.col("id").isNotNull() & F.col("vector").isNotNull())
@@ -53,7 +57,7 @@ def usable(vectors: DataFrame, key: str = "vec_id", column: str = "embedding") -
     usual = F.mode(F.size("vector"), True)
     size = found.agg(usual.alias("n")).first()["n"]
     # -0.0 and 0.0 are one component
-    even = F.transform("vector", lambda x: F.when(x == 0, F.lit(0.0).cast("float")).otherwise(x))
+    even = F.transform("vector", lambda x: F.when(x == 0, F.lit(0.0).cast(kind)).otherwise(x))
     return (found.where(F.size("vector") == (size or 0)).withColumn("vector", even)
             .groupBy("id").agg(F.min("vector").alias("vector")))
 
@@ -257,18 +261,19 @@ def nearest(vectors: DataFrame, every: int = 100, k: int = 10, degree: int = 24,
             rounds: int = 5, lines: int = 6, beam: int = 320) -> DataFrame:
     """query_id, rank, vec_id, score: the `k` nearest found of each indexed row whose id
     is divisible by `every`, by Euclidean distance, ties to smaller ids."""
-    points, members = vertices(saved(usable(vectors), "vectors"), k + 1)
+    known = saved(usable(vectors), "vectors")
+    points, members = vertices(known, k + 1)
     spark = vectors.sparkSession
     if not points.limit(1).count():
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     graph = build_graph(points, degree, rounds, lines)
-    asked = saved(usable(vectors).where(F.col("id") % every == 0)
-                  .withColumn("h", F.struct(F.xxhash64("vector"), F.xxhash64(
-                      F.lit(1), F.col("vector")))), "asked")
+    asked = known.where(F.col("id") % every == 0).withColumn("h", F.struct(
+        F.xxhash64("vector"), F.xxhash64(F.lit(1), F.col("vector"))))
     homes = points.withColumn("h", F.struct(F.xxhash64("vector"), F.xxhash64(
         F.lit(1), F.col("vector")))).select("h", F.col("id").alias("start"))
     # rows with equal vectors walk once, from the vertex they share
-    starts = asked.join(homes, "h").select(F.col("id").alias("query_id"), "start")
+    starts = saved(asked.join(homes, "h").select(F.col("id").alias("query_id"), "start"),
+                   "starts")
     walks = points.join(starts.select(F.col("start").alias("id")).distinct(), "id").select(
         F.col("id").alias("query"), F.col("id").alias("start"), "vector")
     found = search(points, graph, walks, beam).join(members, "id").select(
