@@ -29,6 +29,19 @@ def test_quality_edges(spark, docs):
         assert r["held_out"] == (zlib.crc32(str(i).encode()) % 4 == 2)
 
 
+def test_rows_of_one_id_give_one_model(spark, docs):
+    """Which of several texts of a labelled id is learned from does not hang on order."""
+    rows = [(i % 40, (GOOD if i % 3 else SHOUT).format(i) * (1 + i % 5), "s") for i in range(120)]
+    known = labelled(spark, [(i, i % 2, 0) for i in range(40)])
+
+    def scores(order):
+        table = docs(order).repartition(5, "text")
+        return sorted((r["doc_id"], round(r["score"], 9))
+                      for r in quality.classify(table, known).collect())
+
+    assert scores(rows) == scores(rows[::-1])
+
+
 @pytest.mark.parametrize("module", [quality, toxicity])
 def test_nothing_to_learn_from(spark, docs, module):
     none = labelled(spark, [])

@@ -9,8 +9,8 @@ rows; only they (a few hundred numbers) reach the driver, which keeps the invers
 of each Cholesky factor for all rows to come.
 
 Null and empty texts have the vector of an empty text and are scored like others.
-Repeated rows are scored each; a null doc_id is scored, is not held out and is
-never learned from. Without labelled rows of both classes every score is the share
+Repeated rows are scored each, and the least of their vectors is learned from; a null
+doc_id is scored, is not held out and is never learned from. Without labelled rows of both classes every score is the share
 of label 1 (0.5 without labels). Other columns of the input are not read.
 """
 
@@ -200,8 +200,8 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, divisor
     """Score all of `docs`, learning from `labels.quality` outside the held-out rows."""
     features = saved(document_statistics(docs), "quality-statistics")
     known = label_sample(labels, "quality", divisor, kept_out, at_most)
-    model = fit(features.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])
-                .join(known, "doc_id"))
+    model = fit(features.join(known, "doc_id").groupBy("doc_id", "label").agg(
+        F.min("features").alias("features")))
     held_out = F.coalesce(remainder("doc_id", divisor) == kept_out, F.lit(False))
     return score(features, model, threshold).select(
         "doc_id", held_out.alias("held_out"), "score", "predicted")
