@@ -116,6 +116,26 @@ def test_repeated_bytes(docs, corpus, monkeypatch, block):
             for r in found.collect()} == brute_repeats(rows, 100)
 
 
+def test_repeats_of_anchors_with_equal_surroundings(docs):
+    """Two fields in one template, in turn: what follows would order them A B A B."""
+    rng = random.Random(8)
+    before, after = ("".join(rng.choices("abcdefgh", k=n)) for n in (60, 30))
+    fields = []
+    while len(fields) < 2:
+        field = "".join(rng.choices("ijklmnop", k=24))
+        _, first, last, at, _, _ = suffixes.segments_of(
+            [(before + field + after + 200 * "z").encode()], 100, 24)
+        if any(a == 60 and f == 0 and e > 14 for f, e, a in zip(first, last, at, strict=True)):
+            fields.append(field)
+    rows = [(i, before + fields[i % 2] + after + chr(65 + i) + prose(i, 40), "s")
+            for i in range(12)]
+    found = suffixes.digest(suffixes.remove_repeats(docs(rows))).collect()
+    expected = brute_repeats(rows, 100)
+    assert sum(n > 0 for _, n, _, _ in expected.values()) == 10
+    assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"])
+            for r in found} == expected
+
+
 def test_suffix_ranks_are_the_sorted_order():
     rng = random.Random(3)
     strings = [bytes(rng.choice(b"abc") for _ in range(rng.randrange(4, 30))) for _ in range(50)]

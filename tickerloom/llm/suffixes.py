@@ -18,7 +18,9 @@ cut where equal windows must be cut alike:
   dealt into bounded blocks, and each block is sorted by column-wise multi-document
   construction: every round inserts one symbol of each segment, from the right, into
   the Burrows-Wheeler transform of the block. Neighbours in the order it gives that
-  share their first `length` symbols are one string; its first occurrence wins. Only
+  share their first `length` symbols are one string; its first occurrence wins. The
+  anchor's bytes are left out of the sort, so a run of equal symbols may mix anchors
+  and is put in order by string before neighbours are compared. Only
   that one common prefix matters, so neighbours are compared by its hash and no table
   of common prefix lengths is kept. An anchor with very many segments is spread over
   blocks, each of which reports its strings' first occurrences, and these are merged
@@ -239,11 +241,17 @@ def _block_repeats(length: int, gram: int):
         data, offsets = textops.joined(strings)
         at = offsets[string] + start
         # neighbours in suffix order that share these symbols and belong together
-        alike = textops.stretch_hashes(textops.prefix_hashes(data), at, at + length - gram)
-        alike = mix(mix(alike ^ anchor[string].view(np.uint64))
+        shared = textops.stretch_hashes(textops.prefix_hashes(data), at, at + length - gram)
+        alike = mix(mix(shared ^ anchor[string].view(np.uint64))
                     + (ahead[string] - start).astype(np.uint64))
-        new = np.ones(len(alike), dtype=bool)
-        new[1:] = alike[1:] != alike[:-1]
+        # of equal symbols around different anchors, what follows decides the order:
+        # strings are brought together within such a run
+        run = np.cumsum(_changes(shared)) - 1
+        kinds = np.bincount(run, _changes(alike))
+        several = np.flatnonzero(kinds[run] > 1)
+        order = several[np.lexsort((alike[several], run[several]))]
+        string[several], start[several], alike[several] = string[order], start[order], alike[order]
+        new = _changes(alike)
         group = np.cumsum(new) - 1
         first = np.minimum.reduceat(string, np.flatnonzero(new)) if len(string) else string
         own = first[group] == string
@@ -263,6 +271,13 @@ def _block_repeats(length: int, gram: int):
     return repeats
 
 
+def _changes(values: np.ndarray) -> np.ndarray:
+    """Where a value differs from the one before it; true for the first."""
+    new = np.ones(len(values), dtype=bool)
+    new[1:] = values[1:] != values[:-1]
+    return new
+
+
 def _runs(doc: np.ndarray, begin: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     """(doc, low, high) of windows that follow each other byte by byte."""
     order = np.lexsort((begin, doc))
