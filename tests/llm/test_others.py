@@ -257,6 +257,20 @@ def test_nearest(spark):
     assert [v for _, v, _ in found[0]] == [v for v, _ in expected[0]]     # ties by id
 
 
+def test_graph_is_built_until_it_holds_the_nearest(spark):
+    """Few lines and few new neighbours a group take more rounds than are asked for."""
+    x = np.random.default_rng(6).normal(size=(1500, 12)).astype(np.float32)
+    points = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)],
+                                   "id long, vector array<float>")
+    held = defaultdict(set)
+    for r in neighbours.build_graph(points, lines=3, each=3, rounds=1).collect():
+        held[r["a"]].add(r["b"])
+    d = ((x[:, None, :].astype(float) - x[None, :, :]) ** 2).sum(axis=2)
+    np.fill_diagonal(d, np.inf)
+    nearest = np.argsort(d, axis=1)[:, :10]
+    assert sum(len(held[i] & set(own.tolist())) for i, own in enumerate(nearest)) >= 0.95 * 15_000
+
+
 def test_few_vectors(spark):
     kind = "vec_id long, embedding array<float>"
     assert neighbours.nearest(spark.createDataFrame([], kind)).collect() == []

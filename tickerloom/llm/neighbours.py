@@ -3,8 +3,10 @@
 Building. Vectors start with neighbours found along a few random lines: sorted by the
 projection, each window of the order is a group whose members become candidates of
 each other. Then every round joins neighbours of neighbours: a vector's neighbours
-and some of those that name it meet in one group, and each member keeps the closest
-it met; the lists are merged and cut to the best `degree`. Rounds are Spark joins and
+and some of those that name it meet in one group, and each member takes the closest
+it met and does not hold; the lists are merged and cut to the best `degree`. Rounds go
+on until one replaces no more than a share of `delta` of all edges: what a member
+could not take in one round it takes in the next. Rounds are Spark joins and
 groupings over tables in the shared folder; a group is bounded by 2 * `degree`.
 
 Searching. Queries walk the graph together: each holds its best `beam` vectors found
@@ -29,6 +31,7 @@ not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -83,16 +86,17 @@ def vertices(points: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
 def _closest(edges: DataFrame, degree: int) -> DataFrame:
     """The `degree` closest distinct b of each a."""
     best = Window.partitionBy("a").orderBy("distance", "b")
-    return (edges.where("a <> b").groupBy("a", "b").agg(F.min("distance").alias("distance"))
+    return (edges.where("a <> b").groupBy("a", "b")
+            .agg(F.min("distance").alias("distance"), F.min("fresh").alias("fresh"))
             .withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= degree))
 
 
 def _group_edges(each: int):
-    """Within every group of a task: each member's `each` closest others, if closer
-    than the worst neighbour it has."""
+    """Within every group of a task: each member's `each` closest others that it does
+    not hold, if closer than the worst neighbour it has."""
 
     def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_group, held_ids, held, held_worst = None, [], [], []
+        held_group, held_ids, held, held_worst, held_known = None, [], [], [], []
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
         def close() -> None:
@@ -103,6 +107,13 @@ def _group_edges(each: int):
             squares = (x * x).sum(axis=1)
             d = np.maximum(squares[:, None] + squares[None, :] - 2 * x @ x.T, 0)
             np.fill_diagonal(d, np.inf)
+            known = np.concatenate(held_known)
+            if len(known):
+                owner = np.repeat(np.arange(n), [len(x) for x in held_known])
+                place = np.argsort(ids)
+                at = place[np.minimum(np.searchsorted(ids, known, sorter=place), n - 1)]
+                here = ids[at] == known
+                d[owner[here], at[here]] = np.inf
             k = min(each, n - 1)
             near = np.argpartition(d, k - 1, axis=1)[:, :k]
             found = np.sqrt(np.take_along_axis(d, near, axis=1))
@@ -120,14 +131,19 @@ def _group_edges(each: int):
             groups, ids, worst = (np.asarray(batch.column(c)) for c in ("group", "id", "worst"))
             column = batch.column("vector")
             flat = np.asarray(column.flatten()).reshape(batch.num_rows, -1)
-            for group, key, vector, limit in zip(groups, ids, flat, worst, strict=True):
+            lists = batch.column("known")
+            ends = np.cumsum(np.asarray(lists.value_lengths()))[:-1]
+            knowns = np.split(np.asarray(lists.flatten()), ends)
+            for group, key, vector, limit, known in zip(
+                    groups, ids, flat, worst, knowns, strict=True):
                 if group != held_group and held:
                     close()
-                    held_ids, held, held_worst = [], [], []
+                    held_ids, held, held_worst, held_known = [], [], [], []
                 held_group = group
                 held_ids.append(key)
                 held.append(vector)
                 held_worst.append(limit)
+                held_known.append(known)
             if sum(len(o[0]) for o in out) > 200_000:
                 yield batch_of()
         if held:
@@ -139,9 +155,11 @@ def _group_edges(each: int):
 
 
 def _grouped(groups: DataFrame, each: int) -> DataFrame:
-    """Edges of all groups of (group, id, vector, worst); a group's rows lie together."""
+    """Edges of all groups of (group, id, vector, worst, known); a group's rows lie
+    together."""
     return (groups.repartition(F.col("group")).sortWithinPartitions("group", "id")
-            .select("group", "id", "vector", "worst").mapInArrow(_group_edges(each), EDGES))
+            .select("group", "id", "vector", "worst", "known")
+            .mapInArrow(_group_edges(each), EDGES))
 
 
 def line_groups(points: DataFrame, lines: int, seed: int) -> DataFrame:
@@ -182,12 +200,14 @@ def line_groups(points: DataFrame, lines: int, seed: int) -> DataFrame:
 
 
 def build_graph(points: DataFrame, degree: int = 24, rounds: int = 5, lines: int = 6,
-                each: int = 6, seed: int = 11) -> DataFrame:
-    """(a, b, distance): up to `degree` near vectors of every vector."""
-    start = line_groups(points, lines, seed).join(points, "id").withColumn(
-        "worst", F.lit(float("inf")))
-    graph = saved(_closest(_grouped(start, each), degree), "graph")
-    for step in range(rounds):
+                each: int = 6, seed: int = 11, delta: float = 0.001) -> DataFrame:
+    """(a, b, distance): up to `degree` near vectors of every vector, after `rounds`
+    rounds at least and until a round replaces no more than `delta` of the edges."""
+    fresh = F.lit(True).alias("fresh")
+    start = line_groups(points, lines, seed).join(points, "id").withColumns(
+        {"worst": F.lit(float("inf")), "known": F.array().cast("array<long>")})
+    graph = saved(_closest(_grouped(start, each).select("*", fresh), degree), "graph")
+    for step in count():
         turned = graph.select(F.col("b").alias("a"), F.col("a").alias("b"))
         some = Window.partitionBy("a").orderBy(F.xxhash64("a", "b", F.lit(step)))
         backward = (turned.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(32)))
@@ -200,15 +220,20 @@ def build_graph(points: DataFrame, degree: int = 24, rounds: int = 5, lines: int
         met = graph.select("a", "b").union(backward).union(
             points.select(F.col("id").alias("a"), F.col("id").alias("b"))).distinct()
         worst = graph.groupBy("a").agg(
-            F.when(F.count("*") >= degree, F.max("distance")).alias("worst"))
+            F.when(F.count("*") >= degree, F.max("distance")).alias("worst"),
+            F.collect_list("b").alias("known"))
         limited = points.join(worst.withColumnRenamed("a", "id"), "id", "left").select(
             F.col("id").alias("b"), "vector",
-            F.coalesce("worst", F.lit(float("inf"))).alias("worst"))
+            F.coalesce("worst", F.lit(float("inf"))).alias("worst"),
+            F.coalesce("known", F.array().cast("array<long>")).alias("known"))
         groups = met.join(limited, "b").select(
-            F.col("a").alias("group"), F.col("b").alias("id"), "vector", "worst")
-        found = _grouped(groups, each)
-        graph = saved(_closest(graph.select("a", "b", "distance").union(found), degree), "graph")
-    return graph.select("a", "b", "distance")
+            F.col("a").alias("group"), F.col("b").alias("id"), "vector", "worst", "known")
+        found = _grouped(groups, each).select("*", fresh)
+        old = graph.select("a", "b", "distance", F.lit(False).alias("fresh"))
+        graph = saved(_closest(old.union(found), degree), "graph")
+        edges = graph.agg(F.count("*").alias("all"), F.count_if("fresh").alias("new")).first()
+        if step + 1 >= rounds and edges["new"] <= delta * edges["all"]:
+            return graph.select("a", "b", "distance")
 
 
 def _distance(x: str, y: str) -> Column:
