@@ -146,6 +146,20 @@ def test_extract(html, text):
     assert extraction.extract(html) == text
 
 
+@pytest.mark.parametrize("html, text", [
+    (f"<html><head><title>T</title><style>x</style><body><p>{LONG}</p></body>", LONG),
+    (f"<head><title>T</title><meta x=y><p>{LONG}", LONG),
+    (f"<head><title>T</title>{LONG}", LONG),
+    (f"<head><noscript><p>Switch it on</p></noscript></head><p>{LONG}</p>", LONG),
+    *((f"<body><{tag}><a href=x>Menu</a><{kind}><p>{LONG}</p></{kind}><footer>F</footer></body>",
+       LONG) for tag in ("nav", "header", "form", "aside") for kind in ("main", "article")),
+    (f"<article><p>{LONG}</p></article><aside><article>Other</article></aside>", LONG),
+    (f"<article><p>{LONG}</p></article><aside><article>Other {LONG}", LONG),     # cut off
+])
+def test_extract_with_elements_left_open(html, text):
+    assert extraction.extract(html) == text
+
+
 def test_extract_pages(spark):
     long = f"<article><p>{LONG * 3000}</p></article>"
     pages = spark.createDataFrame(

@@ -12,7 +12,10 @@ Elements that say themselves that they are not the article (nav, header outside
 article, footer, aside, form, script and the like, or a class, id or role naming a
 menu, sidebar, advert, notice or comments) give no lines. Pages may be cut off
 anywhere and elements left open; a void or unclosed inline element does no harm,
-for only blocks and containers are tracked.
+for only blocks and containers are tracked. A head ends where the body begins, by a
+tag or by what a head cannot hold. A nav, header, form or the like that is never closed
+hides nothing from the first article or main in it on, unless the page is cut off and
+has an article before it.
 
 Null, empty and tag-only pages give an empty string. Every row is its own result, so
 repeated rows are repeated; other columns of the input are not read.
@@ -23,6 +26,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -43,6 +47,8 @@ HIDDEN = frozenset(
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset(("script", "style"))
+#: What a head may hold; any other element ends it.
+IN_HEAD = frozenset("html head base link meta title script style noscript template".split())
 #: Words in class, id or role that mark what is not the article.
 MARKS = frozenset(
     "ad ads advert adverts advertisement adbox banner sponsor sponsored promo promotion cookie "
@@ -75,33 +81,49 @@ def _marked(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
     return False
 
 
+@dataclass
+class Hider:
+    """An element that hides its text, and the first piece of an article in it."""
+
+    outer: int                # the hider around it, or -1
+    by_tag: bool
+    first_piece: int
+    article_piece: int | None = None
+    closed: bool = False
+
+
 class PageLines(HTMLParser):
-    """Lines of a page: (text, ratio, container number)."""
+    """Lines of a page: (text, ratio, container number), once it is finished."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, float, int]] = []
         self.parents: list[int] = [-1]
         self.kinds: list[str] = [""]
-        self._open: list[tuple[str, int, bool]] = []   # tag, its container, hides
-        self._hidden = 0
+        self._open: list[tuple[str, int, int]] = []   # tag, its container, its hider or -1
+        self._hiders: list[Hider] = []
+        self._hider = -1                              # the innermost open one
+        self._shown_article: int | None = None        # first piece of an article not hidden
+        self._ended = False                           # the body's or page's end tag was met
         self._article = 0
         self._container = 0
-        self._text: list[str] = []
-        self._tags, self._linked, self._link = 0, 0, False
+        self._pieces: list[tuple[str, int, int]] = []   # text, characters in links, hider
+        self._raw: list[tuple[int, int, int]] = []    # end of the line's pieces, tags, container
+        self._tags, self._link = 0, False
 
     def _end_line(self) -> None:
-        text = WHITE.sub(" ", "".join(self._text)).strip()
-        if text:
-            self.lines.append((text, max(len(text) - self._linked, 0) / max(self._tags, 1),
-                               self._container))
-        self._text.clear()
-        self._tags = self._linked = 0
+        if len(self._pieces) > (self._raw[-1][0] if self._raw else 0):
+            self._raw.append((len(self._pieces), self._tags, self._container))
+        self._tags = 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCKS:
             self._end_line()
         self._tags += 1
+        if tag not in IN_HEAD:
+            self._end_head(tag)
+        if tag in ("article", "main"):
+            self._begin_article()
         if tag == "a":
             self._link = True
         if tag in VOID:
@@ -110,14 +132,35 @@ class PageLines(HTMLParser):
             self._close_implied(tag)
         hides = tag in HIDDEN or _marked(tag, attrs) or (tag == "header" and not self._article)
         if tag in BLOCKS or hides:
-            self._open.append((tag, self._container, hides))
-            self._hidden += hides
+            self._open.append((tag, self._container, len(self._hiders) if hides else -1))
+            if hides:
+                by_tag = tag in HIDDEN or tag == "header"
+                self._hiders.append(Hider(self._hider, by_tag, len(self._pieces)))
+                self._hider = len(self._hiders) - 1
             self._article += tag == "article"
             if tag in SECTIONS:
                 self.parents.append(self._container)
                 self.kinds.append(tag)
                 self._container = len(self.parents) - 1
 
+    def _end_head(self, tag: str) -> None:
+        """A head without end tag ends at the body or at what a head cannot hold."""
+        tags = [t for t, _, _ in self._open]
+        if "head" in tags:
+            at = tags.index("head")
+            if tag == "body" or not {"noscript", "template"}.intersection(tags[at:]):
+                while len(self._open) > at:
+                    self._pop()
+
+    def _begin_article(self) -> None:
+        if self._hider < 0 and self._shown_article is None:
+            self._shown_article = len(self._pieces)
+        around = self._hider
+        while around >= 0:
+            if self._hiders[around].article_piece is None:
+                self._hiders[around].article_piece = len(self._pieces)
+            around = self._hiders[around].outer
+
     def _close_implied(self, tag: str) -> None:
         """A paragraph, item or cell ends where the next of its kind begins."""
         if self._open and self._open[-1][0] == "p" or (
@@ -125,8 +168,9 @@ class PageLines(HTMLParser):
             self._pop()
 
     def _pop(self) -> None:
-        tag, container, hides = self._open.pop()
-        self._hidden -= hides
+        tag, container, hider = self._open.pop()
+        if hider >= 0:
+            self._hider = self._hiders[hider].outer
         self._article -= tag == "article"
         self._container = container
 
@@ -136,8 +180,11 @@ class PageLines(HTMLParser):
         self._tags += 1
         if tag == "a":
             self._link = False
+        self._ended |= tag in ("body", "html")
         for i in range(len(self._open) - 1, -1, -1):
             if self._open[i][0] == tag:
+                if self._open[i][2] >= 0:
+                    self._hiders[self._open[i][2]].closed = True
                 while len(self._open) > i:
                     self._pop()
                 return
@@ -145,14 +192,41 @@ class PageLines(HTMLParser):
                 return
 
     def handle_data(self, data: str) -> None:
-        if not self._hidden:
-            self._text.append(data)
-            if self._link:
-                self._linked += len(data.strip())
+        if self._open and self._open[-1][0] in RAW:
+            return
+        if self._open and self._open[-1][0] == "head" and data.strip():
+            self._pop()
+        self._pieces.append((data, len(data.strip()) if self._link else 0, self._hider))
 
     def finish(self) -> None:
         self.close()
         self._end_line()
+        until = [self._hides_until(h) for h in self._hiders]
+        begin = 0
+        for end, tags, container in self._raw:
+            shown = [self._pieces[k] for k in range(begin, end)
+                     if not self._is_hidden(k, until)]
+            begin = end
+            text = WHITE.sub(" ", "".join(t for t, _, _ in shown)).strip()
+            if text:
+                linked = sum(n for _, n, _ in shown)
+                self.lines.append((text, max(len(text) - linked, 0) / max(tags, 1), container))
+
+    def _hides_until(self, hider: Hider) -> float:
+        """The piece from which on the element hides nothing."""
+        if hider.closed or not hider.by_tag or hider.article_piece is None:
+            return math.inf
+        cut_off = not self._ended and self._shown_article is not None and (
+            self._shown_article < hider.first_piece)
+        return math.inf if cut_off else hider.article_piece
+
+    def _is_hidden(self, piece: int, until: list[float]) -> bool:
+        hider = self._pieces[piece][2]
+        while hider >= 0:
+            if piece < until[hider]:
+                return True
+            hider = self._hiders[hider].outer
+        return False
 
 
 def smoothed(ratios: list[float], sigma: float) -> list[float]:
