@@ -160,6 +160,27 @@ def test_extract_with_elements_left_open(html, text):
     assert extraction.extract(html) == text
 
 
+@pytest.mark.parametrize("html, text", [
+    (f"<div class=has-sidebar><p>{LONG}</p></div>", LONG),
+    (f"<div id=content-with-sidebar><article><p>{LONG}</p></article></div>", LONG),
+    (f"<div class='content sidebar-right'><p>{LONG}</p><p>{LONG}</p>"
+     f"<div class=sidebar><p>{LONG}</p></div></div>", f"{LONG} {LONG}"),
+    (f"<div class='layout sidebar-left'><main><p>{LONG}</p></main></div>", LONG),
+    (f"<div class='layout sidebar-left'><article><p>{LONG}</p></article>"
+     f"<div class=sidebar>{LONG} {LONG} {LONG}</div></div>", LONG),
+    (f"<article><div class=article-header><h1>Head</h1></div><p>{LONG}</p></article>",
+     f"Head {LONG}"),
+    (f"<article><h1 class=post-header>Head</h1><p>{LONG}</p></article>", f"Head {LONG}"),
+    (f"<article><p>{LONG}</p></article><div class=related><article>{LONG} {LONG}</article>"
+     f"</div>", LONG),
+    (f"<div><p>{LONG}</p></div><div class=comments><p>{LONG}</p><p>{LONG}</p></div>", LONG),
+    (f"<div><p>{LONG}</p></div><div class=comments><article>{LONG} {LONG}</article></div>", LONG),
+    (f"<div><p>{LONG}</p></div><div class=sidebar><article>Other post</article></div>", LONG),
+])
+def test_extract_with_marked_wrappers(html, text):
+    assert extraction.extract(html) == text
+
+
 def test_extract_pages(spark):
     long = f"<article><p>{LONG * 3000}</p></article>"
     pages = spark.createDataFrame(

@@ -10,7 +10,11 @@ long ones is kept.
 
 Elements that say themselves that they are not the article (nav, header outside an
 article, footer, aside, form, script and the like, or a class, id or role naming a
-menu, sidebar, advert, notice or comments) give no lines. Pages may be cut off
+menu, sidebar, advert, notice or comments) give no lines. A name is only a hint: state
+words (has-sidebar) and headers of an entry (post-header) are no names of that kind, and
+a named element that has the page's main is kept, and where no article is shown, one
+that has most of the text outside links, alone or with others that have articles (not
+counting comments, adverts and the like, which are never kept so). Pages may be cut off
 anywhere and elements left open; a void or unclosed inline element does no harm,
 for only blocks and containers are tracked. A head ends where the body begins, by a
 tag or by what a head cannot hold. A nav, header, form or the like that is never closed
@@ -57,6 +61,13 @@ MARKS = frozenset(
     "header masthead topbar toolbar social share sharing related recommended comment comments "
     "commentlist disqus respond reply replies login search searchbox copyright legal pagination "
     "pager skip complementary contentinfo banner form gdpr paywall teaser tags".split())
+#: Marks of what is long on some pages and never holds the article for its length alone.
+OTHERS = frozenset(
+    "ad ads advert adverts advertisement adbox sponsor sponsored promo promotion cookie cookies "
+    "consent newsletter comment comments commentlist disqus respond reply replies related "
+    "recommended gdpr".split())
+#: Words before a mark that make it a state of a layout.
+STATES = frozenset("has with no without".split())
 CONTENT = frozenset("article content main post entry story body text".split())
 NAMES = re.compile(r"[A-Za-z]+")
 WHITE = re.compile(r"\s+")
@@ -67,20 +78,29 @@ def _names(value: str) -> list[str]:
     return [w.lower() for w in NAMES.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", value))]
 
 
-def _marked(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+def _marks(words: list[str]) -> set[str]:
+    """The marks among the words of one name, less states and headers of an entry."""
+    return {w for before, w in zip(["", *words], words, strict=False) if w in MARKS
+            and before not in STATES and not (w == "header" and before in CONTENT)}
+
+
+def _unseen(attrs: list[tuple[str, str | None]]) -> bool:
     for name, value in attrs:
         if name in ("hidden",) or (name == "aria-hidden" and value == "true"):
             return True
         if name == "style" and value and re.search(r"display\s*:\s*none", value):
             return True
-        if name in ("class", "id", "role") and value and tag not in ("html", "body", "main"):
-            words = _names(value)
-            if any(w in MARKS for w in words) and not (
-                    tag == "article" or words[0] in CONTENT and len(words) == 1):
-                return True
     return False
 
 
+def _marked(tag: str, attrs: list[tuple[str, str | None]]) -> set[str]:
+    """Marks in the element's names."""
+    if tag in ("html", "body", "main", "article"):
+        return set()
+    return {w for name, value in attrs if name in ("class", "id", "role") and value
+            for token in value.split() for w in _marks(_names(token))}
+
+
 @dataclass
 class Hider:
     """An element that hides its text, and the first piece of an article in it."""
@@ -88,7 +108,9 @@ class Hider:
     outer: int                # the hider around it, or -1
     by_tag: bool
     first_piece: int
+    marks: set[str]           # of an element that only its names hide
     article_piece: int | None = None
+    has_main: bool = False
     closed: bool = False
 
 
@@ -123,19 +145,21 @@ class PageLines(HTMLParser):
         if tag not in IN_HEAD:
             self._end_head(tag)
         if tag in ("article", "main"):
-            self._begin_article()
+            self._begin_article(tag)
         if tag == "a":
             self._link = True
         if tag in VOID:
             return
         if tag in BLOCKS and tag != "body" and tag not in SECTIONS:
             self._close_implied(tag)
-        hides = tag in HIDDEN or _marked(tag, attrs) or (tag == "header" and not self._article)
+        by_tag = tag in HIDDEN or (tag == "header" and not self._article)
+        surely = by_tag or _unseen(attrs)
+        marks = set() if surely else _marked(tag, attrs)
+        hides = surely or bool(marks)
         if tag in BLOCKS or hides:
             self._open.append((tag, self._container, len(self._hiders) if hides else -1))
             if hides:
-                by_tag = tag in HIDDEN or tag == "header"
-                self._hiders.append(Hider(self._hider, by_tag, len(self._pieces)))
+                self._hiders.append(Hider(self._hider, by_tag, len(self._pieces), marks))
                 self._hider = len(self._hiders) - 1
             self._article += tag == "article"
             if tag in SECTIONS:
@@ -152,13 +176,14 @@ class PageLines(HTMLParser):
                 while len(self._open) > at:
                     self._pop()
 
-    def _begin_article(self) -> None:
+    def _begin_article(self, tag: str) -> None:
         if self._hider < 0 and self._shown_article is None:
             self._shown_article = len(self._pieces)
         around = self._hider
         while around >= 0:
             if self._hiders[around].article_piece is None:
                 self._hiders[around].article_piece = len(self._pieces)
+            self._hiders[around].has_main |= tag == "main"
             around = self._hiders[around].outer
 
     def _close_implied(self, tag: str) -> None:
@@ -201,7 +226,7 @@ class PageLines(HTMLParser):
     def finish(self) -> None:
         self.close()
         self._end_line()
-        until = [self._hides_until(h) for h in self._hiders]
+        until = self._judged([self._hides_until(h) for h in self._hiders])
         begin = 0
         for end, tags, container in self._raw:
             shown = [self._pieces[k] for k in range(begin, end)
@@ -220,8 +245,47 @@ class PageLines(HTMLParser):
             self._shown_article < hider.first_piece)
         return math.inf if cut_off else hider.article_piece
 
+    def _judged(self, until: list[float]) -> list[float]:
+        """`until`, with 0 for marked elements that hold the article."""
+        marked = [i for i, h in enumerate(self._hiders) if h.marks]
+        if not marked:
+            return until
+        for i in marked:
+            if self._hiders[i].has_main:
+                until[i] = 0
+        # articles that nothing else hides
+        sure = [0 if h.marks else u for h, u in zip(self._hiders, until, strict=True)]
+        shown = self._shown_article is not None or any(
+            h.article_piece is not None and not self._hides(i, h.article_piece, until)
+            for i, h in enumerate(self._hiders))
+        if shown:
+            return until
+        wrappers = {i for i in marked if not self._hiders[i].marks & OTHERS}
+        held = {i for i in wrappers if self._hiders[i].article_piece is not None
+                and not self._hides(i, self._hiders[i].article_piece, sure)}
+        total, in_held, own = 0, 0, dict.fromkeys(wrappers, 0)
+        for k, (text, linked, hider) in enumerate(self._pieces):
+            around = set()
+            while hider >= 0 and k >= sure[hider]:
+                around.add(hider)
+                hider = self._hiders[hider].outer
+            if hider >= 0 or any(self._hiders[i].marks & OTHERS for i in around):
+                continue
+            size = max(len(text.strip()) - linked, 0)
+            total += size
+            in_held += size * bool(around & held)
+            for i in around & wrappers:
+                own[i] += size
+        for i in wrappers:
+            if 2 * own[i] > total or i in held and 2 * in_held > total:
+                until[i] = 0
+        return until
+
     def _is_hidden(self, piece: int, until: list[float]) -> bool:
-        hider = self._pieces[piece][2]
+        return self._hides(self._pieces[piece][2], piece, until)
+
+    def _hides(self, hider: int, piece: int, until: list[float]) -> bool:
+        """Whether the element or one around it hides the piece."""
         while hider >= 0:
             if piece < until[hider]:
                 return True
