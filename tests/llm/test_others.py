@@ -181,6 +181,15 @@ def test_extract_with_marked_wrappers(html, text):
     assert extraction.extract(html) == text
 
 
+@pytest.mark.parametrize("long", [2, 10, 60])
+def test_extract_keeps_short_sections(long):
+    """One div a section, without article or main."""
+    parts = ["Opening words.", LONG * long, LONG, "Last words."]
+    html = "".join(f"<div><h2>Part {i}</h2><p>{t}</p></div>" for i, t in enumerate(parts))
+    html = f"<body><div><a href=a>Home</a> <a href=b>More</a></div>{html}</body>"
+    assert extraction.extract(html) == " ".join(f"Part {i} {t}" for i, t in enumerate(parts))
+
+
 def test_extract_pages(spark):
     long = f"<article><p>{LONG * 3000}</p></article>"
     pages = spark.createDataFrame(

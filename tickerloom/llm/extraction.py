@@ -6,7 +6,9 @@ smoothed with a Gaussian over the neighbouring lines, and lines whose smoothed r
 exceeds a share of the page's mean form the content clusters. A cluster selects the
 container it lies in (the nearest article, main or other sectioning element), and
 all lines of selected containers are the text: a short paragraph or a heading among
-long ones is kept.
+long ones is kept. On a page without article or main the containers beside a selected
+one, in the same parent, are selected too unless most of their text is links: an
+article may be one container a section, of any length.
 
 Elements that say themselves that they are not the article (nav, header outside an
 article, footer, aside, form, script and the like, or a class, id or role naming a
@@ -120,6 +122,7 @@ class PageLines(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, float, int]] = []
+        self.linked: list[int] = []                   # characters in links of each line
         self.parents: list[int] = [-1]
         self.kinds: list[str] = [""]
         self._open: list[tuple[str, int, int]] = []   # tag, its container, its hider or -1
@@ -235,6 +238,7 @@ class PageLines(HTMLParser):
             text = WHITE.sub(" ", "".join(t for t, _, _ in shown)).strip()
             if text:
                 linked = sum(n for _, n, _ in shown)
+                self.linked.append(linked)
                 self.lines.append((text, max(len(text) - linked, 0) / max(tags, 1), container))
 
     def _hides_until(self, hider: Hider) -> float:
@@ -318,15 +322,23 @@ def extract(html: str | None, sigma: float = 1.0, share: float = 0.5) -> str:
     if articles:
         roots = {_inside(page, c, ("article", "main")) for c in articles}
     else:
-        weight: dict[int, float] = {}
-        for (text, _, c), v in zip(page.lines, values, strict=True):
-            if v >= threshold:
-                weight[c] = weight.get(c, 0) + len(text)
-        most = max(weight.values())
-        roots = {c for c, w in weight.items() if w >= 0.2 * most}
+        roots = chosen | _beside(page, chosen)
     return " ".join(text for text, _, c in page.lines if _under(page, c, roots))
 
 
+def _beside(page: PageLines, chosen: set[int]) -> set[int]:
+    """Containers with the parent of a chosen one and most text outside links."""
+    plain, linked = [0] * len(page.parents), [0] * len(page.parents)
+    for (text, _, c), n in zip(page.lines, page.linked, strict=True):
+        while c >= 0:
+            plain[c] += max(len(text) - n, 0)
+            linked[c] += n
+            c = page.parents[c]
+    around = {page.parents[c] for c in chosen}
+    return {c for c, parent in enumerate(page.parents)
+            if c and parent in around and plain[c] > linked[c]}
+
+
 def _inside(page: PageLines, container: int, kinds: tuple[str, ...]) -> int:
     """The outermost container of these kinds around `container`, or -1."""
     found = -1
