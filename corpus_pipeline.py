@@ -5,7 +5,8 @@ Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kep
 next. All stages but the last return the columns they were given, and of those only
 doc_id, text and source are read, so other columns may have any name but that a
 column named like one the last stage adds is replaced by it. Rows with a null doc_id
-do not pass the first stage; rows with the same doc_id leave the third as one row.
+do not pass the first stage; rows with the same doc_id leave the third as one row, that
+whose text was compared.
 An empty table stays empty.
 """
 
@@ -44,7 +45,14 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
                     "repeated-ids")
     chosen = docs.join(kept, "doc_id", "left_semi").select(docs.columns)
     if several.limit(1).count():
-        chosen = chosen.dropDuplicates(["doc_id"])
+        # of a repeated id the row whose text was compared; equal texts by source
+        again = chosen.join(several, "doc_id", "left_semi")
+        texts = saved(neardup.compared_texts(again).select(
+            F.col("doc_id").alias("own_id"), F.col("text").alias("own_text")), "compared-texts")
+        same = (F.col("doc_id") == F.col("own_id")) & F.col("text").eqNullSafe(F.col("own_text"))
+        row = F.min_by(F.struct(*docs.columns), F.struct("source", "text")).alias("row")
+        one = again.join(texts, same).groupBy("own_id").agg(row).select("row.*")
+        chosen = chosen.join(several, "doc_id", "left_anti").select(docs.columns).union(one)
     return chosen
 
 

@@ -356,6 +356,15 @@ def test_pipeline(spark):
     assert all(set(r["text"].split("\n")) <= whole[i] | {""} for i, r in rows.items())
 
 
+def test_repeated_id_keeps_the_text_that_was_compared(spark, docs):
+    long, short = prose(1, 90), prose(2, 30)
+    for rows in ([(1, long, "s"), (1, short, "s"), (2, long, "s")],
+                 [(1, short, "s"), (1, long, "s"), (2, long, "s")]):
+        found = corpus_pipeline.one_of_each_group(spark, docs(rows).coalesce(1), "")
+        assert sorted((r["doc_id"], r["text"]) for r in found.collect()) == [
+            (1, short), (2, long)]
+
+
 def test_pipeline_edges(spark, docs):
     sf = "/root/testdata/sf0.001"
     rows = [(10**6, None, "s"), (10**6 + 1, "", None), (10**6 + 2, prose(1, 90), "s"),

@@ -105,6 +105,29 @@ def sketches(docs: DataFrame, words: int, bands: int, rows_per_band: int) -> Dat
                         "doc_id long, n_shingles long, d1 long, d2 long, bands array<long>"))
 
 
+def compared_texts(docs: DataFrame, words: int = 5) -> DataFrame:
+    """(doc_id, text): of each id the text whose set `near_duplicates` compares, the
+    least; of several with that set the least text."""
+
+    def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            sets = shingle_sets([(t or "").encode() for t in texts], words)
+            digests = np.array([[mix(s ^ _SEEDS[k]).sum(dtype=np.uint64) for k in (3000, 3001)]
+                                for s in sets], dtype=np.uint64).reshape(-1, 2)
+            yield pa.record_batch({
+                "doc_id": batch.column("doc_id"), "text": pa.array(texts, pa.string()),
+                "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
+                "d1": pa.array(textops.signed(digests[:, 0].copy())),
+                "d2": pa.array(textops.signed(digests[:, 1].copy()))})
+
+    return (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+            .where("doc_id is not null").distinct()
+            .mapInArrow(digested, "doc_id long, text string, n_shingles long, d1 long, d2 long")
+            .groupBy("doc_id").agg(F.min(F.struct("n_shingles", "d1", "d2", "text")).alias("s"))
+            .select("doc_id", "s.text"))
+
+
 def stored_sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
     """(id, digest, members): full sets of the documents named in `ids`, as bytes.
 
