@@ -11,12 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickerloom.llm import (
+    centroids,
     decontaminate,
     extraction,
     lines,
+    manifest,
     mixing,
     neardup,
     neighbours,
+    packing,
     quality,
     suffixes,
     toxicity,
@@ -84,6 +87,21 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(table(spark, sf_dir, "documents"),
+                        public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op12_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings")).drop("centroid")
+
+
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.proofs(table(spark, sf_dir, "documents"), manifest.lower_case_fifth())
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def shipped(query):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,9 +111,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
     found = [op1_toxicity, op2_decontamination, op3_mixing, op4_extraction, op5_lines,
              op6_quality, op7_minhash, op8_urls, op9_suffixes,
-             op10_neighbours]
+             op10_neighbours, op11_packing, op12_centroids, op13_manifest]
     return {q.__name__: shipped(q) for q in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_mixing": twins.OP3_MIXING, "op5_lines": twins.OP5_LINES}
+    return {"op3_mixing": twins.OP3_MIXING, "op5_lines": twins.OP5_LINES,
+            "op12_centroids": twins.op12_centroids(), "op13_manifest": twins.op13_manifest()}

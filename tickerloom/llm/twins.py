@@ -87,3 +87,110 @@ SELECT doc_id, CASE WHEN len(kept) < len(whole)
        (len(whole) - len(kept))::BIGINT AS n_dropped
 FROM cut
 """
+
+
+def op13_manifest(levels: int = 6) -> str:
+    """Trees of up to 16 ** `levels` leaves, every level a table of its own."""
+    upper = "".join(map(chr, range(ord("A"), ord("Z") + 1)))
+
+    def leaf(text: str) -> str:
+        fields = ("doc_id::VARCHAR", "source", "lang", "n_chars::VARCHAR", text)
+        return "sha256(" + " || ".join(
+            f"coalesce(strlen({f})::VARCHAR || ':' || {f}, '-')" for f in fields) + ")"
+
+    # Bit by bit: a step of the checksum for each bit of each digit.
+    step = ("list_reduce(list_prepend(xor(a, b), range(8)), lambda c, i: "
+            "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)")
+    digits = "list_transform(string_split(doc_id::VARCHAR, ''), lambda d: ascii(d)::BIGINT)"
+    crc = f"xor(list_reduce(list_prepend(4294967295::BIGINT, {digits}), lambda a, b: {step}), 4294967295)"
+
+    def climb(name: str) -> list[str]:
+        """Levels and siblings over `name`0 (tree, pos, hash, members)."""
+        made = []
+        for k in range(levels):
+            span = "OVER (PARTITION BY tree, pos // 16 ORDER BY pos ROWS BETWEEN"
+            made.append(f"""
+{name}_beside{k} AS MATERIALIZED (
+  SELECT tree, pos, coalesce(string_agg(hash, '') {span} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+         coalesce(string_agg(hash, '') {span} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM {name}{k} WHERE members > 1)""")
+            made.append(f"""
+{name}{k + 1} AS MATERIALIZED (
+  SELECT tree, pos // 16 AS pos, CASE WHEN any_value(members) = 1 THEN any_value(hash)
+         ELSE sha256(string_agg(hash, '' ORDER BY pos)) END AS hash,
+         (any_value(members) + 15) // 16 AS members
+  FROM {name}{k} GROUP BY tree, pos // 16)""")
+        return made
+
+    def walk(source: str, target: str, name: str, tree: str, pos: str) -> list[str]:
+        """Siblings from `name` added to the proof and folded in, level by level."""
+        made = []
+        for k in range(levels):
+            made.append(f"""
+{target}{k + 1} AS (
+  SELECT w.* REPLACE (proof || coalesce(s.l || s.r, '') AS proof,
+         CASE WHEN s.l IS NULL THEN folded ELSE sha256(s.l || folded || s.r) END AS folded)
+  FROM {source if k == 0 else f'{target}{k}'} w
+  LEFT JOIN {name}_beside{k} s ON s.tree = {tree} AND s.pos = {pos} // {16 ** k})""")
+        return made
+
+    parts = [f"""
+leafed AS (
+  SELECT doc_id, coalesce('=' || source, '') AS tree, {leaf('text')} AS leaf,
+         CASE WHEN doc_id IS NOT NULL AND text IS NOT NULL AND {crc} % 5 = 0
+              THEN {leaf(f"translate(text, '{upper}', '{upper.lower()}')")} END AS changed
+  FROM documents),
+numbered AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         count(*) OVER (PARTITION BY tree) AS members FROM leafed),
+doc0 AS (SELECT tree, pos, leaf AS hash, members FROM numbered)""",
+             *climb("doc"), f"""
+subroots AS MATERIALIZED (
+  SELECT tree AS name, hash, row_number() OVER (ORDER BY tree) - 1 AS place FROM doc{levels}),
+top0 AS (SELECT '' AS tree, place AS pos, hash, count(*) OVER () AS members FROM subroots)""",
+             *climb("top"), """
+start AS (SELECT *, '' AS proof, coalesce(changed, leaf) AS folded FROM numbered)""",
+             *walk("start", "own", "doc", "w.tree", "w.pos"), f"""
+placed AS (
+  SELECT w.*, s.place, s.hash AS subroot FROM own{levels} w JOIN subroots s ON s.name = w.tree)""",
+             *walk("placed", "all_", "top", "''", "w.place")]
+    return (f"WITH {','.join(parts)}\n"
+            "SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, "
+            "folded AS folded_root, folded = root AS verified\n"
+            f"FROM all_{levels}, (SELECT hash AS root FROM top{levels})")
+
+
+def op12_centroids(clusters: int = 8, rounds: int = 10) -> str:
+    """Every round as tables of its own: nearest centroid, then means."""
+    parts = [f"""
+kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS n, vec_id,
+         list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS q
+  FROM embeddings WHERE len(embedding) = 64
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id::VARCHAR) NULLS LAST, q) - 1 AS c, q
+  FROM kept QUALIFY c < {clusters})"""]
+    for k in range(rounds + 1):
+        parts.append(f"""
+a{k} AS MATERIALIZED (
+  SELECT n, any_value(vec_id) AS vec_id, any_value(q) AS q, min(d) AS d, arg_min(c, (d, c)) AS c
+  FROM (SELECT n, vec_id, kept.q, c,
+               list_sum(list_transform(list_zip(kept.q, m.q),
+                        lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+        FROM kept, c{k} m) GROUP BY n)""")
+        if k < rounds:
+            parts.append(f"""
+s{k} AS MATERIALIZED (
+  SELECT c, i, sum(q[i])::BIGINT AS s, count(*) AS m
+  FROM a{k}, (SELECT unnest(range(1, 65)) AS i) GROUP BY c, i),
+c{k + 1} AS MATERIALIZED (
+  SELECT c, coalesce(f.q, old.q) AS q FROM c{k} old LEFT JOIN (
+    SELECT c, list(s // m - CASE WHEN s < 0 AND s % m <> 0 THEN 1 ELSE 0 END ORDER BY i) AS q
+    FROM s{k} GROUP BY c) f USING (c))""")
+    return f"""WITH {','.join(parts)}
+SELECT vec_id, a.c::INTEGER AS cluster, d AS distance,
+       (sum(d) OVER (PARTITION BY a.c))::BIGINT AS cluster_inertia,
+       (sum(d) OVER ())::BIGINT AS inertia,
+       sha256(array_to_string(m.q, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} m ON m.c = a.c"""
