@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from tickerloom.llm.common import rows, saved
 from tickerloom.llm.ranks import ranked
 
-WORDS = 400_000
+WORDS = 800_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -72,8 +73,10 @@ class Encoder:
             self.known[word] = self._whole(text)
             return
         letters, stops = simple.groups()
-        model = self.tokenizer.model.tokenize(letters.lower().translate(self.letters))
-        ids = np.array([t.id for t in model], "<u4").tobytes()
+        if not letters.isascii():
+            letters = letters.lower().translate(self.letters)
+        model = self.tokenizer.model.tokenize(letters)
+        ids = struct.pack(f"<{len(model)}I", *[t.id for t in model])
         if stops:
             end = stops.encode()
             if end not in self.known:
@@ -88,17 +91,28 @@ class Encoder:
         words = lower.split()  # at ASCII white space
         if len(self.known) > self.at_most:
             self.known.clear()
-        for word in words:
-            if word not in self.known:
+        known = self.known
+        for word in [w for w in words if w not in known]:
+            if word not in known:
                 self._learn(word)
-        return b"".join(map(self.known.__getitem__, words))
+        return b"".join(map(known.__getitem__, words))
+
+
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """The encoder of this worker process, which serves many tasks."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
 
 
 def pieces(docs: DataFrame, path: str, capacity: int, closing_id: int = 0) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every piece of every document."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(path)
+        encode = encoder(path)
         end = np.array([closing_id], "<u4").tobytes()
         for batch in batches:
             found: list[tuple] = []
