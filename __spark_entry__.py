@@ -9,6 +9,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable
 from dataclasses import replace
+from datetime import datetime
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -27,15 +28,16 @@ from tickerloom.operators import (
     coverage,
     dividends,
     membership,
+    moments,
     prices,
     returns,
     valuation,
 )
 from tickerloom.plans.publish import publish_report
 from tickerloom.plans.report import company_figures, company_report, dropped_companies
-from tickerloom.sources import curated, delimited, documents, routing
+from tickerloom.sources import curated, delimited, documents, ledger, routing
 from tickerloom.sources.workspace import materialise, shared_folder
-from tickerloom.streaming.annual import start_annual
+from tickerloom.streaming.annual import read_annual, start_annual
 from tickerloom.streaming.curate import start_curation
 from tickerloom.streaming.dedupe import drop_redelivered
 from tickerloom.streaming.ingest import new_files, start_ingest, tape_stream
@@ -50,6 +52,8 @@ except ModuleNotFoundError as absent:  # the corpus operators may be taken out w
 
 S = data.SETTINGS
 RUN_TIME = S.as_of
+# A time with many snapshots after it.
+PAST = datetime(2000, 3, 15)
 
 
 # --- shared pieces ---------------------------------------------------------------
@@ -203,8 +207,9 @@ def published_rates(spark, sf):
 def _stored_members(spark, sf):
     snapshots = data.snapshots(spark, sf)
     return (
-        materialise(membership.new_members(snapshots), shared_folder(spark, "new")),
-        materialise(membership.previous_members(snapshots), shared_folder(spark, "previous")),
+        materialise(membership.new_members(snapshots, S.as_of), shared_folder(spark, "new")),
+        materialise(membership.previous_members(snapshots, S.as_of),
+                    shared_folder(spark, "previous")),
     )
 
 
@@ -221,8 +226,8 @@ def read_worklist(spark, sf):
 
 def universe(spark, sf):
     snapshots = data.snapshots(spark, sf)
-    members = membership.latest_members(snapshots).join(
-        membership.latest_company(snapshots).select(
+    members = membership.latest_members(snapshots, S.as_of).join(
+        membership.latest_company(snapshots, as_of=S.as_of).select(
             F.col("ticker").alias("symbol"), F.col("name").alias("security"),
             F.col("sector").alias("gics_sector"), F.col("industry").alias("gics_sub_industry"),
         ),
@@ -251,7 +256,7 @@ def stream_ingest(spark, sf):
     return _run_ingest(spark, source)
 
 
-def stream_dedupe(spark, sf):
+def stream_first_delivery(spark, sf):
     """The feed is delivered twice; 40 days of memory span all its 30 days."""
     source = shared_folder(spark, "events-twice-csv")
     for _ in range(2):
@@ -270,6 +275,21 @@ def stream_dedupe(spark, sf):
     return spark.read.parquet(target)
 
 
+def stream_dedupe(spark, sf):
+    """The feed comes with wrong prices first, with right ones and another header later."""
+    source, true = shared_folder(spark, "events-corrected"), data.event_tape(spark, sf)
+    places = [shared_folder(spark, label) for label in ("routed", "newest", "cp")]
+    delimited.write_tape(true.withColumn("adj_close", -F.col("adj_close")), f"{source}/first")
+    start_curation(spark, source, *places).awaitTermination()
+    true.select(
+        F.col("adj_close").alias("Adj Close"), F.col("ticker").alias("Ticker"),
+        F.lit(1).alias("Volume"), F.col("dividends").alias("Dividends"),
+        F.col("date").cast("string").alias("Date"),
+    ).write.csv(f"{source}/second", header=True)
+    start_curation(spark, source, *places).awaitTermination()
+    return ledger.read_current(spark, places[1]).drop("year", "month")
+
+
 def incremental_refresh(spark, sf):
     """Rows with dividends first come at twice their price; a later delivery, with its
     columns in another order, corrects them."""
@@ -284,14 +304,18 @@ def incremental_refresh(spark, sf):
         F.col("dividends").alias("Dividends"), F.col("date").cast("string").alias("Date"),
     ).write.csv(f"{source}/second", header=True)
     start_curation(spark, source, routed, target, checkpoint).awaitTermination()
-    return curated.read_current(spark, target)
+    return ledger.read_current(spark, target)
 
 
 def stream_annual(spark, sf):
-    """The tape arrives as four files, one per micro-batch, that share years."""
+    """The tape arrives as four files, one per micro-batch, that share years; before them
+    comes one with wrong dividends of some rows."""
     source = shared_folder(spark, "tape-files")
     raw = data.raw_tape(spark, sf)
-    raw.repartitionByRange(4, "date").write.parquet(source)
+    wrong = raw.filter(F.col("dividends") > 0).withColumns({
+        "dividends": F.col("dividends") * 2, "source_rank": F.col("source_rank") + 2**40})
+    wrong.coalesce(1).write.parquet(source)
+    raw.repartitionByRange(4, "date").write.mode("append").parquet(source)
     stream = (
         spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(source)
     )
@@ -300,7 +324,31 @@ def stream_annual(spark, sf):
         stream, shared_folder(spark, "stream-tape"), annual, shared_folder(spark, "cp"),
         S.benchmarks,
     ).awaitTermination()
-    return rounded(spark.read.parquet(annual), "annual_dividend")
+    return rounded(read_annual(spark, annual), "annual_dividend")
+
+
+# --- membership through time -----------------------------------------------------
+
+def intervals(spark, sf):
+    return membership.membership_intervals(data.snapshots(spark, sf))
+
+
+def extended_intervals(spark, sf):
+    """Intervals until `PAST`, stored, then brought up to the snapshots after it."""
+    snapshots = data.snapshots(spark, sf)
+    early = membership.known_snapshots(snapshots, PAST)
+    last = membership.snapshot_times(early, 1).first()["updated_at"]
+    stored = materialise(membership.membership_intervals(early),
+                         shared_folder(spark, "intervals"))
+    return membership.extend_intervals(stored, snapshots, last)
+
+
+def member_report(spark, sf):
+    """The report on companies that were members at `as_of`; symbols are tickers here."""
+    settings = replace(S, min_streak=1)
+    members = membership.members_as_of(intervals(spark, sf), S.as_of)
+    found = company_figures(stored_tape(spark, sf), members, settings)
+    return rounded(found, "beta", "five_year_cagr")
 
 
 # --- tape operators --------------------------------------------------------------
@@ -315,6 +363,19 @@ def beta(paired: bool):
     return query
 
 
+def stored_beta(spark, sf):
+    """Moments of the months up to `PAST` and then of the later ones, and beta from them."""
+    companies, index = companies_tape(spark, sf), index_tape(spark, sf)
+    folder = shared_folder(spark, "moments")
+    months = sorted(r["month"] for r in tape(spark, sf).select(
+        moments.month_of().alias("month")).distinct().collect() if r["month"])
+    cut = f"{PAST:%Y-%m}"
+    moments.refresh_moments(spark, companies, index, [m for m in months if m <= cut], folder, 0)
+    moments.refresh_moments(spark, companies, index, [m for m in months if m > cut], folder, 1)
+    return rounded(moments.beta_from_moments(
+        moments.read_moments(spark, folder), companies, index, S.as_of, S.growth_days), "beta")
+
+
 def growth_streak(spark, sf):
     changes = dividends.dividend_change(dividends.annual_dividends(companies_tape(spark, sf)))
     return rounded(dividends.growth_streak(changes), "annual_dividend", "dividend_increase")
@@ -419,14 +480,27 @@ def tape_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             companies_tape(s, d), S.as_of, S.history_days),
         "normalise_utc": utc,
         "dedupe_tape": lambda s, d: clean.dedupe_tape(data.raw_tape(s, d)),
-        "latest_company": lambda s, d: membership.latest_company(data.snapshots(s, d)),
+        "latest_company": lambda s, d: membership.latest_company(
+            data.snapshots(s, d), as_of=S.as_of),
         "current_company": lambda s, d: membership.latest_company(
-            data.snapshots(s, d), members_only=True),
-        "snapshot_times": lambda s, d: membership.snapshot_times(data.snapshots(s, d)),
-        "latest_members": lambda s, d: membership.latest_members(data.snapshots(s, d)),
-        "previous_members": lambda s, d: membership.previous_members(data.snapshots(s, d)),
-        "new_members": lambda s, d: membership.new_members(data.snapshots(s, d)),
-        "snapshot_diff": lambda s, d: membership.snapshot_diff(data.snapshots(s, d)),
+            data.snapshots(s, d), members_only=True, as_of=S.as_of),
+        "snapshot_times": lambda s, d: membership.snapshot_times(
+            data.snapshots(s, d), as_of=S.as_of),
+        "latest_members": lambda s, d: membership.latest_members(
+            data.snapshots(s, d), as_of=S.as_of),
+        "previous_members": lambda s, d: membership.previous_members(
+            data.snapshots(s, d), as_of=S.as_of),
+        "new_members": lambda s, d: membership.new_members(
+            data.snapshots(s, d), as_of=S.as_of),
+        "snapshot_diff": lambda s, d: membership.snapshot_diff(
+            data.snapshots(s, d), as_of=S.as_of),
+        "membership_intervals": intervals,
+        "extended_intervals": extended_intervals,
+        "members_as_of": lambda s, d: membership.members_as_of(intervals(s, d), PAST),
+        "companies_as_of": lambda s, d: membership.companies_as_of(intervals(s, d), PAST),
+        "snapshot_diff_as_of": lambda s, d: membership.snapshot_diff(
+            data.snapshots(s, d), as_of=PAST),
+        "member_report": member_report,
         "universe": universe,
         "wide_to_long": wide_to_long,
         "fetch_plan": fetch_plan,
@@ -452,6 +526,7 @@ def tape_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             returns.market_returns(index_tape(s, d), S.as_of, S.growth_days), "market_return"),
         "beta": beta(paired=False),
         "beta_paired": beta(paired=True),
+        "stored_beta": stored_beta,
         "beta_monthly": lambda s, d: rounded(
             returns.beta_monthly(companies_tape(s, d), index_tape(s, d), S.as_of, S.growth_days),
             "beta_monthly"),
@@ -477,6 +552,7 @@ def tape_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "coverage_gaps_as_of": lambda s, d: coverage.coverage_gaps(
             companies_tape(s, d), S.as_of),
         "stream_dedupe": stream_dedupe,
+        "stream_first_delivery": stream_first_delivery,
         "stream_annual": stream_annual,
         "incremental_refresh": incremental_refresh,
     }

@@ -6,8 +6,8 @@ from golden import SETTINGS, raw_tape, tape_rows
 from pyspark.sql import functions as F
 
 from tickerloom.operators import clean, dividends
-from tickerloom.sources import curated, routing
-from tickerloom.streaming.annual import refresh_years, start_annual
+from tickerloom.sources import commits, ledger, routing
+from tickerloom.streaming.annual import read_annual, start_annual, take_batch
 from tickerloom.streaming.curate import merge_files, start_curation
 from tickerloom.streaming.dedupe import drop_redelivered
 from tickerloom.streaming.ingest import new_files, start_ingest, tape_stream
@@ -51,7 +51,7 @@ def test_a_file_with_another_header_does_not_stop_the_stream(spark, tmp_path):
     assert run()[0] == [(2.5,), (3.5,), (4.5,)]
 
 
-def test_new_files_touch_only_their_years(spark, tmp_path):
+def test_new_files_touch_only_their_months(spark, tmp_path):
     source, routed, target = tmp_path / "in", str(tmp_path / "routed"), tmp_path / "curated"
     source.mkdir()
 
@@ -59,7 +59,7 @@ def test_new_files_touch_only_their_years(spark, tmp_path):
         (source / name).write_text(HEADER + "\n".join(lines) + "\n")
         os.utime(source / name, (when, when))
         start_curation(spark, str(source), routed, str(target), str(tmp_path / "cp")).awaitTermination()
-        rows = curated.read_current(spark, str(target)).collect()
+        rows = ledger.read_current(spark, str(target)).collect()
         assert all(r["year"] == r["date"].year and r["month"] == r["date"].month for r in rows)
         return sorted((r["ticker"], str(r["date"])[:10], r["adj_close"]) for r in rows)
 
@@ -71,12 +71,13 @@ def test_new_files_touch_only_their_years(spark, tmp_path):
                  ("BBB", "2024-05-02", 9.0)]
     assert deliver("b.csv", 3_000, "2024-05-02,AAA,3,0", "2024-05-02,BBB,9,0") == corrected
     assert deliver("c.csv", 1_500, "2024-05-02,AAA,7,0") == corrected
-    years = {p.name: sorted(y.name for y in p.glob("year=*")) for p in target.glob("version=*")}
-    assert years == {"version=0": [], "version=1": ["year=2023", "year=2024"],
-                     "version=2": ["year=2024"], "version=3": ["year=2024"]}
+    months = {p.name: sorted(m.name for m in p.glob("month=*"))
+              for p in (target / "data").glob("commit=*")}
+    assert months == {"commit=0": [], "commit=2": ["month=2023-05", "month=2024-05"],
+                      "commit=4": ["month=2024-05"], "commit=6": ["month=2024-05"]}
     again = spark.createDataFrame([(str(source / "b.csv"),)], "path string")
     merge_files(again, 2, routed, str(target))
-    found = curated.read_current(spark, str(target)).collect()
+    found = ledger.read_current(spark, str(target)).collect()
     assert sorted((r["ticker"], str(r["date"])[:10], r["adj_close"]) for r in found) == corrected
 
 
@@ -119,7 +120,7 @@ def test_annual_stream_equals_batch(spark, tmp_path):
     start_annual(stream, *args).awaitTermination()
 
     def found():
-        rows = spark.read.parquet(annual).select(
+        rows = read_annual(spark, annual).select(
             "ticker", "year", F.round("annual_dividend", 9), "dividend_frequency")
         return sorted(map(tuple, rows.collect()))
 
@@ -135,20 +136,23 @@ def test_annual_stream_equals_batch(spark, tmp_path):
 def test_a_batch_that_runs_twice_changes_nothing(spark, tmp_path):
     paths = str(tmp_path / "tape"), str(tmp_path / "annual"), SETTINGS.benchmarks
     rows = tape_rows()
-    refresh_years(ranked(spark, rows[:30]), 0, *paths)
-    refresh_years(ranked(spark, rows[20:]), 1, *paths)
-    once = sorted(map(tuple, spark.read.parquet(paths[1]).collect()))
-    refresh_years(ranked(spark, rows[20:]), 1, *paths)
-    assert sorted(map(tuple, spark.read.parquet(paths[1]).collect())) == once
+
+    def found():
+        return sorted(map(tuple, read_annual(spark, paths[1]).collect()))
+
+    take_batch(ranked(spark, rows[:30]), 0, *paths)
+    take_batch(ranked(spark, rows[20:]), 1, *paths)
+    once = found()
+    take_batch(ranked(spark, rows[20:]), 1, *paths)
+    assert found() == once
 
 
-def test_only_touched_years_are_rewritten(spark, tmp_path):
+def test_a_batch_adds_to_its_years_alone(spark, tmp_path):
     paths = str(tmp_path / "tape"), str(tmp_path / "annual"), SETTINGS.benchmarks
     rows = tape_rows()
-    refresh_years(ranked(spark, rows), 0, *paths)
-    old = {f.name for f in (tmp_path / "annual" / "year=2019").glob("part-*")}
+    take_batch(ranked(spark, rows), 0, *paths)
     late = [("ZZZ", r[1], 1.0, 1.0) for r in rows if r[1].year == 2016][:1]
-    refresh_years(ranked(spark, late), 1, *paths)
-    assert {f.name for f in (tmp_path / "annual" / "year=2019").glob("part-*")} == old
-    tickers = {r.ticker for r in spark.read.parquet(paths[1]).filter("year = 2016").collect()}
+    take_batch(ranked(spark, late), 1, *paths)
+    assert [part for part, _ in commits.folders_of(spark, paths[1], 2)] == ["2016"]
+    tickers = {r.ticker for r in read_annual(spark, paths[1]).filter("year = 2016").collect()}
     assert tickers == {"AAA", "CCC", "ZZZ"}

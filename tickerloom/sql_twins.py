@@ -86,13 +86,35 @@ CTES = {
                o_orderpriority AS gics_sub_industry,
                CAST(date_trunc('month', o_orderdate) AS TIMESTAMP) AS updated_at
         FROM orders JOIN customer ON o_custkey = c_custkey""",
+    "held": """
+        SELECT *, dense_rank() OVER (ORDER BY updated_at) AS run
+        FROM (SELECT *, row_number() OVER (PARTITION BY symbol, updated_at
+                  ORDER BY security NULLS LAST, gics_sector NULLS LAST, gics_sub_industry NULLS LAST) AS pos
+              FROM snapshots)
+        WHERE pos = 1""",
+    "stretches": """
+        SELECT *, sum(begins) OVER (PARTITION BY symbol ORDER BY run) AS stretch
+        FROM (SELECT *, CASE WHEN lag(run) OVER (PARTITION BY symbol ORDER BY run) = run - 1
+                  AND lag((security, gics_sector, gics_sub_industry)) OVER (PARTITION BY symbol ORDER BY run)
+                      IS NOT DISTINCT FROM (security, gics_sector, gics_sub_industry)
+                  THEN 0 ELSE 1 END AS begins
+              FROM held)""",
+    "intervals": """
+        SELECT symbol, security, gics_sector, gics_sub_industry, valid_from, r.updated_at AS valid_to
+        FROM (SELECT symbol, stretch, any_value(security) AS security, any_value(gics_sector) AS gics_sector,
+                     any_value(gics_sub_industry) AS gics_sub_industry, min(updated_at) AS valid_from,
+                     max(run) AS last_run
+              FROM stretches GROUP BY symbol, stretch)
+        LEFT JOIN (SELECT DISTINCT run, updated_at FROM held) r ON r.run = last_run + 1""",
     "newest": """
         SELECT symbol AS ticker, security AS name, gics_sector AS sector, gics_sub_industry AS industry
         FROM (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY updated_at DESC,
                   security NULLS LAST, gics_sector NULLS LAST, gics_sub_industry NULLS LAST) AS pos
-              FROM snapshots)
+              FROM snapshots WHERE updated_at <= TIMESTAMP '2001-08-01')
         WHERE pos = 1""",
-    "times": "SELECT DISTINCT updated_at FROM snapshots ORDER BY updated_at DESC LIMIT 2",
+    "times": """
+        SELECT DISTINCT updated_at FROM snapshots WHERE updated_at <= TIMESTAMP '2001-08-01'
+        ORDER BY updated_at DESC LIMIT 2""",
     "now_in": """
         SELECT DISTINCT symbol FROM snapshots WHERE updated_at = (SELECT max(updated_at) FROM times)""",
     "before_in": """
@@ -181,6 +203,7 @@ def oracle_sql() -> dict[str, str]:
         "write_snapshot_csv": "SELECT * FROM members",
         "stream_ingest": "SELECT * FROM event_tape",
         "stream_dedupe": "SELECT * FROM event_tape",
+        "stream_first_delivery": "SELECT * FROM event_tape",
         "quarantine": """
             WITH judged AS (
                 SELECT event_id, CASE WHEN event_type <> 'error' THEN CAST(user_id AS VARCHAR) END AS ticker,
@@ -205,6 +228,24 @@ def oracle_sql() -> dict[str, str]:
         "dedupe_tape": "SELECT ticker, date, adj_close, dividends FROM tape",
         "latest_company": "SELECT * FROM newest",
         "current_company": "SELECT n.* FROM newest n JOIN now_in ON ticker = symbol",
+        "membership_intervals": "SELECT * FROM intervals",
+        "extended_intervals": "SELECT * FROM intervals",
+        "members_as_of": """
+            SELECT symbol AS ticker, security AS name, gics_sector AS sector, gics_sub_industry AS industry
+            FROM held WHERE updated_at = (
+                SELECT max(updated_at) FROM snapshots WHERE updated_at <= TIMESTAMP '2000-03-15')""",
+        "companies_as_of": """
+            SELECT symbol AS ticker, arg_max_null(security, updated_at) AS name,
+                   arg_max_null(gics_sector, updated_at) AS sector,
+                   arg_max_null(gics_sub_industry, updated_at) AS industry
+            FROM held WHERE updated_at <= TIMESTAMP '2000-03-15' GROUP BY symbol""",
+        "snapshot_diff_as_of": """
+            , two AS (SELECT DISTINCT run FROM held WHERE updated_at <= TIMESTAMP '2000-03-15'
+                      ORDER BY run DESC LIMIT 2)
+            SELECT symbol, CASE WHEN min(run) = (SELECT max(run) FROM two) THEN 'added'
+                                WHEN max(run) < (SELECT max(run) FROM two) THEN 'removed'
+                                ELSE 'retained' END AS status
+            FROM held WHERE run IN (SELECT run FROM two) GROUP BY symbol""",
         "snapshot_times": "SELECT * FROM times",
         "latest_members": "SELECT * FROM now_in",
         "previous_members": "SELECT * FROM before_in",
@@ -270,6 +311,7 @@ def oracle_sql() -> dict[str, str]:
             FROM steps WHERE date BETWEEN TIMESTAMP '2023-02-01' AND TIMESTAMP '2024-02-01'""",
         "market_returns": f"SELECT date, {six('m')} AS market_return FROM market",
         "beta": f"SELECT ticker, {six('beta')} AS beta FROM betas",
+        "stored_beta": f"SELECT ticker, {six('beta')} AS beta FROM betas",
         "beta_paired": f"SELECT ticker, {six('paired')} AS beta FROM betas",
         "beta_monthly": f"""
             , ends AS (
@@ -343,6 +385,17 @@ def oracle_sql() -> dict[str, str]:
             FROM comp GROUP BY ticker, year""",
     }
     built = {name: _query(select) for name, select in selects.items()}
+    built["member_report"] = _query(
+        f"""
+        SELECT g.ticker, m.security AS name, m.gics_sector AS sector, m.gics_sub_industry AS industry,
+               g.consecutive_growth_years, g.dividend_frequency, {six('b.beta')} AS beta,
+               {six('g.five_year_cagr')} AS five_year_cagr, l.last_dividend, l.last_price
+        FROM growth g JOIN betas b USING (ticker) JOIN latest l USING (ticker)
+        JOIN histories h USING (ticker)
+        JOIN held m ON m.symbol = g.ticker AND m.updated_at = (SELECT max(updated_at) FROM snapshots
+            WHERE updated_at <= TIMESTAMP '2001-08-01')""",
+        min_streak=1,
+    )
     built["dropped_companies"] = _query(
         """
         , trading AS (SELECT DISTINCT date FROM tape

@@ -1,52 +1,52 @@
-"""The curated tape kept up to date from new files, touching only their years."""
+"""The curated tape kept up to date from deliveries, the newest of each row counting."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tickerloom.operators.clean import dedupe_tape
-from tickerloom.sources.curated import read_versions
+from tickerloom.sources import ledger
+from tickerloom.sources.files import child_folders
 from tickerloom.sources.routing import ACCEPTED, read_route
 from tickerloom.streaming.ingest import batch_folder, ingest_files, new_files
 
-COLUMNS = ["ticker", "date", "adj_close", "dividends", "source_rank"]
+
+def append_commit(batch_id: int) -> int:
+    """Number of the commit that adds a batch; the next is its compaction."""
+    return 2 * batch_id
+
+
+def take_delivery(rows: DataFrame, batch_id: int, path: str,
+                  folders: int = ledger.FOLDERS) -> list[str]:
+    """Add one batch of rows to the ledger at `path`; the months it touches.
+
+    Months that thereby hold `folders` deliveries are compacted, so a batch writes its
+    own rows, and now and then a month.
+    """
+    months = ledger.append(rows, path, append_commit(batch_id))
+    ledger.compact(rows.sparkSession, path, append_commit(batch_id) + 1, folders)
+    return months
 
 
 def merge_files(files: DataFrame, batch_id: int, routed_path: str, curated_path: str) -> None:
-    """Route the files, then write a new version of each year their good rows touch.
+    """Route the files of a batch and add their good rows to the ledger.
 
-    A version holds the newest delivery of each (ticker, date), whatever the order in
-    which files arrive, and stands alone: no reader merges. A batch that fails leaves
-    the versions before it readable and, run again, replaces its own.
+    A batch that fails leaves the table as it was, and does the same when run again.
     """
     spark = files.sparkSession
     ingest_files(files, batch_id, routed_path)
-    rows = read_route(spark, batch_folder(routed_path, batch_id), ACCEPTED).select(
-        *COLUMNS, F.year("date").alias("year"))
-    if batch_id:
-        touched = rows.select("year").distinct()  # calendar years: a few
-        rows = rows.unionByName(read_versions(spark, curated_path, batch_id).join(
-            F.broadcast(touched), "year", "left_semi"))
-    (
-        dedupe_tape(rows, keep_rank=True)
-        .withColumn("year", F.year("date"))
-        .hint("rebalance", "year")
-        .sortWithinPartitions("year", "ticker", "date")
-        .write.partitionBy("year")
-        .mode("overwrite")
-        .parquet(f"{curated_path.rstrip('/')}/version={batch_id}")
-    )
+    routed = batch_folder(routed_path, batch_id)
+    if any(name.startswith("route=") for name in child_folders(spark, routed)):
+        take_delivery(read_route(spark, routed, ACCEPTED), batch_id, curated_path)
 
 
 def start_curation(spark: SparkSession, folder: str, routed_path: str, curated_path: str,
                    checkpoint: str, files_per_batch: int = 1000,
                    archive: str | None = None) -> StreamingQuery:
-    """Merge the new files under `folder` into `curated_path` until all are done.
+    """Add the new files under `folder` to the ledger `curated_path` until all are done.
 
-    One checkpoint belongs to one `curated_path`, for batches number the versions.
-    `sources.curated.read_current` reads the result; older versions may expire.
+    Columns are matched by name, file by file. `ledger.read_current` reads the result. One
+    checkpoint belongs to one `curated_path`, for batches number the commits.
     """
     return (
         new_files(spark, folder, files_per_batch, archive)
@@ -56,3 +56,22 @@ def start_curation(spark: SparkSession, folder: str, routed_path: str, curated_p
         .trigger(availableNow=True)
         .start()
     )
+
+
+def start_newest(tape: DataFrame, curated_path: str, checkpoint: str) -> StreamingQuery:
+    """Keep the newest delivery of each (ticker, date) of a stream of typed tape rows with
+    `source_rank`, in the ledger at `curated_path`.
+
+    No state and no watermark: a correction counts however late it comes, and memory does
+    not grow with the history.
+    """
+    return (
+        tape.writeStream.foreachBatch(lambda batch, n: _keep(batch, n, curated_path))
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def _keep(batch: DataFrame, batch_id: int, path: str) -> None:
+    take_delivery(batch, batch_id, path)
