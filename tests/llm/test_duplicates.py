@@ -57,6 +57,28 @@ def brute_components(rows, words):
     return {i: (len(sets[i]), root(i)) for i in ids}
 
 
+def test_rounds_shrink(spark, docs, monkeypatch):
+    """Groups of near copies whose buckets need several rounds: settled ones are left out."""
+    rows = []
+    for g in range(12):
+        text = prose(50 + g, 150)
+        for i in range(12):
+            text = edited(text, 100 * g + i, 0.04)      # drifts away from the first
+            rows.append((100 * g + i, text, "s"))
+    kept = []
+
+    def counted(df, label, save=neardup.saved):
+        found = save(df, label)
+        if label == "bucket-members":
+            kept.append(found.count())
+        return found
+
+    monkeypatch.setattr(neardup, "saved", counted)
+    found = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(docs(rows), 2).collect()}
+    assert found == {i: c for i, (_, c) in brute_components(rows, 2).items()}
+    assert len(kept) > 1 and kept == sorted(kept, reverse=True) and kept[-1] < kept[0] / 2, kept
+
+
 @pytest.mark.parametrize("words, small", [(2, 32), (2, 4), (5, 32)])
 def test_components(docs, corpus, monkeypatch, words, small):
     monkeypatch.setattr(neardup, "SMALL", small)          # with 4, large buckets take tiles

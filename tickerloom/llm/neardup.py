@@ -264,16 +264,36 @@ def _tile_links(share: int):
     return links
 
 
-def _merged(members: DataFrame, links: DataFrame) -> DataFrame:
-    """`members` with the components that `links` join made one."""
-    of = members.select("id", "component").distinct()
-    between = (links.join(of.select(F.col("id").alias("a"), F.col("component").alias("ca")), "a")
-               .join(of.select(F.col("id").alias("b"), F.col("component").alias("cb")), "b")
-               .select(F.col("ca").alias("a"), F.col("cb").alias("b")).where("a <> b"))
-    renamed = components(between).select(
+def _named(ids: DataFrame, labels: DataFrame, column: str) -> DataFrame:
+    """`ids` with `column`, an id, replaced by its component; one without label is its own."""
+    known = labels.select(F.col("id").alias(column), F.col("component").alias("_of"))
+    return (ids.join(known, column, "left")
+            .withColumn(column, F.coalesce("_of", column)).drop("_of"))
+
+
+def _joined(links: DataFrame, labels: DataFrame) -> DataFrame:
+    """(component, joined): the components that `links` between ids make part of another."""
+    between = _named(_named(links, labels, "a"), labels, "b").where("a <> b")
+    return components(between).where("node <> component").select(
         F.col("node").alias("component"), F.col("component").alias("joined"))
-    return (members.join(renamed, "component", "left")
-            .withColumn("component", F.coalesce("joined", "component")).drop("joined"))
+
+
+def _relabelled(labels: DataFrame, joined: DataFrame) -> DataFrame:
+    """`labels` (id, component) of all ids that are not their own component, after `joined`."""
+    moved = labels.join(joined, "component", "left").select(
+        "id", F.coalesce("joined", "component").alias("component"))
+    return moved.union(joined.select(F.col("component").alias("id"),
+                                     F.col("joined").alias("component")))
+
+
+def _unsettled(members: DataFrame, joined: DataFrame) -> DataFrame:
+    """Members, under their new components, of the buckets that still hold several."""
+    renamed = saved(members.join(joined, "component", "left").select(
+        "id", "n", "bucket", F.coalesce("joined", "component").alias("component")), "renamed")
+    several = renamed.groupBy("bucket").agg(
+        F.min("component").alias("least"), F.max("component").alias("most")).where(
+        "least <> most").select("bucket")
+    return renamed.join(several, "bucket", "left_semi")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, share: int = 80, bands: int = 42,
@@ -295,14 +315,19 @@ def near_duplicates(docs: DataFrame, words: int = 5, share: int = 80, bands: int
     sets = stored_sets(docs, members.select("id").distinct(), words).join(
         classes.select("id", F.col("d1").alias("digest")), ["id", "digest"], "left_semi")
     sets = saved(sets.select("id", "members"), "shingle-sets")
+    # Components are kept once per id that has another's; the members of a bucket are
+    # dropped as soon as they are one component, so rounds shrink.
+    labels = sets.sparkSession.createDataFrame([], "id long, component long")
     for step in range(pivot_rounds + 1):
         links = saved(_pivot_links(members, sets, share, step) if step < pivot_rounds
                       else _remaining_links(members, sets, share), "links")
         if not links.limit(1).count():
             continue
-        members = saved(_merged(members, links), "bucket-members")
-    joined = members.select("id", "component").distinct()
-    named = classes.join(joined, "id", "left").select(
+        joined = saved(_joined(links, labels), "joined")
+        labels = saved(_relabelled(labels, joined), "labels")
+        if step < pivot_rounds:
+            members = saved(_unsettled(members, joined), "bucket-members")
+    named = classes.join(labels, "id", "left").select(
         "n_shingles", "d1", "d2", F.coalesce("component", "id").alias("component"))
     return one_set.join(named, ["n_shingles", "d1", "d2"], "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"),
