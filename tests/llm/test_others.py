@@ -61,6 +61,28 @@ def test_search_is_complete(spark):
         assert all(math.isclose(found[k], min(expected[k], 1), rel_tol=1e-6) for k in found)
 
 
+def test_every_text_of_an_item_is_found(spark, docs):
+    texts = [f"{prose(10 * i, 30)}?\n{prose(10 * i + 1, 6)}" for i in range(3)]
+    table = spark.createDataFrame([(1, texts[0]), (1, texts[1]), (1, texts[1]), (2, texts[2])],
+                                  "item_id long, text string")
+    rows = [(10 + i, f"{prose(500 + i, 90)} {t} {prose(600 + i, 90)}", "s")
+            for i, t in enumerate(texts)]
+    rows.append((20, prose(700, 200), "s"))
+    found = decontaminate.contaminated(docs(rows), table).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in found) == [(10, 1), (11, 1), (12, 2)]
+
+
+def test_both_sides_of_an_item_have_words(spark, docs):
+    assert decontaminate.question_and_answer("Who is it? A man.\n???") == ("Who is it?", " A man.\n???")
+    assert decontaminate.question_and_answer("one two three _ \u2013") == ("one two", "three")
+    question, answer = prose(1, 30), prose(2, 15)
+    table = spark.createDataFrame([(1, f"{question} {answer}\n\u2026 ?")], "item_id long, text string")
+    rows = [(10, f"{prose(3, 50)} {question} {prose(4, 50)}", "s"),
+            (11, f"{prose(3, 50)} {question} {answer} {prose(4, 50)}", "s")]
+    found = decontaminate.contaminated(docs(rows), table).collect()
+    assert [r["doc_id"] for r in found] == [11]
+
+
 # --- mixing ------------------------------------------------------------------------
 
 def highest_quotients(votes, seats):
@@ -375,3 +397,30 @@ def test_pipeline_edges(spark, docs):
         found = table.collect()
         assert len({r["doc_id"] for r in found}) == len(found)
         assert {"size", "source_size", "target", "taken", "text"} <= set(table.columns)
+
+
+@pytest.mark.parametrize("inner", ["<article>{}</article>", "<main>{}</main>", "<div>{}</div>"])
+def test_a_form_around_the_page(inner):
+    story = "".join(f"<p>{prose(i, 40)}</p>" for i in range(4))
+    text = " ".join(prose(i, 40) for i in range(4))
+    page = ("<html><body><form action='/x'><input name='s'><button>Go</button>"
+            f"<nav><a href='/'>Home</a></nav>{inner.format(story)}</form></body></html>")
+    assert extraction.extract(page) == text
+    beside = (f"<html><body>{inner.format(story)}<form><p>Write to us now</p>"
+              "<input name='m'></form></body></html>")
+    assert extraction.extract(beside) == text
+
+
+def test_a_page_cut_inside_a_tag():
+    story = "".join(f"<p>{prose(i, 40)}</p>" for i in range(3))
+    text = " ".join(prose(i, 40) for i in range(3))
+    for end in ("<p cla", "</di", "<!-- open", "<a href='x", "<"):
+        found = extraction.extract(f"<html><body><article>{story}{end}")
+        assert found == (text if end != "<" else f"{text} <")
+    assert extraction.extract("<article><p>1 < 2 and 3</p></article>") == "1 < 2 and 3"
+
+
+def test_a_discussion_is_no_article():
+    story = "".join(f"<p>{prose(i, 40)}</p>" for i in range(3))
+    page = f"<main>{story}<section id='discussion'><p>{prose(9, 20)}</p></section></main>"
+    assert extraction.extract(page) == " ".join(prose(i, 40) for i in range(3))

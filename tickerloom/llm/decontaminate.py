@@ -20,8 +20,10 @@ itself and is matched with all documents, so a larger benchmark takes more passe
 never more memory. Words are runs of letters and digits, lower-cased.
 
 Defined results: null or empty texts of documents or items match nothing; items
-without a word are left out; items with equal texts are each reported. Rows with the
-same doc_id are reported once per item with the best of their scores. Rows with null
+without a word are left out; items with equal texts are each reported. Different texts
+under one item_id are entries of their own, searched and verified each; the best of them
+counts for the id. Both sides of an item have words, so a last line of signs alone is no
+answer; an item of one word is an answer without a question. Rows with the same doc_id are reported once per item with the best of their scores. Rows with null
 doc_id or item_id are left out. Other columns are not read.
 """
 
@@ -49,11 +51,13 @@ RESULT = "doc_id long, item_id long, score double, question_overlap double, answ
 
 def question_and_answer(text: str) -> tuple[str, str]:
     body = text.strip()
+    spoken = [m.span() for m in re.finditer(r"\w*[^\W_]\w*", body)]
     for end in (r"\n", r"[.!?](?=\s)"):
-        cuts = [m.end() for m in re.finditer(end, body) if body[m.end():].strip()]
+        cuts = [m.end() for m in re.finditer(end, body)
+                if spoken and spoken[0][1] <= m.end() <= spoken[-1][0]]
         if cuts:
             return body[:cuts[-1]], body[cuts[-1]:]
-    words = body.split()
+    words = [body[a:b] for a, b in spoken]
     at = len(words) - max(1, len(words) // 3)
     return " ".join(words[:at]), " ".join(words[at:])
 
@@ -66,7 +70,7 @@ def _words(text: str) -> np.ndarray:
 class Shard:
     """Postings of some items, sorted by term and then by block."""
 
-    item_ids: np.ndarray       # of each item
+    item_ids: np.ndarray       # of each entry
     vocabulary: np.ndarray     # sorted term hashes
     maxima: np.ndarray         # terms x blocks: the largest impact
     postings: list[list[tuple[np.ndarray, np.ndarray]]]   # block -> term -> items, impacts
@@ -111,43 +115,44 @@ def build_shards(benchmark: DataFrame) -> Iterator[Shard]:
     """Shards over the whole benchmark; frequencies of terms count all its items."""
 
     def terms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for item, text in rows(batches, "item_id", "text"):
+        for entry, text in rows(batches, "entry", "text"):
             kinds, counts = np.unique(_words(text or ""), return_counts=True)
             if len(kinds):
                 yield pa.record_batch({
-                    "item_id": pa.array([item] * len(kinds), pa.int64()),
+                    "entry": pa.array([entry] * len(kinds), pa.int64()),
                     "term": pa.array(textops.signed(kinds)),
                     "tf": pa.array(counts, pa.int64()),
                 })
 
-    items = benchmark.select(F.col("item_id").cast("long"), "text").where(
-        "item_id is not null and text is not null")
-    counted = items.dropDuplicates(["item_id", "text"]).mapInArrow(
-        terms_of, "item_id long, term long, tf long")
-    sizes = counted.groupBy("item_id").agg(F.sum("tf").alias("words"))
+    items = (benchmark.select(F.col("item_id").cast("long"), "text")
+             .where("item_id is not null and text is not null").distinct()
+             .withColumn("entry", F.xxhash64("item_id", "text")))
+    counted = items.mapInArrow(terms_of, "entry long, term long, tf long")
+    sizes = counted.groupBy("entry").agg(F.sum("tf").alias("words"))
     facts = sizes.agg(F.count("*").alias("n"), F.avg("words").alias("mean")).first()
     if not facts["n"]:
         return
-    frequency = counted.groupBy("term").agg(F.countDistinct("item_id").alias("df"))
+    frequency = counted.groupBy("term").agg(F.countDistinct("entry").alias("df"))
     idf = F.log(1 + (facts["n"] - F.col("df") + 0.5) / (F.col("df") + 0.5))
     impact = idf * F.col("tf") * (K1 + 1) / (
         F.col("tf") + K1 * (1 - B + B * F.col("words") / facts["mean"]))
-    weighed = (counted.join(frequency, "term").join(sizes, "item_id")
-               .select("item_id", "term", impact.alias("impact")))
+    weighed = (counted.join(frequency, "term").join(sizes, "entry")
+               .select("entry", "term", impact.alias("impact")))
     parts = max(1, math.ceil(counted.count() / SHARD_POSTINGS))
-    part = F.pmod(F.xxhash64("item_id"), F.lit(parts))
+    part = F.pmod("entry", F.lit(parts))
     for number in range(parts):
-        chosen = items.where(part == number).groupBy("item_id").agg(F.max("text").alias("text"))
-        texts = {r["item_id"]: r["text"] for r in chosen.collect()}
+        texts = {r["entry"]: (r["item_id"], r["text"])
+                 for r in items.where(part == number).collect()}
         postings = weighed.where(part == number).collect()
         if postings:
             yield _shard(texts, postings)
 
 
-def _shard(texts: dict[int, str], postings: list) -> Shard:
-    ids = np.array(sorted({r["item_id"] for r in postings}), dtype=np.int64)
+def _shard(texts: dict[int, tuple[int, str]], postings: list) -> Shard:
+    """A shard of entries: `texts` has the item_id and text of each."""
+    ids = np.array(sorted({r["entry"] for r in postings}), dtype=np.int64)
     terms = np.array([r["term"] for r in postings], dtype=np.int64).view(np.uint64)
-    items = np.searchsorted(ids, [r["item_id"] for r in postings])
+    items = np.searchsorted(ids, [r["entry"] for r in postings])
     impacts = np.array([r["impact"] for r in postings])
     impacts = impacts / np.bincount(items, impacts)[items]
     vocabulary, term = np.unique(terms, return_inverse=True)
@@ -160,12 +165,12 @@ def _shard(texts: dict[int, str], postings: list) -> Shard:
         held = lists[i // BLOCK_ITEMS].setdefault(int(t), ([], []))
         held[0].append(int(i))
         held[1].append(float(w))
-    parts = [question_and_answer(texts[i]) for i in ids]
+    parts = [question_and_answer(texts[i][1]) for i in ids]
     return Shard(
-        ids, vocabulary, maxima, lists,
+        np.array([texts[i][0] for i in ids], dtype=np.int64), vocabulary, maxima, lists,
         [textops.shingles(_words(q), RUN) for q, _ in parts],
         [textops.shingles(_words(a), RUN) for _, a in parts],
-        max(len(_words(texts[i])) for i in ids))
+        max(len(_words(texts[i][1])) for i in ids))
 
 
 def _overlap(part: np.ndarray, passage: np.ndarray) -> float:

@@ -16,8 +16,9 @@ menu, sidebar, advert, notice or comments) give no lines. A name is only a hint:
 words (has-sidebar) and headers of an entry (post-header) are no names of that kind, and
 a named element that has the page's main is kept, and where no article is shown, one
 that has most of the text outside links, alone or with others that have articles (not
-counting comments, adverts and the like, which are never kept so). Pages may be cut off
-anywhere and elements left open; a void or unclosed inline element does no harm,
+counting comments, adverts and the like, which are never kept so). A form counts as named
+so: one around the whole page hides nothing but its own fields. Pages may be cut off
+anywhere, also inside a tag, and elements left open; a void or unclosed inline element does no harm,
 for only blocks and containers are tracked. A head ends where the body begins, by a
 tag or by what a head cannot hold. A nav, header, form or the like that is never closed
 hides nothing from the first article or main in it on, unless the page is cut off and
@@ -61,12 +62,12 @@ MARKS = frozenset(
     "cookies consent notice alert popup modal overlay newsletter subscribe signup sidebar side "
     "aside rail widget nav navbar navigation navmenu menu menubar breadcrumb breadcrumbs footer "
     "header masthead topbar toolbar social share sharing related recommended comment comments "
-    "commentlist disqus respond reply replies login search searchbox copyright legal pagination "
+    "commentlist discussion disqus respond reply replies login search searchbox copyright legal pagination "
     "pager skip complementary contentinfo banner form gdpr paywall teaser tags".split())
 #: Marks of what is long on some pages and never holds the article for its length alone.
 OTHERS = frozenset(
     "ad ads advert adverts advertisement adbox sponsor sponsored promo promotion cookie cookies "
-    "consent newsletter comment comments commentlist disqus respond reply replies related "
+    "consent newsletter comment comments commentlist discussion disqus respond reply replies related "
     "recommended gdpr".split())
 #: Words before a mark that make it a state of a layout.
 STATES = frozenset("has with no without".split())
@@ -157,7 +158,9 @@ class PageLines(HTMLParser):
             self._close_implied(tag)
         by_tag = tag in HIDDEN or (tag == "header" and not self._article)
         surely = by_tag or _unseen(attrs)
-        marks = set() if surely else _marked(tag, attrs)
+        marks = set() if surely and tag != "form" else _marked(tag, attrs)
+        if tag == "form" and not _unseen(attrs):
+            marks.add("form")
         hides = surely or bool(marks)
         if tag in BLOCKS or hides:
             self._open.append((tag, self._container, len(self._hiders) if hides else -1))
@@ -308,10 +311,17 @@ def smoothed(ratios: list[float], sigma: float) -> list[float]:
     return out
 
 
+def _whole_tags(html: str) -> str:
+    """The page less a tag at its end that was cut off."""
+    at = html.rfind("<")
+    cut = at > html.rfind(">") and re.match(r"[A-Za-z/!?]", html[at + 1:at + 2])
+    return html[:at] if cut else html
+
+
 def extract(html: str | None, sigma: float = 1.0, share: float = 0.5) -> str:
     """The main text of one page."""
     page = PageLines()
-    page.feed(html or "")
+    page.feed(_whole_tags(html or ""))
     page.finish()
     if not page.lines:
         return ""
