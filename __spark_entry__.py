@@ -35,7 +35,7 @@ from tickerloom.operators import (
 )
 from tickerloom.plans.publish import publish_report
 from tickerloom.plans.report import company_figures, company_report, dropped_companies
-from tickerloom.sources import curated, delimited, documents, ledger, routing
+from tickerloom.sources import curated, delimited, documents, ledger, registry, routing
 from tickerloom.sources.workspace import materialise, shared_folder
 from tickerloom.streaming.annual import read_annual, start_annual
 from tickerloom.streaming.curate import start_curation
@@ -155,6 +155,25 @@ def normalise_names(spark, sf):
     return delimited.register_folder(spark, folder, "found_customers", sep="|")
 
 
+def registered_rows(spark, sf):
+    """Customers in two deliveries, registered one after the other: the first has whole
+    balances and no segment, the second other columns in another order."""
+    folder, known = shared_folder(spark, "registered-csv"), shared_folder(spark, "registry")
+    customers = data.table(spark, sf, "customer")
+    early = F.col("c_custkey") % 2 == 0
+    customers.filter(early).select(
+        F.col("c_custkey").alias("Cust Key"), F.col("c_name").alias("Security"),
+        F.floor("c_acctbal").alias("ACCT Bal"),
+    ).write.csv(f"{folder}/first", header=True)
+    registry.discover(spark, folder, known, 0)
+    customers.filter(~early).select(
+        F.col("c_acctbal").alias("ACCT Bal"), F.col("c_mktsegment").alias("Market-Segment"),
+        F.col("c_name").alias("Security"), F.col("c_custkey").alias("Cust Key"),
+    ).write.csv(f"{folder}/second", header=True)
+    registry.discover(spark, folder, known, 1)
+    return registry.read_registered(spark, f"{folder}/*", known)
+
+
 def _defective_events(spark, sf):
     """Events as text rows, some of them unreadable."""
     kind, value = F.col("event_type"), F.col("value")
@@ -344,9 +363,10 @@ def extended_intervals(spark, sf):
 
 
 def member_report(spark, sf):
-    """The report on companies that were members at `as_of`; symbols are tickers here."""
+    """The report on companies that were members two weeks before `as_of`, by their names
+    then; symbols are tickers here."""
     settings = replace(S, min_streak=1)
-    members = membership.members_as_of(intervals(spark, sf), S.as_of)
+    members = membership.members_as_of(intervals(spark, sf), datetime(2001, 7, 18))
     found = company_figures(stored_tape(spark, sf), members, settings)
     return rounded(found, "beta", "five_year_cagr")
 
@@ -445,6 +465,18 @@ def fetch_plan(spark, sf):
     return plan.withColumn("batch", F.coalesce("batch", F.lit(-1)).cast("long"))
 
 
+def missing_ranges(spark, sf):
+    return coverage.missing_ranges(companies_tape(spark, sf), index_tape(spark, sf), S.as_of)
+
+
+def fetch_plan_of_gaps(spark, sf):
+    """Tickers as old symbols, each asked for the ranges it lacks."""
+    old = companies_tape(spark, sf).select(F.col("ticker").alias("symbol")).distinct()
+    plan = collector.fetch_plan(old.limit(0), old, RUN_TIME, "2001-08-01-00-00-00.csv",
+                                gaps=missing_ranges(spark, sf))
+    return plan.drop("batch")
+
+
 def utc(spark, sf):
     return data.table(spark, sf, "events").select(
         "event_id",
@@ -466,6 +498,7 @@ def tape_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "scan_mixed_files": scan_mixed_files,
         "scan_snapshots": scan_snapshots,
         "normalise_names": normalise_names,
+        "registered_rows": registered_rows,
         "publish_document": publish_document,
         "published_rates": published_rates,
         "worklist_json": worklist_json,
@@ -504,6 +537,7 @@ def tape_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "universe": universe,
         "wide_to_long": wide_to_long,
         "fetch_plan": fetch_plan,
+        "fetch_plan_of_gaps": fetch_plan_of_gaps,
         "annual_dividends": lambda s, d: rounded(
             dividends.annual_dividends(companies_tape(s, d)), "annual_dividend"),
         "dividend_change": dividend_change,
@@ -551,6 +585,7 @@ def tape_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "coverage_gaps": lambda s, d: coverage.coverage_gaps(companies_tape(s, d)),
         "coverage_gaps_as_of": lambda s, d: coverage.coverage_gaps(
             companies_tape(s, d), S.as_of),
+        "missing_ranges": missing_ranges,
         "stream_dedupe": stream_dedupe,
         "stream_first_delivery": stream_first_delivery,
         "stream_annual": stream_annual,

@@ -92,7 +92,7 @@ def test_a_failure_between_rows_and_log_changes_nothing(spark, tmp_path):
         "month", F.lit("2024-01"))
     commits.write_rows(lost, path, 2, "month", ["ticker"])       # ends before its log
     assert content(ledger.read_current(spark, path)) == before
-    (tmp_path / "log" / "commit=2" / "_temporary").mkdir(parents=True)   # ends inside it
+    (tmp_path / "log" / "_2.part").write_text("2024-01")          # ends inside it
     assert content(ledger.read_current(spark, path)) == before
     assert commits.expire(spark, path, keep=1) == []
     again = tape(spark, [("A", day("2024-01-02"), 2.0, 0.0, -1)])

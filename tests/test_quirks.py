@@ -21,6 +21,7 @@ from tickerloom.operators import (
     prices,
     returns,
 )
+from tickerloom.schemas import SNAPSHOT
 from tickerloom.sources import routing
 
 S = SETTINGS
@@ -129,6 +130,22 @@ def test_later_rows_change_nothing(spark):
     assert outcome(rows + later) == outcome(rows)
 
 
+def test_later_snapshots_change_no_report(spark):
+    """A snapshot after `as_of` leaves names, members and the worklist as they were."""
+    early = [("A", "Old", "x", "y", S.as_of - timedelta(days=d)) for d in (0, 40)]
+    later = [("A", "New", "x", "z", S.as_of + timedelta(days=1)),
+             ("B", "Late", "x", "y", S.as_of + timedelta(days=1))]
+
+    def outcome(rows):
+        snapshots = spark.createDataFrame(rows, SNAPSHOT)
+        frames = [f(snapshots, as_of=S.as_of) for f in (
+            membership.latest_company, membership.latest_members, membership.previous_members,
+            membership.new_members, membership.snapshot_diff, membership.snapshot_times)]
+        return [sorted(map(str, f.collect())) for f in frames]
+
+    assert outcome(early + later) == outcome(early)
+
+
 def test_values_that_are_no_numbers_or_dates(spark):
     raw = spark.createDataFrame(
         [("A", "2024-01-02", "Infinity", "NaN"), ("A", "T12:30", "1", "0"),

@@ -1,0 +1,89 @@
+"""The stored schema of a folder, version by version."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from tickerloom.sources import registry
+
+
+def deliver(folder, name, *lines):
+    folder.mkdir(exist_ok=True)
+    (folder / name).write_text("\n".join(lines) + "\n")
+
+
+def changes(spark, folder, path, n):
+    return sorted(map(tuple, registry.discover(spark, str(folder), path, n).collect()))
+
+
+def types(spark, path):
+    return {f.name: f.dataType.simpleString() for f in registry.schema_of(spark, path)}
+
+
+@pytest.mark.parametrize("value, narrowest", [
+    ("7", "int"), ("-7", "int"), ("3000000000", "bigint"), ("9" * 25, "double"), ("1.5", "double"),
+    (".5e3", "double"), ("1e999", "string"), ("NaN", "string"), ("true", "boolean"),
+    ("2024-01-02", "date"), ("2024-01-02 03:04:05", "timestamp"), ("2024-13-02", "string"),
+    ("12:30", "string"), ("x", "string"), (" 7 ", "int"), ("", "boolean"), (None, "boolean")])
+def test_bits_of_a_value(spark, value, narrowest):
+    row = spark.createDataFrame([(value,)], "v string").select(
+        registry.value_bits(F.col("v")).alias("bits")).first()
+    assert registry.type_of(row["bits"], 1) == narrowest
+
+
+def test_versions(spark, tmp_path):
+    folder, path = tmp_path / "in", str(tmp_path / "registry")
+    deliver(folder, "a.csv", "Cust Key,Since,Note,Flag", "1,2024-01-02,,true", "2,2024-02-03,,")
+    assert changes(spark, folder, path, 0) == [
+        ("cust_key", "added", None, "int", None), ("flag", "added", None, "boolean", None),
+        ("note", "added", None, "string", None), ("since", "added", None, "date", None)]
+    assert types(spark, path) == {"cust_key": "int", "since": "date", "note": "string",
+                                  "flag": "boolean"}
+    # Nothing new: no file is opened, nothing is written.
+    assert changes(spark, folder, path, 1) == []
+    assert not (tmp_path / "registry" / "log" / "1").exists()
+    # Other order, one column more, one less, wider types.
+    deliver(folder, "b.csv", "Note,Since,Cust-Key,Rate", "5,2024-03-04 10:00:00,3000000000,1",
+            "6,2024-03-05,4,2.5")
+    assert changes(spark, folder, path, 1) == [
+        ("cust_key", "widened", "int", "bigint", "3000000000"),
+        ("flag", "missing", "boolean", "boolean", None),
+        ("note", "typed", "string", "int", None), ("rate", "added", None, "double", None),
+        ("since", "widened", "date", "timestamp", "2024-03-04 10:00:00")]
+    deliver(folder, "c.csv", "Cust Key,Since,Note,Flag,Rate", "5,2024-01-02,n,no,7")
+    assert changes(spark, folder, path, 2) == [
+        ("flag", "widened", "boolean", "string", "no"),
+        ("note", "widened", "int", "string", "n")]
+    rows = registry.read_registered(spark, str(folder), path)
+    assert rows.columns == ["cust_key", "since", "note", "flag", "rate"]
+    assert sorted((r["cust_key"], str(r["since"]), r["note"], r["flag"], r["rate"])
+                  for r in rows.collect()) == [
+        (1, "2024-01-02 00:00:00", None, "true", None),
+        (2, "2024-02-03 00:00:00", None, None, None),
+        (4, "2024-03-05 00:00:00", "6", None, 2.5), (5, "2024-01-02 00:00:00", "n", "no", 7.0),
+        (3000000000, "2024-03-04 10:00:00", "5", None, 1.0)]
+
+
+def test_known_files_are_not_opened_again(spark, tmp_path):
+    folder, path = tmp_path / "in", str(tmp_path / "registry")
+    deliver(folder, "a.csv", "A", "1")
+    changes(spark, folder, path, 0)
+    deliver(folder, "b.csv", "A", "2")
+    assert [r["path"].rsplit("/", 1)[1]
+            for r in registry.new_files(spark, str(folder), path).collect()] == ["b.csv"]
+    changes(spark, folder, path, 1)
+    assert registry.new_files(spark, str(folder), path).count() == 0
+    # A file written again counts as new.
+    deliver(folder, "a.csv", "A", "1.25")
+    assert changes(spark, folder, path, 2) == [("a", "widened", "int", "double", "1.25")]
+
+
+def test_a_version_that_failed_is_made_again(spark, tmp_path):
+    folder, path = tmp_path / "in", str(tmp_path / "registry")
+    deliver(folder, "a.csv", "A", "1")
+    changes(spark, folder, path, 0)
+    deliver(folder, "b.csv", "A", "x")
+    # The files were written, the log was not.
+    spark.createDataFrame([], registry.FILES).write.parquet(f"{path}/data/commit=1/part=files")
+    assert types(spark, path) == {"a": "int"}
+    assert changes(spark, folder, path, 1) == [("a", "widened", "int", "string", "x")]
+    assert changes(spark, folder, path, 1) == []

@@ -83,12 +83,15 @@ def number_rows(rows: DataFrame, key: str) -> DataFrame:
 
 
 def fetch_plan(new: DataFrame, old: DataFrame, run_time: datetime, source_file: str,
-               batch_size: int = 100, last_seen: DataFrame | None = None) -> DataFrame:
+               batch_size: int = 100, last_seen: DataFrame | None = None,
+               gaps: DataFrame | None = None) -> DataFrame:
     """What to fetch for whom: one row per symbol with its range and output key.
 
     Old symbols get the day before the run, new ones everything, in batches named
     by their offset. `last_seen` (symbol, last_date) lets an old symbol start where
-    its data ends, which closes the gaps a fixed one-day range leaves over weekends.
+    its data ends, which closes the gaps a fixed one-day range leaves over weekends. `gaps`,
+    as `coverage.missing_ranges` gives them, makes a row for each range an old symbol lacks;
+    one that lacks none keeps its usual row.
     """
     stem = source_file.split(".")[0]
     end = at(run_time, T.TimestampType())
@@ -97,9 +100,15 @@ def fetch_plan(new: DataFrame, old: DataFrame, run_time: datetime, source_file:
     if last_seen is not None:
         old = old.join(last_seen.select("symbol", "last_date"), "symbol", "left")
         start = F.coalesce(F.col("last_date").cast("timestamp") + F.expr("INTERVAL 1 DAY"), yesterday)
+    until: Column = end
+    if gaps is not None:
+        old = old.join(gaps.select(F.col("ticker").alias("symbol"), "start_date",
+                                   F.col("end_date").alias("gap_end")), "symbol", "left")
+        start = F.coalesce(F.col("start_date").cast("timestamp"), start)
+        until = F.coalesce(F.col("gap_end").cast("timestamp"), end)
     daily = old.select(
         "symbol", F.lit(DAILY).alias("mode"),
-        start.alias("start_date"), end.alias("end_date"),
+        start.alias("start_date"), until.alias("end_date"),
         F.lit(None).cast("long").alias("batch"),
         F.lit(f"{stem}-daily.csv").alias("output_key"),
     )

@@ -4,7 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tickerloom.operators import benchmarks, clean, dividends, membership, prices, returns
+from tickerloom.operators import (
+    benchmarks,
+    clean,
+    coverage,
+    dividends,
+    membership,
+    prices,
+    returns,
+)
 from tickerloom.settings import AnalysisSettings
 
 
@@ -31,8 +39,10 @@ def register_views(tape: DataFrame, snapshots: DataFrame,
         "benchmark_rates": benchmarks.benchmark_rates(
             tape, s.market, s.risk_free, s.as_of, s.growth_days
         ),
-        "companies": membership.latest_company(snapshots),
-        "membership_changes": membership.snapshot_diff(snapshots),
+        "companies": membership.latest_company(snapshots, as_of=s.as_of),
+        "membership_changes": membership.snapshot_diff(snapshots, s.as_of),
+        "membership_intervals": membership.membership_intervals(snapshots),
+        "missing_ranges": coverage.missing_ranges(rows, index, s.as_of),
     }
     for name, view in views.items():
         view.createOrReplaceTempView(name)

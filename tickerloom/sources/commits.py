@@ -1,7 +1,7 @@
 """A table that grows by commits, with a log of the folders that count.
 
     <path>/data/commit=<n>/<part>=<value>/    rows, written once and never changed
-    <path>/log/commit=<n>/                    one file: every (part, folder) that counts
+    <path>/log/<n>                            text: every (part, folder) that counts
 
 A commit writes its rows first and its log file last, and that file appears by one rename:
 until then readers see the log before it, and a commit that failed in between is run again
@@ -19,39 +19,31 @@ from collections import Counter
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickerloom.sources.files import child_folders, delete_folder
-
-LOG = "part string, folder string"
+from tickerloom.sources.files import child_folders, delete, file_names, read_text, write_text
 
 #: (part, folder under the table's path)
 Entries = list[tuple[str, str]]
 
 
-def _logged(spark: SparkSession, path: str, n: int) -> Entries | None:
-    """What log `n` names, or None if it was not completed."""
-    found = spark.read.schema(LOG).parquet(f"{path}/log/commit={n}")
-    if not found.inputFiles():  # a log that failed midway has no visible file
-        return None
-    return sorted((r["part"], r["folder"]) for r in found.collect())
+def _logged(spark: SparkSession, path: str, n: int) -> Entries:
+    """What log `n` names."""
+    lines = read_text(spark, f"{path}/log/{n}").splitlines()
+    return sorted((part, folder) for part, folder in (x.split("\t") for x in lines))
 
 
 def _numbers(spark: SparkSession, path: str) -> list[int]:
-    names = child_folders(spark, f"{path}/log")
-    return sorted(int(n.split("=")[1]) for n in names if n.startswith("commit="))
+    """Complete commits: a log that is still being written has another name."""
+    return sorted(int(name) for name in file_names(spark, f"{path}/log") if name.isdigit())
 
 
 def entries(spark: SparkSession, path: str, before: int | None = None) -> Entries:
     """What the newest complete commit names, of those numbered below `before`."""
-    for n in reversed(_numbers(spark, path)):
-        if before is None or n < before:
-            found = _logged(spark, path, n)
-            if found is not None:
-                return found
-    return []
+    complete = [n for n in _numbers(spark, path) if before is None or n < before]
+    return _logged(spark, path, complete[-1]) if complete else []
 
 
 def is_committed(spark: SparkSession, path: str, n: int) -> bool:
-    return n in _numbers(spark, path) and _logged(spark, path, n) is not None
+    return n in _numbers(spark, path)
 
 
 def folders_of(spark: SparkSession, path: str, n: int) -> Entries:
@@ -72,8 +64,7 @@ def write_rows(rows: DataFrame, path: str, n: int, part: str, order: list[str])
 
 def write_log(spark: SparkSession, path: str, n: int, current: Entries) -> None:
     """Complete commit `n`: from now on `current` is the table."""
-    spark.createDataFrame(current, LOG).coalesce(1).write.mode("overwrite").parquet(
-        f"{path}/log/commit={n}")
+    write_text(spark, f"{path}/log/{n}", "".join(f"{part}\t{folder}\n" for part, folder in current))
 
 
 def open_folders(spark: SparkSession, path: str, named: Entries, schema: str) -> DataFrame:
@@ -98,16 +89,14 @@ def expire(spark: SparkSession, path: str, keep: int = 4) -> list[str]:
     A reader that opened an older log may fail. Data of commits after the newest log,
     which may be in the making, stays.
     """
-    logs = {n: found for n in _numbers(spark, path)
-            if (found := _logged(spark, path, n)) is not None}
-    kept = sorted(logs)[-keep:]
+    complete = _numbers(spark, path)
+    kept = complete[-keep:]
     if not kept:
         return []
-    named = {folder for n in kept for _, folder in logs[n]}
+    named = {folder for n in kept for _, folder in _logged(spark, path, n)}
     # Logs go first: none that is left names a folder that is gone.
-    for n in _numbers(spark, path):
-        if n < kept[0]:
-            delete_folder(spark, f"{path}/log/commit={n}")
+    for n in complete[:-keep]:
+        delete(spark, f"{path}/log/{n}")
     gone = []
     for commit in child_folders(spark, f"{path}/data"):
         n = int(commit.split("=")[1])
@@ -116,6 +105,6 @@ def expire(spark: SparkSession, path: str, keep: int = 4) -> list[str]:
         written = [folder for _, folder in folders_of(spark, path, n)]
         unused = [folder for folder in written if folder not in named]
         for folder in [f"data/{commit}"] if len(unused) == len(written) else unused:
-            delete_folder(spark, f"{path}/{folder}")
+            delete(spark, f"{path}/{folder}")
         gone += unused
     return gone

@@ -128,6 +128,20 @@ CTES = {
         UNION ALL
         SELECT symbol, security, NULL, NULL, TIMESTAMP '2001-08-01'
         FROM (VALUES ('^TNX', '10 Year Treasury Note'), ('^GSPC', 'S&P 500')) AS b(symbol, security)""",
+    "trading": """
+        SELECT day, row_number() OVER (ORDER BY day) AS number
+        FROM (SELECT DISTINCT CAST(date AS DATE) AS day FROM tape
+              WHERE ticker = '0' AND date <= TIMESTAMP '2001-08-01')""",
+    "lacking": """
+        SELECT j.ticker, s.day AS start_date, CAST(e.day + 1 AS DATE) AS end_date,
+               j.number - j.previous - 1 AS n_days
+        FROM (SELECT ticker, number, lag(number) OVER (PARTITION BY ticker ORDER BY number) AS previous
+              FROM (SELECT DISTINCT ticker, number FROM comp JOIN trading ON day = CAST(date AS DATE)
+                    UNION
+                    SELECT ticker, (SELECT max(number) + 1 FROM trading) FROM comp
+                    JOIN trading ON day = CAST(date AS DATE))) j
+        JOIN trading s ON s.number = j.previous + 1 JOIN trading e ON e.number = j.number - 1
+        WHERE j.number - j.previous > 1""",
     "event_tape": """
         SELECT CAST(user_id AS VARCHAR) AS ticker, ts AS date, value AS adj_close,
                CAST(0.0 AS DOUBLE) AS dividends
@@ -179,6 +193,18 @@ def oracle_sql() -> dict[str, str]:
         "normalise_names": """
             SELECT CAST(c_custkey AS INTEGER) AS cust_key, c_name AS security,
                    c_mktsegment AS market_segment, c_acctbal AS acct_bal FROM customer""",
+        "registered_rows": """
+            SELECT CAST(c_custkey AS INTEGER) AS cust_key, c_name AS security,
+                   CASE WHEN c_custkey % 2 = 0 THEN floor(c_acctbal) ELSE c_acctbal END AS acct_bal,
+                   CASE WHEN c_custkey % 2 = 1 THEN c_mktsegment END AS market_segment
+            FROM customer""",
+        "missing_ranges": "SELECT * FROM lacking",
+        "fetch_plan_of_gaps": """
+            SELECT o.ticker AS symbol, 'daily' AS mode,
+                   coalesce(CAST(start_date AS TIMESTAMP), TIMESTAMP '2001-07-31') AS start_date,
+                   coalesce(CAST(end_date AS TIMESTAMP), TIMESTAMP '2001-08-01') AS end_date,
+                   '2001-08-01-00-00-00-daily.csv' AS output_key
+            FROM (SELECT DISTINCT ticker FROM comp) o LEFT JOIN lacking g ON g.ticker = o.ticker""",
         "publish_document": f"""
             SELECT ticker, name, sector, industry,
                    consecutive_growth_years AS streak, dividend_frequency AS payments,
@@ -393,7 +419,7 @@ def oracle_sql() -> dict[str, str]:
         FROM growth g JOIN betas b USING (ticker) JOIN latest l USING (ticker)
         JOIN histories h USING (ticker)
         JOIN held m ON m.symbol = g.ticker AND m.updated_at = (SELECT max(updated_at) FROM snapshots
-            WHERE updated_at <= TIMESTAMP '2001-08-01')""",
+            WHERE updated_at <= TIMESTAMP '2001-07-18')""",
         min_streak=1,
     )
     built["dropped_companies"] = _query(
