@@ -71,8 +71,16 @@ def open_folders(spark: SparkSession, path: str, named: Entries, schema: str) ->
     """Rows of the folders as they lie there; `schema` has the part's column too."""
     if not named:
         return spark.createDataFrame([], schema)
+    of_commit: dict[int, list[str]] = {}
+    for _, folder in named:
+        of_commit.setdefault(int(folder.split("/")[1].split("=")[1]), []).append(folder)
+    places = []
+    for n, folders in of_commit.items():
+        # A commit of which all counts is one place to list instead of many.
+        whole = len(folders) > 1 and len(folders) == len(folders_of(spark, path, n))
+        places += [f"data/commit={n}"] if whole else folders
     return spark.read.schema(schema).option("basePath", f"{path}/data").parquet(
-        *[f"{path}/{folder}" for _, folder in named]).drop("commit")
+        *[f"{path}/{place}" for place in places]).drop("commit")
 
 
 def split_by_folders(named: Entries, folders: int = 2) -> tuple[Entries, Entries]:
