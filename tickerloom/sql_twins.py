@@ -128,7 +128,7 @@ CTES = {
         UNION ALL
         SELECT symbol, security, NULL, NULL, TIMESTAMP '2001-08-01'
         FROM (VALUES ('^TNX', '10 Year Treasury Note'), ('^GSPC', 'S&P 500')) AS b(symbol, security)""",
-    "trading": """
+    "trading_days": """
         SELECT day, row_number() OVER (ORDER BY day) AS number
         FROM (SELECT DISTINCT CAST(date AS DATE) AS day FROM tape
               WHERE ticker = '0' AND date <= TIMESTAMP '2001-08-01')""",
@@ -136,11 +136,11 @@ CTES = {
         SELECT j.ticker, s.day AS start_date, CAST(e.day + 1 AS DATE) AS end_date,
                j.number - j.previous - 1 AS n_days
         FROM (SELECT ticker, number, lag(number) OVER (PARTITION BY ticker ORDER BY number) AS previous
-              FROM (SELECT DISTINCT ticker, number FROM comp JOIN trading ON day = CAST(date AS DATE)
+              FROM (SELECT DISTINCT ticker, number FROM comp JOIN trading_days ON day = CAST(date AS DATE)
                     UNION
-                    SELECT ticker, (SELECT max(number) + 1 FROM trading) FROM comp
-                    JOIN trading ON day = CAST(date AS DATE))) j
-        JOIN trading s ON s.number = j.previous + 1 JOIN trading e ON e.number = j.number - 1
+                    SELECT ticker, (SELECT max(number) + 1 FROM trading_days) FROM comp
+                    JOIN trading_days ON day = CAST(date AS DATE))) j
+        JOIN trading_days s ON s.number = j.previous + 1 JOIN trading_days e ON e.number = j.number - 1
         WHERE j.number - j.previous > 1""",
     "event_tape": """
         SELECT CAST(user_id AS VARCHAR) AS ticker, ts AS date, value AS adj_close,
