@@ -328,10 +328,11 @@ def incremental_refresh(spark, sf):
 
 def stream_annual(spark, sf):
     """The tape arrives as four files, one per micro-batch, that share years; before them
-    comes one with wrong dividends of some rows."""
+    comes one with wrong dividends of one year's rows."""
     source = shared_folder(spark, "tape-files")
     raw = data.raw_tape(spark, sf)
-    wrong = raw.filter(F.col("dividends") > 0).withColumns({
+    paid = (F.col("dividends") > 0) & (F.year("date") == 1998)
+    wrong = raw.filter(paid).withColumns({
         "dividends": F.col("dividends") * 2, "source_rank": F.col("source_rank") + 2**40})
     wrong.coalesce(1).write.parquet(source)
     raw.repartitionByRange(4, "date").write.mode("append").parquet(source)
