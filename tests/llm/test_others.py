@@ -337,6 +337,38 @@ def test_graph_is_built_until_it_holds_the_nearest(spark):
     assert sum(len(held[i] & set(own.tolist())) for i, own in enumerate(nearest)) >= 0.95 * 15_000
 
 
+def test_only_new_edges_bring_vectors_together(spark):
+    """A chain 0 -> 1 -> ... -> 9 with one edge taken up: only its ends have a meeting."""
+    taken = spark.createDataFrame(
+        [(i, i + 1, 1.0, i == 4, i == 4) for i in range(9)],
+        "a long, b long, distance double, fresh boolean, taken boolean")
+    met = {(r["group"], r["id"], r["new"])
+           for r in neighbours.meetings(taken, 24, 12, 0).collect()}
+    assert met == {(4, 5, True), (4, 4, False), (4, 3, False),
+                   (5, 4, True), (5, 5, False), (5, 6, False)}
+
+
+def test_vector_that_all_name_stays_a_bounded_group(spark):
+    star = spark.range(1, 2001).selectExpr(
+        "id as a", "0L as b", "1.0D as distance", "id % 2 = 0 as fresh", "id % 2 = 0 as taken")
+    sizes = neighbours.meetings(star, 24, 12, 0).groupBy("group", "new").count().collect()
+    assert {(r["new"], r["count"]) for r in sizes if r["group"] == 0} == {(True, 12), (False, 25)}
+
+
+def test_graph_in_parts_is_searched_within_them(spark):
+    """Two clouds far apart, each larger than a list of neighbours."""
+    rng = np.random.default_rng(8)
+    rows = [(i, (rng.normal(size=16) + (1e6 if i % 2 else 0)).astype(np.float32).tolist())
+            for i in range(400)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    expected = brute_nearest(rows, 10, 25)
+    found = defaultdict(set)
+    for r in neighbours.nearest(table, every=25).collect():
+        found[r["query_id"]].add(r["vec_id"])
+    hits = sum(len(found[q] & {v for v, _ in own}) for q, own in expected.items())
+    assert hits >= 0.9 * 10 * len(expected)
+
+
 def test_few_vectors(spark):
     kind = "vec_id long, embedding array<float>"
     assert neighbours.nearest(spark.createDataFrame([], kind)).collect() == []

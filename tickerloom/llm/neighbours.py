@@ -2,12 +2,15 @@
 
 Building. Vectors start with neighbours found along a few random lines: sorted by the
 projection, each window of the order is a group whose members become candidates of
-each other. Then every round joins neighbours of neighbours: a vector's neighbours
-and some of those that name it meet in one group, and each member takes the closest
-it met and does not hold; the lists are merged and cut to the best `degree`. Rounds go
-on until one replaces no more than a share of `delta` of all edges: what a member
-could not take in one round it takes in the next. Rounds are Spark joins and
-groupings over tables in the shared folder; a group is bounded by 2 * `degree`.
+each other. Every edge found is new until a round takes it up. A round takes up to
+`sample` new edges of each vector, at random. Around every vector meet the ends of its
+edges in both directions, and only pairs with an end taken up this round are compared:
+two old ends have met before. Each member keeps the closest `each` it met, does not
+hold and has a use for; the lists are merged and cut to the best `degree`. Groups
+without a new edge are left out, so rounds shrink as the graph settles; they end when
+no more than a share of `delta` of all edges is new. Rounds are Spark joins and
+groupings over tables in the shared folder; a group is bounded by
+2 * `sample` + 2 * `degree` + 1 members.
 
 Searching. Queries walk the graph together: each holds its best `beam` vectors found
 so far, and a round visits the neighbours, in both directions, of those not yet
@@ -93,10 +96,10 @@ def _closest(edges: DataFrame, degree: int) -> DataFrame:
 
 def _group_edges(each: int):
     """Within every group of a task: each member's `each` closest others that it does
-    not hold, if closer than the worst neighbour it has."""
+    not hold, if closer than the worst neighbour it has. Of a pair one end is new."""
 
     def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_group, held_ids, held, held_worst, held_known = None, [], [], [], []
+        held_group, held_ids, held, held_worst, held_known, held_new = None, [], [], [], [], []
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
         def close() -> None:
@@ -107,6 +110,8 @@ def _group_edges(each: int):
             squares = (x * x).sum(axis=1)
             d = np.maximum(squares[:, None] + squares[None, :] - 2 * x @ x.T, 0)
             np.fill_diagonal(d, np.inf)
+            old = ~np.array(held_new)
+            d[np.ix_(old, old)] = np.inf
             known = np.concatenate(held_known)
             if len(known):
                 owner = np.repeat(np.arange(n), [len(x) for x in held_known])
@@ -129,21 +134,23 @@ def _group_edges(each: int):
             if not batch.num_rows:
                 continue
             groups, ids, worst = (np.asarray(batch.column(c)) for c in ("group", "id", "worst"))
+            new = batch.column("new").to_numpy(zero_copy_only=False)
             column = batch.column("vector")
             flat = np.asarray(column.flatten()).reshape(batch.num_rows, -1)
             lists = batch.column("known")
             ends = np.cumsum(np.asarray(lists.value_lengths()))[:-1]
             knowns = np.split(np.asarray(lists.flatten()), ends)
-            for group, key, vector, limit, known in zip(
-                    groups, ids, flat, worst, knowns, strict=True):
+            for group, key, vector, limit, known, fresh in zip(
+                    groups, ids, flat, worst, knowns, new, strict=True):
                 if group != held_group and held:
                     close()
-                    held_ids, held, held_worst, held_known = [], [], [], []
+                    held_ids, held, held_worst, held_known, held_new = [], [], [], [], []
                 held_group = group
                 held_ids.append(key)
                 held.append(vector)
                 held_worst.append(limit)
                 held_known.append(known)
+                held_new.append(fresh)
             if sum(len(o[0]) for o in out) > 200_000:
                 yield batch_of()
         if held:
@@ -155,10 +162,10 @@ def _group_edges(each: int):
 
 
 def _grouped(groups: DataFrame, each: int) -> DataFrame:
-    """Edges of all groups of (group, id, vector, worst, known); a group's rows lie
+    """Edges of all groups of (group, id, vector, worst, known, new); a group's rows lie
     together."""
     return (groups.repartition(F.col("group")).sortWithinPartitions("group", "id")
-            .select("group", "id", "vector", "worst", "known")
+            .select("group", "id", "vector", "worst", "known", "new")
             .mapInArrow(_group_edges(each), EDGES))
 
 
@@ -199,41 +206,69 @@ def line_groups(points: DataFrame, lines: int, seed: int) -> DataFrame:
     return placed.select(F.xxhash64("line", "stretch", window).alias("group"), "id")
 
 
-def build_graph(points: DataFrame, degree: int = 24, rounds: int = 5, lines: int = 6,
-                each: int = 6, seed: int = 11, delta: float = 0.001) -> DataFrame:
+def _taken_up(graph: DataFrame, sample: int, step: int) -> DataFrame:
+    """The graph with `taken`: up to `sample` new edges of each a, at random."""
+    some = Window.partitionBy("a").orderBy(~F.col("fresh"), F.xxhash64("a", "b", F.lit(step)))
+    return (graph.withColumn("rank", F.row_number().over(some))
+            .withColumn("taken", F.col("fresh") & (F.col("rank") <= sample)).drop("rank"))
+
+
+def _backward(edges: DataFrame, most: int, step: int) -> DataFrame:
+    """(group, id): up to `most` of the vectors that name `group`, at random. They are
+    first thinned in shares, so no task sees all that name one vector."""
+    order = F.xxhash64("a", "b", F.lit(step))
+    shares = Window.partitionBy("b", F.pmod(F.xxhash64("a"), F.lit(32))).orderBy(order)
+    few = (edges.withColumn("rank", F.row_number().over(shares))
+           .where(F.col("rank") <= most))
+    return (few.withColumn("rank", F.row_number().over(Window.partitionBy("b").orderBy(order)))
+            .where(F.col("rank") <= most)
+            .select(F.col("b").alias("group"), F.col("a").alias("id")))
+
+
+def meetings(taken: DataFrame, degree: int, sample: int, step: int) -> DataFrame:
+    """(group, id, new): who meets around every vector that has an edge taken up."""
+    old, fresh = taken.where("not fresh"), taken.where("taken")
+    forward = taken.where("taken or not fresh").select(
+        F.col("a").alias("group"), F.col("b").alias("id"), F.col("taken").alias("new"))
+    ends = (forward
+            .union(_backward(fresh, sample, step).withColumn("new", F.lit(True)))
+            .union(_backward(old, degree, step).withColumn("new", F.lit(False))))
+    around = ends.groupBy("group").agg(
+        F.collect_set(F.when(F.col("new"), F.col("id"))).alias("taken"),
+        F.collect_set(F.when(~F.col("new"), F.col("id"))).alias("held")).where("size(taken) > 0")
+    # the vector itself is an old end: those that were just found hear of it
+    rest = F.array_except(F.array_union("held", F.array("group")), "taken")
+    members = F.concat(
+        F.transform("taken", lambda x: F.struct(x.alias("id"), F.lit(True).alias("new"))),
+        F.transform(rest, lambda x: F.struct(x.alias("id"), F.lit(False).alias("new"))))
+    return around.select("group", F.explode(members).alias("m")).select("group", "m.*")
+
+
+def build_graph(points: DataFrame, degree: int = 24, rounds: int = 1, lines: int = 6,
+                each: int = 12, seed: int = 11, delta: float = 0.001,
+                sample: int = 12) -> DataFrame:
     """(a, b, distance): up to `degree` near vectors of every vector, after `rounds`
-    rounds at least and until a round replaces no more than `delta` of the edges."""
+    rounds at least and until no more than a share of `delta` of the edges is new."""
     fresh = F.lit(True).alias("fresh")
-    start = line_groups(points, lines, seed).join(points, "id").withColumns(
-        {"worst": F.lit(float("inf")), "known": F.array().cast("array<long>")})
-    graph = saved(_closest(_grouped(start, each).select("*", fresh), degree), "graph")
+    start = line_groups(points, lines, seed).join(points, "id").withColumns({
+        "worst": F.lit(float("inf")), "known": F.array().cast("array<long>"),
+        "new": F.lit(True)})
+    graph = saved(_closest(_grouped(start, degree).select("*", fresh), degree), "graph")
     for step in count():
-        turned = graph.select(F.col("b").alias("a"), F.col("a").alias("b"))
-        some = Window.partitionBy("a").orderBy(F.xxhash64("a", "b", F.lit(step)))
-        backward = (turned.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(32)))
-                    .withColumn("rank", F.row_number().over(
-                        Window.partitionBy("a", "salt").orderBy(
-                            F.xxhash64("a", "b", F.lit(step)))))
-                    .where(F.col("rank") <= degree).drop("rank", "salt")
-                    .withColumn("rank", F.row_number().over(some))
-                    .where(F.col("rank") <= degree).drop("rank"))
-        met = graph.select("a", "b").union(backward).union(
-            points.select(F.col("id").alias("a"), F.col("id").alias("b"))).distinct()
-        worst = graph.groupBy("a").agg(
+        edges = graph.agg(F.count("*").alias("all"), F.count_if("fresh").alias("new")).first()
+        if not edges["new"] or (step >= rounds and edges["new"] <= delta * edges["all"]):
+            return graph.select("a", "b", "distance")
+        taken = saved(_taken_up(graph, sample, step), "taken")
+        worst = taken.groupBy(F.col("a").alias("id")).agg(
             F.when(F.count("*") >= degree, F.max("distance")).alias("worst"),
             F.collect_list("b").alias("known"))
-        limited = points.join(worst.withColumnRenamed("a", "id"), "id", "left").select(
-            F.col("id").alias("b"), "vector",
-            F.coalesce("worst", F.lit(float("inf"))).alias("worst"),
+        limited = points.join(worst, "id", "left").select(
+            "id", "vector", F.coalesce("worst", F.lit(float("inf"))).alias("worst"),
             F.coalesce("known", F.array().cast("array<long>")).alias("known"))
-        groups = met.join(limited, "b").select(
-            F.col("a").alias("group"), F.col("b").alias("id"), "vector", "worst", "known")
+        groups = meetings(taken, degree, sample, step).join(limited, "id")
         found = _grouped(groups, each).select("*", fresh)
-        old = graph.select("a", "b", "distance", F.lit(False).alias("fresh"))
-        graph = saved(_closest(old.union(found), degree), "graph")
-        edges = graph.agg(F.count("*").alias("all"), F.count_if("fresh").alias("new")).first()
-        if step + 1 >= rounds and edges["new"] <= delta * edges["all"]:
-            return graph.select("a", "b", "distance")
+        held = taken.select("a", "b", "distance", (F.col("fresh") & ~F.col("taken")).alias("fresh"))
+        graph = saved(_closest(held.union(found), degree), "graph")
 
 
 def _distance(x: str, y: str) -> Column:
@@ -283,7 +318,7 @@ def search(points: DataFrame, graph: DataFrame, queries: DataFrame, beam: int =
 
 
 def nearest(vectors: DataFrame, every: int = 100, k: int = 10, degree: int = 24,
-            rounds: int = 5, lines: int = 6, beam: int = 320) -> DataFrame:
+            rounds: int = 1, lines: int = 6, beam: int = 320) -> DataFrame:
     """query_id, rank, vec_id, score: the `k` nearest found of each indexed row whose id
     is divisible by `every`, by Euclidean distance, ties to smaller ids."""
     known = saved(usable(vectors), "vectors")
