@@ -35,7 +35,7 @@ from tickerloom.operators import (
 )
 from tickerloom.plans.publish import publish_report
 from tickerloom.plans.report import company_figures, company_report, dropped_companies
-from tickerloom.sources import curated, delimited, documents, ledger, registry, routing
+from tickerloom.sources import curated, delimited, documents, ledger, registry, replay, routing
 from tickerloom.sources.workspace import materialise, shared_folder
 from tickerloom.streaming.annual import read_annual, start_annual
 from tickerloom.streaming.curate import start_curation
@@ -196,6 +196,27 @@ def quarantine(spark, sf):
     return accepted.unionByName(refused)
 
 
+def replayed_rows(spark, sf):
+    """Refused events, corrected and entered twice: those without a ticker or with two
+    defects stay out."""
+    routed, path, folder = (shared_folder(spark, x) for x in ("routed", "ledger", "replays"))
+    events = _defective_events(spark, sf).withColumnRenamed("event_id", "source_rank")
+    routing.write_routed(routing.route(events), routed)
+    ledger.append(routing.read_route(spark, routed, routing.ACCEPTED), path, 0)
+    refused = routing.read_route(spark, routed, routing.QUARANTINED)
+    text = F.from_json("raw_row", "ticker string, date string, adj_close string, dividends string")
+    reason, fields = F.col("reason"), F.col("text")
+    corrections = replay.identified(refused).withColumn("text", text).select(
+        "row_id", fields["ticker"].alias("ticker"),
+        F.when(reason == "bad date", "2001-01-01").otherwise(fields["date"]).alias("date"),
+        F.when(reason == "bad price", "49.5").otherwise(fields["adj_close"]).alias("adj_close"),
+        F.when(reason == "bad dividend", "0").otherwise(fields["dividends"]).alias("dividends"),
+        F.lit(RUN_TIME).alias("corrected_at"))
+    for n in (1, 2):
+        replay.enter(refused, corrections, path, folder, n)
+    return ledger.read_current(spark, path)
+
+
 def _published(spark, sf):
     folder = shared_folder(spark, "document")
     publish_report(stored_tape(spark, sf), data.companies(spark, sf), S, folder,
@@ -507,6 +528,7 @@ def tape_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "write_snapshot_csv": write_snapshot_csv,
         "stream_ingest": stream_ingest,
         "quarantine": quarantine,
+        "replayed_rows": replayed_rows,
         "clean_tape": tape,
         "curated_tape": stored_tape,
         "company_rows": companies_tape,

@@ -243,6 +243,17 @@ def oracle_sql() -> dict[str, str]:
                             WHEN value >= 30 THEN 'bad dividend' END AS reason
                 FROM events)
             SELECT * FROM judged""",
+        "replayed_rows": """
+            WITH entered AS (
+                SELECT CAST(user_id AS VARCHAR) AS ticker, event_id,
+                       CASE WHEN value < 1 THEN TIMESTAMP '2001-01-01' ELSE ts END AS date,
+                       value AS adj_close,
+                       CASE WHEN value >= 30 THEN 0.0 WHEN value >= 5 THEN 0.5 END AS dividends
+                FROM events WHERE event_type <> 'error' AND value < 50),
+            counted AS (SELECT *, row_number() OVER (PARTITION BY ticker, date ORDER BY event_id) AS n
+                        FROM entered)
+            SELECT ticker, date, adj_close, dividends, year(date) AS year, month(date) AS month
+            FROM counted WHERE n = 1""",
         "clean_tape": "SELECT * FROM tape",
         "curated_tape": "SELECT * FROM tape",
         "incremental_refresh": "SELECT * FROM tape",
