@@ -248,7 +248,7 @@ def oracle_sql() -> dict[str, str]:
                 SELECT CAST(user_id AS VARCHAR) AS ticker, event_id,
                        CASE WHEN value < 1 THEN TIMESTAMP '2001-01-01' ELSE ts END AS date,
                        value AS adj_close,
-                       CASE WHEN value >= 30 THEN 0.0 WHEN value >= 5 THEN 0.5 END AS dividends
+                       CAST(CASE WHEN value >= 30 THEN 0 WHEN value >= 5 THEN 0.5 END AS DOUBLE) AS dividends
                 FROM events WHERE event_type <> 'error' AND value < 50),
             counted AS (SELECT *, row_number() OVER (PARTITION BY ticker, date ORDER BY event_id) AS n
                         FROM entered)
