@@ -8,7 +8,7 @@ from collections import defaultdict
 import corpus_pipeline
 import numpy as np
 import pytest
-from tickerloom.llm import decontaminate, extraction, mixing, neighbours, urls
+from tickerloom.llm import decontaminate, extraction, mixing, neighbours, textops, urls
 
 WORD = re.compile(r"[^\x20\x09-\x0d]+")
 
@@ -83,6 +83,45 @@ def test_both_sides_of_an_item_have_words(spark, docs):
     assert [r["doc_id"] for r in found] == [11]
 
 
+def test_items_are_found_alike_in_any_shard(spark, docs, monkeypatch):
+    """Neither longer items beside it nor the number of passes changes what is found."""
+    items = [(i, f"{prose(i, 12 + 9 * (i % 4))}?\n{prose(800 + i, 5)}") for i in range(16)]
+    rows = []
+    for i, text in items:
+        words = text.split()
+        spread = " ".join(f"{w} {prose(5000 + 100 * i + k, i % 3)}" for k, w in enumerate(words))
+        rows += [(i, f"{prose(900 + i, 70)} {text} {prose(950 + i, 70)}", "s"),
+                 (100 + i, f"{prose(700 + i, 40)} {spread} {prose(750 + i, 40)}", "s")]
+
+    def found(table):
+        held = spark.createDataFrame(table, "item_id long, text string")
+        return sorted((r["doc_id"], r["item_id"], round(r["score"], 6))
+                      for r in decontaminate.contaminated(docs(rows), held).collect())
+
+    whole = found(items)
+    assert {(i, i) for i, _ in items} <= {(d, i) for d, i, _ in whole}
+    monkeypatch.setattr(decontaminate, "SHARD_POSTINGS", 60)
+    monkeypatch.setattr(decontaminate, "PASS_SHARDS", 2)
+    assert found(items) == whole
+    longer = found([*items, (99, prose(77, 3000, 20_000))])
+    assert [(d, i) for d, i, _ in longer] == [(d, i) for d, i, _ in whole]
+
+
+@pytest.mark.parametrize("words", [1, 2, 31, 32, 33, 64, 65, 300])
+def test_some_passage_holds_the_whole_item(words):
+    step = decontaminate.step_of(words)
+    for length in range(words, words + 4 * step, 7):
+        text = " ".join(f"w{k}" for k in range(length)).encode()
+        hashes, firsts = textops.word_hashes([b"", text, b"x"], textops.MARKS)
+        shard = decontaminate.Shard(np.array([1]), np.unique(hashes), *[np.zeros(0, int)] * 3,
+                                    [], [], step)
+        owner, begin, end, _, _ = decontaminate._passages(hashes, firsts, shard)
+        mine = owner == 1
+        assert list(owner) == sorted(owner) and set(owner) == {1, 2}
+        for at in range(length - words + 1):
+            assert any((begin[mine] <= at) & (at + words <= end[mine]))
+
+
 # --- mixing ------------------------------------------------------------------------
 
 def highest_quotients(votes, seats):

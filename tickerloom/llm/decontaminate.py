@@ -9,30 +9,38 @@ whose bound reaches the threshold are opened, and within them postings are read
 the strongest term on until the terms still to come cannot lift a new item over it.
 Every item at or above the threshold is found (the bound never falls below a score).
 
-Passages overlap by half and are twice as long as the longest item, so an item that a
-document holds lies whole in at least one of them. What is retrieved is then verified:
+Items are grouped by their length in words, rounded up to a power of two of at least
+`LEAST_STEP`. The passages for a group begin that many words apart and are twice as
+long, so an item that a document holds lies whole in at least one of them, and what is
+found of an item hangs on no other item's length. What is retrieved is then verified:
 enough of the three-word runs of the item's question and of its answer must lie in
 the passage. The last line of an item is its answer; without one, its last sentence;
 without one, its last third.
 
-The index is made in Spark in shards of bounded size; each shard goes to all tasks by
-itself and is matched with all documents, so a larger benchmark takes more passes and
-never more memory. Words are runs of letters and digits, lower-cased.
+The index is made by Spark tasks in shards of items of one group, about `SHARD_POSTINGS`
+postings and `SHARD_ITEMS` items each, and stored as a table in the shared folder.
+`PASS_SHARDS` shards at a time go to all tasks and are matched with all documents in one
+pass, whose result is written before the next one begins: a larger benchmark takes more
+passes, and neither the driver nor a task ever holds more than the shards of one pass.
+Words are runs of letters and digits, lower-cased.
 
 Defined results: null or empty texts of documents or items match nothing; items
 without a word are left out; items with equal texts are each reported. Different texts
 under one item_id are entries of their own, searched and verified each; the best of them
 counts for the id. Both sides of an item have words, so a last line of signs alone is no
-answer; an item of one word is an answer without a question. Rows with the same doc_id are reported once per item with the best of their scores. Rows with null
-doc_id or item_id are left out. Other columns are not read.
+answer; an item of one word is an answer without a question. Rows with the same doc_id
+are reported once per item with the best of their scores. Rows with null doc_id or
+item_id are left out. An item longer than a shard is a shard with what else falls there.
+Other columns are not read.
 """
 
 from __future__ import annotations
 
-import math
+import pickle
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -40,11 +48,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickerloom.llm import textops
-from tickerloom.llm.common import rows
+from tickerloom.llm.common import rows, saved
+from tickerloom.sources.workspace import materialise, shared_folder
 
 K1, B = 1.2, 0.75
 BLOCK_ITEMS = 4
-SHARD_POSTINGS = 50_000
+SHARD_POSTINGS, SHARD_ITEMS = 50_000, 2_000
+PASS_SHARDS = 8
+LEAST_STEP = 32
 RUN = 3
 RESULT = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
 
@@ -68,15 +79,39 @@ def _words(text: str) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Shard:
-    """Postings of some items, sorted by term and then by block."""
+    """Some items and their postings; what the search needs is laid out where it runs."""
 
     item_ids: np.ndarray       # of each entry
     vocabulary: np.ndarray     # sorted term hashes
-    maxima: np.ndarray         # terms x blocks: the largest impact
-    postings: list[list[tuple[np.ndarray, np.ndarray]]]   # block -> term -> items, impacts
+    term: np.ndarray           # of each posting, its place in the vocabulary
+    item: np.ndarray           # of each posting, its entry's place
+    impact: np.ndarray         # of each posting; those of an entry sum to 1
     questions: list[np.ndarray]
     answers: list[np.ndarray]
-    longest: int
+    step: int                  # words from one passage to the next
+
+    @cached_property
+    def maxima(self) -> np.ndarray:
+        """terms x blocks: the largest impact."""
+        found = np.zeros((len(self.vocabulary), -(-len(self.item_ids) // BLOCK_ITEMS)),
+                         dtype=np.float32)
+        np.maximum.at(found, (self.term, self.item // BLOCK_ITEMS), np.nextafter(
+            self.impact.astype(np.float32), np.float32(2)))
+        return found
+
+    @cached_property
+    def postings(self) -> list[dict[int, tuple[list[int], list[float]]]]:
+        """block -> term -> items, impacts"""
+        order = np.lexsort((self.item, self.term, self.item // BLOCK_ITEMS))
+        item, term, impact = self.item[order], self.term[order], self.impact[order]
+        block = item // BLOCK_ITEMS
+        change = (np.diff(block) != 0) | (np.diff(term) != 0)
+        begin = np.concatenate(([0], np.flatnonzero(change) + 1)) if len(item) else []
+        found: list[dict[int, tuple[list[int], list[float]]]] = [
+            {} for _ in range(-(-len(self.item_ids) // BLOCK_ITEMS))]
+        for lo, hi in zip(begin, [*begin[1:], len(item)], strict=True):
+            found[block[lo]][int(term[lo])] = item[lo:hi].tolist(), impact[lo:hi].tolist()
+        return found
 
     def search(self, terms: np.ndarray, starts: np.ndarray, threshold: float
                ) -> Iterator[tuple[int, int, float]]:
@@ -111,66 +146,97 @@ class Shard:
                     yield passage, item, min(float(value), 1.0)
 
 
-def build_shards(benchmark: DataFrame) -> Iterator[Shard]:
-    """Shards over the whole benchmark; frequencies of terms count all its items."""
-
-    def terms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for entry, text in rows(batches, "entry", "text"):
-            kinds, counts = np.unique(_words(text or ""), return_counts=True)
-            if len(kinds):
-                yield pa.record_batch({
-                    "entry": pa.array([entry] * len(kinds), pa.int64()),
-                    "term": pa.array(textops.signed(kinds)),
-                    "tf": pa.array(counts, pa.int64()),
-                })
+def step_of(words: int) -> int:
+    """Distance of the passages in which an item of so many words is looked for."""
+    return max(LEAST_STEP, 1 << (words - 1).bit_length())
+
+
+def _terms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for entry, text in rows(batches, "entry", "text"):
+        kinds, counts = np.unique(_words(text), return_counts=True)
+        if len(kinds):
+            words = int(counts.sum())
+            yield pa.record_batch({
+                "entry": pa.array([entry] * len(kinds), pa.int64()),
+                "term": pa.array(textops.signed(kinds)),
+                "tf": pa.array(counts, pa.int64()),
+                "words": pa.array([words] * len(kinds), pa.int64()),
+                "step": pa.array([step_of(words)] * len(kinds), pa.int64()),
+            })
 
+
+def stored_shards(benchmark: DataFrame) -> tuple[DataFrame, list[int]] | None:
+    """Rows (number, payload) of all shards in the shared folder, and the numbers; None
+    for a benchmark without words. Frequencies of terms count all its items."""
     items = (benchmark.select(F.col("item_id").cast("long"), "text")
              .where("item_id is not null and text is not null").distinct()
              .withColumn("entry", F.xxhash64("item_id", "text")))
-    counted = items.mapInArrow(terms_of, "entry long, term long, tf long")
-    sizes = counted.groupBy("entry").agg(F.sum("tf").alias("words"))
-    facts = sizes.agg(F.count("*").alias("n"), F.avg("words").alias("mean")).first()
-    if not facts["n"]:
-        return
-    frequency = counted.groupBy("term").agg(F.countDistinct("entry").alias("df"))
-    idf = F.log(1 + (facts["n"] - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    counted = saved(items.mapInArrow(
+        _terms_of, "entry long, term long, tf long, words long, step long"), "postings")
+    # steps are powers of two, so these are a few rows
+    groups = counted.groupBy("step").agg(
+        F.count("*").alias("postings"), F.sum("tf").alias("words"),
+        F.countDistinct("entry").alias("items")).orderBy("step").collect()
+    n = sum(g["items"] for g in groups)
+    if not n:
+        return None
+    mean = sum(g["words"] for g in groups) / n
+    number, shards = F.lit(None).cast("long"), 0
+    for g in groups:
+        parts = max(-(-g["postings"] // SHARD_POSTINGS), -(-g["items"] // SHARD_ITEMS))
+        number = F.when(F.col("step") == g["step"],
+                        shards + F.pmod("entry", F.lit(parts))).otherwise(number)
+        shards += parts
+    frequency = counted.groupBy("term").agg(F.count("*").alias("df"))
+    idf = F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))
     impact = idf * F.col("tf") * (K1 + 1) / (
-        F.col("tf") + K1 * (1 - B + B * F.col("words") / facts["mean"]))
-    weighed = (counted.join(frequency, "term").join(sizes, "entry")
-               .select("entry", "term", impact.alias("impact")))
-    parts = max(1, math.ceil(counted.count() / SHARD_POSTINGS))
-    part = F.pmod("entry", F.lit(parts))
-    for number in range(parts):
-        texts = {r["entry"]: (r["item_id"], r["text"])
-                 for r in items.where(part == number).collect()}
-        postings = weighed.where(part == number).collect()
-        if postings:
-            yield _shard(texts, postings)
-
-
-def _shard(texts: dict[int, tuple[int, str]], postings: list) -> Shard:
-    """A shard of entries: `texts` has the item_id and text of each."""
-    ids = np.array(sorted({r["entry"] for r in postings}), dtype=np.int64)
-    terms = np.array([r["term"] for r in postings], dtype=np.int64).view(np.uint64)
-    items = np.searchsorted(ids, [r["entry"] for r in postings])
-    impacts = np.array([r["impact"] for r in postings])
-    impacts = impacts / np.bincount(items, impacts)[items]
+        F.col("tf") + K1 * (1 - B + B * F.col("words") / mean))
+    # the terms of one item are as long as the item
+    entries = counted.join(frequency, "term").groupBy("entry", "step").agg(
+        F.collect_list(F.struct("term", impact.alias("impact"))).alias("postings"))
+    built = (entries.join(items, "entry")
+             .select(number.alias("number"), "entry", "step", "item_id", "text",
+                     "postings.term", "postings.impact")
+             .groupBy("number").applyInArrow(_packed, "number long, payload binary"))
+    return saved(built, "shards"), list(range(shards))
+
+
+def _packed(entries: pa.Table) -> pa.Table:
+    """One row: the shard of the entries."""
+    held = sorted(entries.drop_columns(["number"]).to_pylist(), key=lambda r: r["entry"])
+    sizes = [len(r["term"]) for r in held]
+    terms = np.concatenate([np.array(r["term"], dtype=np.int64) for r in held]).view(np.uint64)
+    impacts = np.concatenate([np.array(r["impact"]) for r in held])
+    item = np.repeat(np.arange(len(held)), sizes)
     vocabulary, term = np.unique(terms, return_inverse=True)
-    blocks = -(-len(ids) // BLOCK_ITEMS)
-    maxima = np.zeros((len(vocabulary), blocks), dtype=np.float32)
-    np.maximum.at(maxima, (term, items // BLOCK_ITEMS), np.nextafter(
-        impacts.astype(np.float32), np.float32(2)))
-    lists: list[dict[int, tuple[list[int], list[float]]]] = [{} for _ in range(blocks)]
-    for t, i, w in zip(term, items, impacts, strict=True):
-        held = lists[i // BLOCK_ITEMS].setdefault(int(t), ([], []))
-        held[0].append(int(i))
-        held[1].append(float(w))
-    parts = [question_and_answer(texts[i][1]) for i in ids]
-    return Shard(
-        np.array([texts[i][0] for i in ids], dtype=np.int64), vocabulary, maxima, lists,
-        [textops.shingles(_words(q), RUN) for q, _ in parts],
-        [textops.shingles(_words(a), RUN) for _, a in parts],
-        max(len(_words(texts[i][1])) for i in ids))
+    sides = [question_and_answer(r["text"]) for r in held]
+    shard = Shard(
+        np.array([r["item_id"] for r in held], dtype=np.int64), vocabulary, term, item,
+        impacts / np.bincount(item, impacts)[item],
+        [textops.shingles(_words(q), RUN) for q, _ in sides],
+        [textops.shingles(_words(a), RUN) for _, a in sides],
+        held[0]["step"])
+    return pa.table({"number": entries.column("number").slice(0, 1),
+                     "payload": pa.array([pickle.dumps(shard)], pa.binary())})
+
+
+def passes(benchmark: DataFrame) -> Iterator[list[Shard]]:
+    """The shards of one pass after the other; no more than these are ever fetched."""
+    stored = stored_shards(benchmark)
+    if stored is None:
+        return
+    table, numbers = stored
+    for at in range(0, len(numbers), PASS_SHARDS):
+        found = table.where(F.col("number").between(
+            numbers[at], numbers[min(at + PASS_SHARDS, len(numbers)) - 1]))
+        yield [pickle.loads(r["payload"])    # written by a task of this job
+               for r in found.orderBy("number").select("payload").collect()]
+
+
+def build_shards(benchmark: DataFrame) -> Iterator[Shard]:
+    """Shards over the whole benchmark, one after the other."""
+    for shards in passes(benchmark):
+        yield from shards
 
 
 def _overlap(part: np.ndarray, passage: np.ndarray) -> float:
@@ -178,48 +244,52 @@ def _overlap(part: np.ndarray, passage: np.ndarray) -> float:
     return float(np.isin(part, passage).mean()) if len(part) else 1.0
 
 
-def matches(docs: DataFrame, shard: Shard, threshold: float, least_overlap: float) -> DataFrame:
-    """Verified (document, item) rows of one shard; a row per passage and item."""
-    length = 2 * shard.longest
-    step = shard.longest
+def _passages(words: np.ndarray, firsts: np.ndarray, shard: Shard
+              ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Overlapping passages of each text, (owner, begin, end) as ranges of words, and
+    their distinct terms in the shard's vocabulary with where each passage's begin."""
+    texts = np.flatnonzero(np.diff(firsts))
+    lengths = np.diff(firsts)[texts]
+    each = np.maximum(-(-(lengths - shard.step) // shard.step), 1)
+    owner = np.repeat(texts, each)
+    nth = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
+    begin = firsts[owner] + nth * shard.step
+    end = np.minimum(begin + 2 * shard.step, firsts[owner + 1])
+    at = np.minimum(np.searchsorted(shard.vocabulary, words), len(shard.vocabulary) - 1)
+    place = np.flatnonzero(shard.vocabulary[at] == words)
+    lo, hi = np.searchsorted(place, begin), np.searchsorted(place, end)
+    count = hi - lo
+    passage = np.repeat(np.arange(len(begin)), count)
+    inside = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    term = at[place[np.repeat(lo, count) + inside]]
+    pairs = np.unique(passage * len(shard.vocabulary) + term)
+    held, terms = np.divmod(pairs, len(shard.vocabulary))
+    return owner, begin, end, terms, np.searchsorted(held, np.arange(len(begin) + 1))
+
+
+def matches(docs: DataFrame, shards: list[Shard], threshold: float, least_overlap: float
+            ) -> DataFrame:
+    """Verified (document, item) rows of some shards; a row per passage and item."""
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, texts in textops.chunks(rows(batches, "doc_id", "text")):
             words, firsts = textops.word_hashes(texts, textops.MARKS, lower=False)
-            # overlapping passages of each document, as ranges of words
-            begins, owners = [], []
-            for i in range(len(texts)):
-                own = np.arange(firsts[i], max(firsts[i + 1] - step, firsts[i] + 1), step)
-                if firsts[i + 1] > firsts[i]:
-                    begins.append(own)
-                    owners.append(np.full(len(own), i))
-            if not begins:
+            if not len(words):
                 continue
-            begin, owner = np.concatenate(begins), np.concatenate(owners)
-            end = np.minimum(begin + length, firsts[owner + 1])
-            at = np.minimum(np.searchsorted(shard.vocabulary, words), len(shard.vocabulary) - 1)
-            known = shard.vocabulary[at] == words
-            place = np.flatnonzero(known)
-            lo, hi = np.searchsorted(place, begin), np.searchsorted(place, end)
-            count = hi - lo
-            passage = np.repeat(np.arange(len(begin)), count)
-            inside = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-            term = at[place[np.repeat(lo, count) + inside]]
-            pairs = np.unique(passage * len(shard.vocabulary) + term)
-            passages, terms = np.divmod(pairs, len(shard.vocabulary))
-            starts = np.searchsorted(passages, np.arange(len(begin) + 1))
             out: list[tuple] = []
-            shown: dict[int, np.ndarray] = {}
-            for p, item, value in shard.search(terms, starts, threshold):
-                if p not in shown:
-                    shown = {p: textops.shingles(words[begin[p]:end[p]], RUN)}
-                question = _overlap(shard.questions[item], _with_short(
-                    shown[p], words[begin[p]:end[p]], shard.questions[item]))
-                answer = _overlap(shard.answers[item], _with_short(
-                    shown[p], words[begin[p]:end[p]], shard.answers[item]))
-                if question >= least_overlap and answer >= least_overlap:
-                    out.append((keys[owner[p]], int(shard.item_ids[item]), value,
-                                question, answer))
+            for shard in shards:
+                owner, begin, end, terms, starts = _passages(words, firsts, shard)
+                shown: dict[int, np.ndarray] = {}
+                for p, item, value in shard.search(terms, starts, threshold):
+                    own = words[begin[p]:end[p]]
+                    if p not in shown:
+                        shown = {p: textops.shingles(own, RUN)}
+                    question, answer = (
+                        _overlap(part, _with_short(shown[p], own, part))
+                        for part in (shard.questions[item], shard.answers[item]))
+                    if question >= least_overlap and answer >= least_overlap:
+                        out.append((keys[owner[p]], int(shard.item_ids[item]), value,
+                                    question, answer))
             if out:
                 yield pa.record_batch(
                     [pa.array([r[i] for r in out], pa.int64() if i < 2 else pa.float64())
@@ -244,8 +314,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.6,
     """(doc_id, item_id, score, question_overlap, answer_overlap): the items that a
     document holds, each with the figures of its best passage."""
     spark = docs.sparkSession
-    found = spark.createDataFrame([], RESULT)
-    for shard in build_shards(benchmark):
-        found = found.union(matches(docs, shard, threshold, least_overlap))
+    folder, done = shared_folder(spark, "decontaminated"), 0
+    for shards in passes(benchmark):
+        materialise(matches(docs, shards, threshold, least_overlap), f"{folder}/pass={done}")
+        done += 1
+    found = spark.read.schema(RESULT).parquet(folder) if done else spark.createDataFrame([], RESULT)
     best = F.max(F.struct("score", "question_overlap", "answer_overlap")).alias("best")
     return found.groupBy("doc_id", "item_id").agg(best).select("doc_id", "item_id", "best.*")
