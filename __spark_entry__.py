@@ -35,7 +35,16 @@ from tickerloom.operators import (
 )
 from tickerloom.plans.publish import publish_report
 from tickerloom.plans.report import company_figures, company_report, dropped_companies
-from tickerloom.sources import curated, delimited, documents, ledger, registry, replay, routing
+from tickerloom.sources import (
+    curated,
+    delimited,
+    documents,
+    inventory,
+    ledger,
+    registry,
+    replay,
+    routing,
+)
 from tickerloom.sources.workspace import materialise, shared_folder
 from tickerloom.streaming.annual import read_annual, start_annual
 from tickerloom.streaming.curate import start_curation
@@ -124,6 +133,23 @@ def scan_mixed_files(spark, sf):
         "ticker", "date", "adj_close", "dividends")
 
 
+def listed_files(spark, sf):
+    """The tape in two deliveries of other headers, each listed before the folder is read."""
+    folder, known = shared_folder(spark, "listed-csv"), shared_folder(spark, "inventory")
+    raw, paid = data.raw_tape(spark, sf), F.col("dividends") > 0
+    delimited.write_tape(raw.filter(~paid), f"{folder}/plain")
+    inventory.take_stock(spark, folder, known, 0)
+    raw.filter(paid).select(
+        F.col("ticker").alias("Ticker"), F.col("source_rank").alias("Stock Splits"),
+        F.col("dividends").alias("Dividends"), F.col("adj_close").alias("Adj Close"),
+        F.col("date").cast("string").alias("Date"),
+    ).write.csv(f"{folder}/paid", header=True)
+    inventory.take_stock(spark, folder, known, 1)
+    routed = routing.route(inventory.read_listed_tape(spark, folder, known))
+    return routed.filter(F.col("route") == routing.ACCEPTED).select(
+        "ticker", "date", "adj_close", "dividends")
+
+
 def nested_history(which: str, value: str):
     """The elements of one nested history with their position in the array."""
 
@@ -518,6 +544,7 @@ def tape_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "scan_tape": scan_tape,
         "scan_mixed_files": scan_mixed_files,
+        "listed_files": listed_files,
         "scan_snapshots": scan_snapshots,
         "normalise_names": normalise_names,
         "registered_rows": registered_rows,

@@ -1,0 +1,135 @@
+"""The files of a folder as a table, and reads that join it."""
+
+import os
+import random
+
+import pytest
+
+from tickerloom.sources import commits, delimited, inventory, routing
+
+COLUMNS = ["Date", "Ticker", "Adj Close", "Dividends"]
+
+
+def deliver(folder, name, text, when=None):
+    (folder / name).parent.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_text(text)
+    if when:
+        os.utime(folder / name, (when, when))
+
+
+def rows(df):
+    return sorted(map(repr, df.collect()))
+
+
+def names(df):
+    return sorted(r["file"].rsplit("/", 1)[1] for r in df.collect())
+
+
+@pytest.fixture
+def folder(tmp_path):
+    made = tmp_path / "in"
+    made.mkdir()
+    return made
+
+
+def test_many_headers_are_read_as_one_scan(spark, folder, tmp_path):
+    rng = random.Random(3)
+    for i in range(60):
+        own = COLUMNS + [f"Extra {k}" for k in range(rng.randrange(3))]
+        rng.shuffle(own)
+        if i % 30 == 7:
+            own.remove("Dividends")
+        lines = [",".join(rng.choice(["", "1.5", "x", "2024-01-02", '"a, b"', '"say \\"no\\""', "é"])
+                          for _ in range(rng.choice([len(own)] * 5 + [len(own) - 1, 7])))
+                 for _ in range(6)]
+        if i % 10 == 0:
+            lines += ["", ",".join(own), "only"]
+        deliver(folder, f"sub {i % 4}/f {i:03}.csv", "\n".join([",".join(own), *lines]) + "\n")
+    deliver(folder, "empty.csv", "")
+    deliver(folder, "blank.csv", "\n\n")
+    deliver(folder, "note.txt", "a,b\n1,2\n")
+    path = str(tmp_path / "inventory")
+    stock = inventory.take_stock(spark, str(folder), path, 0)
+    assert stock.count() == 61
+    assert sorted(names(stock.filter("state = 'empty'"))) == ["blank.csv"]
+    found = inventory.read_listed_tape(spark, str(folder), path)
+    expected = delimited.read_tape(spark, [f"{folder}/sub {i}" for i in range(4)])
+    assert found.columns == expected.columns
+    assert rows(found) == rows(expected)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(" csv") == 1
+    everything = inventory.read_listed(spark, str(folder), path)
+    by_name = delimited.read_text_columns(spark, [f"{folder}/sub {i}" for i in range(4)])
+    assert set(everything.columns) == set(by_name.columns)
+    assert rows(everything.select(*by_name.columns)) == rows(by_name)
+
+
+def test_versions_list_and_read_new_files_only(spark, folder, tmp_path):
+    path = str(tmp_path / "inventory")
+    deliver(folder, "a.csv", "Date,Ticker,Adj Close,Dividends\n2024-01-02,A,1,0\n", 1_700_000_000)
+    assert names(inventory.take_stock(spark, str(folder), path, 0)) == ["a.csv"]
+    assert inventory.take_stock(spark, str(folder), path, 1).count() == 0
+    assert not commits.is_committed(spark, path, 1)
+    deliver(folder, "b.csv", "Ticker,Date,Dividends,Adj Close\nB,2024-01-02,0,2\n", 1_700_000_100)
+    deliver(folder, "old.csv", "Date,Ticker,Adj Close,Dividends\n2024-01-03,C,3,0\n", 1_600_000_000)
+    # not in the inventory yet, so not read
+    assert [r["ticker"] for r in inventory.read_listed_tape(spark, str(folder), path).collect()] == ["A"]
+    assert names(inventory.take_stock(spark, str(folder), path, 1)) == ["b.csv", "old.csv"]
+    assert names(inventory.take_stock(spark, str(folder), path, 1)) == ["b.csv", "old.csv"]
+    tickers = {v: sorted(r["ticker"] for r in inventory.read_listed_tape(
+        spark, str(folder), path, version=v).collect()) for v in (0, 1, None)}
+    assert tickers == {0: ["A"], 1: ["B", "C"], None: ["A", "B", "C"]}
+    # a changed file is another one
+    deliver(folder, "a.csv", "Date,Ticker,Adj Close,Dividends\n2024-01-02,Z,1,0\n", 1_700_000_200)
+    tickers = [r["ticker"] for r in inventory.read_listed_tape(spark, str(folder), path).collect()]
+    assert sorted(tickers) == ["B", "C"]
+    assert names(inventory.take_stock(spark, str(folder), path, 2)) == ["a.csv"]
+    tickers = [r["ticker"] for r in inventory.read_listed_tape(spark, str(folder), path).collect()]
+    assert sorted(tickers) == ["B", "C", "Z"]
+
+
+def test_files_of_other_times_are_not_opened(spark, folder, tmp_path):
+    path = str(tmp_path / "inventory")
+    for i in range(6):
+        deliver(folder, f"{i}.csv", f"Date,Ticker,Adj Close,Dividends\n2024-01-02,T{i},1,0\n",
+                1_700_000_000 + i)
+        inventory.take_stock(spark, str(folder), path, i)
+    spark.conf.set("spark.sql.files.openCostInBytes", "128MB")       # a task for each file
+    try:
+        tasks = [inventory.read_listed_tape(spark, str(folder), path, version=v).rdd.getNumPartitions()
+                 for v in (5, None)]
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert tasks == [1, 6]
+    found = inventory.read_listed_tape(spark, str(folder), path, version=5)
+    assert [r["ticker"] for r in found.collect()] == ["T5"]
+
+
+def test_a_failed_version_is_made_again(spark, folder, tmp_path, monkeypatch):
+    path = str(tmp_path / "inventory")
+    deliver(folder, "a.csv", "Date,Ticker,Adj Close,Dividends\n2024-01-02,A,1,0\n")
+
+    def lost(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(commits, "write_log", lost)
+        with pytest.raises(OSError):
+            inventory.take_stock(spark, str(folder), path, 0)
+    assert inventory.read_listed_tape(spark, str(folder), path).count() == 0
+    assert names(inventory.take_stock(spark, str(folder), path, 0)) == ["a.csv"]
+    assert inventory.read_listed_tape(spark, str(folder), path).count() == 1
+
+
+def test_no_files(spark, folder, tmp_path):
+    path = str(tmp_path / "inventory")
+    deliver(folder, "note.txt", "x")
+    assert inventory.take_stock(spark, str(folder), path, 0).count() == 0
+    found = inventory.read_listed_tape(spark, str(folder), path)
+    assert found.columns == [*delimited.TAPE_COLUMNS, delimited.CORRUPT, "source_rank"]
+    assert routing.route(found).count() == 0
+
+
+def test_names_of_a_first_line():
+    assert inventory.names_of('Adj Close,"A, b",,date', ",") == ["adj_close", "a,_b", "_c2", "date"]
+    assert inventory.names_of("a|B|A", "|") == ["a0", "b", "a2"]

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from tickerloom.functions.names import normalise_names, snake
 
 CORRUPT = "_corrupt_record"
+TAPE_COLUMNS = ("ticker", "date", "adj_close", "dividends")
 
 
 def files_by_header(spark: SparkSession, path: str | list[str]) -> list[list[str]]:
@@ -76,9 +77,8 @@ def file_age_rank() -> F.Column:
 def read_tape(spark: SparkSession, path: str | list[str],
               header: list[str] | None = None) -> DataFrame:
     """Raw text tape: ticker, date, adj_close, dividends, rank of its file."""
-    columns = ("ticker", "date", "adj_close", "dividends")
-    return read_text_columns(spark, path, header=header, needed=columns).select(
-        *columns, CORRUPT, "source_rank")
+    return read_text_columns(spark, path, header=header, needed=TAPE_COLUMNS).select(
+        *TAPE_COLUMNS, CORRUPT, "source_rank")
 
 
 def _snapshot_lines(spark: SparkSession, path: str) -> DataFrame:

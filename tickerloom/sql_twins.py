@@ -180,6 +180,7 @@ def oracle_sql() -> dict[str, str]:
     selects = {
         "scan_tape": "SELECT ticker, date, adj_close, dividends FROM raw_tape",
         "scan_mixed_files": "SELECT ticker, date, adj_close, dividends FROM raw_tape",
+        "listed_files": "SELECT ticker, date, adj_close, dividends FROM raw_tape",
         "nested_prices": """
             SELECT ticker, row_number() OVER (PARTITION BY ticker ORDER BY date) - 1 AS position,
                    date, adj_close FROM comp
