@@ -1,7 +1,10 @@
 """Quality and toxicity: held-out accuracy, and rows at the edge."""
 
+import math
+import random
 import zlib
 
+import numpy as np
 import pytest
 from tickerloom.llm import quality, toxicity
 
@@ -82,3 +85,53 @@ def test_offending_sentences(spark, docs):
     assert all("scum" in r["sentence"] for r in found)
     scores = {r["doc_id"]: r["score"] for r in toxicity.score(table, model).collect()}
     assert scores[500] == scores[501] == 0 and scores[1] > 0.7 > scores[2]
+
+
+def test_gradient_is_the_slope_of_the_likelihood(spark):
+    """Noisy-or over sentences, written out, against what the tasks add up."""
+    rng = random.Random(5)
+    names = sorted(toxicity.features_of({"scum", "idiots", "calm", "fool"}))
+    texts = [("".join(rng.choice(["You scum fool. ", "A calm line! ", "idiots\n", "Nothing here. ",
+                                  "Scum scum! ", "123. "]) for _ in range(rng.randrange(7))),
+              rng.randrange(2)) for _ in range(40)]
+    sample = spark.createDataFrame(texts, "text string, label int").repartition(3)
+    bags = toxicity._bags(sample, {f: i for i, f in enumerate(names)})
+
+    def likelihood(weights):
+        model = toxicity.ToxicityModel(dict(zip(names, weights[:-1], strict=True)), weights[-1])
+        total = 0.0
+        for text, label in texts:
+            none = math.prod(1 - p for _, _, p in model.sentences(text))
+            assert math.isclose(model.score(text), 1 - none, abs_tol=1e-9)
+            if label and none < 1:
+                total += math.log(1 - none)
+            elif not label:
+                total += math.log(none)
+        return total
+
+    weights = [rng.uniform(-1, 1) for _ in names] + [-1.5]
+    found = toxicity._gradient(bags, np.array(weights))
+    for i in range(len(weights)):
+        up, down = ([*weights[:i], weights[i] + e, *weights[i + 1:]] for e in (1e-5, -1e-5))
+        assert math.isclose(found[i], (likelihood(up) - likelihood(down)) / 2e-5,
+                            rel_tol=1e-4, abs_tol=1e-4)
+
+
+def test_discriminant_equals_written_out_densities(spark):
+    rng = np.random.default_rng(4)
+    d = quality.N_FEATURES
+    x = [rng.normal(k, 1 + k, (30 + 20 * k, d)) @ rng.normal(0, 1, (d, d)) for k in (0, 1)]
+    rows = [(v.tolist(), k) for k in (0, 1) for v in x[k]]
+    model = quality.fit(spark.createDataFrame(rows, "features array<double>, label int")
+                        .repartition(3), shrinkage=0.2, to_diagonal=0.3)
+    own = [np.cov(v.T, bias=True) for v in x]
+    pooled = sum(len(v) * np.diag(c) for v, c in zip(x, own, strict=True)) / 80 + 1e-4
+    probes = np.concatenate([x[0][:5], x[1][:5], rng.normal(0, 3, (5, d))])
+    logs = []
+    for v, c in zip(x, own, strict=True):
+        shrunk = 0.8 * (0.7 * c + 0.3 * np.diag(np.diag(c))) + 0.2 * np.diag(pooled)
+        away = probes - v.mean(axis=0)
+        logs.append(-0.5 * np.einsum("ij,ij->i", away, np.linalg.solve(shrunk, away.T).T)
+                    - 0.5 * np.linalg.slogdet(shrunk)[1])
+    margin = logs[1] - logs[0] + np.log(51 / 31)
+    assert np.allclose(model.score(probes), 1 / (1 + np.exp(-np.clip(margin, -500, 500))), atol=1e-6)

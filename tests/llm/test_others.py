@@ -122,6 +122,32 @@ def test_some_passage_holds_the_whole_item(words):
             assert any((begin[mine] <= at) & (at + words <= end[mine]))
 
 
+# --- extraction: regions inside and beside ----------------------------------------
+
+LONG = "<p>" + "The river ran on past the mill and the town and the children walked home. " * 3 + "</p>"
+PLAIN = " ".join(["The river ran on past the mill and the town and the children walked home."] * 3)
+
+
+@pytest.mark.parametrize("html, kept", [
+    (f"<body><div>{LONG}</div><div>Terms apply to all pages.</div></body>", [PLAIN]),
+    (f"<body><div>{LONG}</div><div><h2>Two</h2><p>Short.</p></div></body>", [PLAIN, "Two Short."]),
+    (f"<body><div>{LONG * 3}</div><div>Terms apply to all pages.</div></body>", [PLAIN] * 3),
+    (f"<body><div>{PLAIN}</div><div>Short one.</div></body>", [PLAIN, "Short one."]),
+    (f"<body><div><h1>Title</h1></div><div>{PLAIN}</div><div>Short one.</div></body>",
+     ["Title", PLAIN, "Short one."]),
+    (f"<main>{LONG}<div><h3>More</h3><ul><li><a href=1>One story</a><li><a href=2>Two stories</a>"
+     f"</ul></div>{LONG}</main>", [PLAIN, PLAIN]),
+    (f"<main><article>{LONG}</article><article><a href=1>Another page</a></article></main>", [PLAIN]),
+    (f"<article>{LONG}<div><a href=1>Figure one</a></div></article>", [PLAIN, "Figure one"]),
+    (f"<article>{LONG}<ul><li><a href=1>Source a</a><li><a href=2>Source b</a></ul></article>",
+     [PLAIN, "Source a Source b"]),
+    ("<article><div><p><a href=1>All is</a><p><a href=2>in links</a></div></article>",
+     ["All is in links"]),
+])
+def test_regions_inside_and_beside(html, kept):
+    assert extraction.extract(html) == " ".join(kept)
+
+
 # --- mixing ------------------------------------------------------------------------
 
 def highest_quotients(votes, seats):
@@ -495,3 +521,28 @@ def test_a_discussion_is_no_article():
     story = "".join(f"<p>{prose(i, 40)}</p>" for i in range(3))
     page = f"<main>{story}<section id='discussion'><p>{prose(9, 20)}</p></section></main>"
     assert extraction.extract(page) == " ".join(prose(i, 40) for i in range(3))
+
+
+def test_lexical_features_equal_plain_python(spark):
+    given = ["https://a-b.Example.org/x/yy/3?p=1&q=2;r#top", "http://h/", "no scheme 12", None, "",
+             "http://www.t.net/aa//b_c", "HTTPS://x.y.z/%41?#", "ftp://q/ää1?z"]
+    table = spark.createDataFrame([(u,) for u in given], "url string")
+    for row in urls.lexical(urls.ruled(table)).collect():
+        url = row["url"] or ""
+        rest = url.split("://", 1)[1] if "://" in url else ""
+        host = re.match(r"[^/?#]*", rest)[0]
+        path = re.match(r"[^?#]*", rest[len(host):])[0]
+        query = (re.search(r"\?([^#]*)", url) or [None, ""])[1]
+        shares = [url.count(c) / len(url) for c in set(url)]
+        expected = {
+            "url_length": len(url), "host_length": len(host), "path_length": len(path),
+            "depth": sum(1 for part in path.split("/") if part),
+            "labels": host.count(".") + 1, "digits": len(re.findall("[0-9]", url)),
+            "digit_ratio": len(re.findall("[0-9]", url)) / max(len(url), 1),
+            "entropy": -sum(p * math.log2(p) for p in shares),
+            "parameters": len(re.split("[&;]", query)) if query else 0, "fragment": "#" in url,
+            "secure": url.lower().startswith("https:"), "hyphens": url.count("-") + url.count("_"),
+            "longest_part": max(len(part) for part in path.split("/")),
+        }
+        for name, value in expected.items():
+            assert math.isclose(row[name], value, abs_tol=1e-9), (url, name)

@@ -8,7 +8,11 @@ container it lies in (the nearest article, main or other sectioning element), an
 all lines of selected containers are the text: a short paragraph or a heading among
 long ones is kept. On a page without article or main the containers beside a selected
 one, in the same parent, are selected too unless most of their text is links: an
-article may be one container a section, of any length.
+article may be one container a section, of any length. Where most of the selected text of
+a parent is in containers with paragraphs or headings, those without are left out: a bare
+line beside sections of paragraphs is a footer. Inside
+what is selected a smaller container that is mostly links, on two lines at least or as an
+article of its own, is a list of other pages and left out.
 
 Elements that say themselves that they are not the article (nav, header outside an
 article, footer, aside, form, script and the like, or a class, id or role naming a
@@ -48,6 +52,7 @@ BLOCKS = frozenset(
     "nav ol p pre section summary table tbody td tfoot th thead title tr ul".split())
 CONTAINERS = frozenset("article main section body div html td blockquote".split())
 SECTIONS = frozenset("article main section div body html td".split())
+SPOKEN = frozenset("p h1 h2 h3 h4 h5 h6 li dd blockquote pre table".split())
 HIDDEN = frozenset(
     "script style noscript template head title iframe object svg math canvas nav aside footer "
     "form button select option textarea input label dialog menu audio video map".split())
@@ -124,6 +129,7 @@ class PageLines(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.lines: list[tuple[str, float, int]] = []
         self.linked: list[int] = []                   # characters in links of each line
+        self.spoken: list[bool] = []                  # whether it is of a paragraph or the like
         self.parents: list[int] = [-1]
         self.kinds: list[str] = [""]
         self._open: list[tuple[str, int, int]] = []   # tag, its container, its hider or -1
@@ -134,12 +140,14 @@ class PageLines(HTMLParser):
         self._article = 0
         self._container = 0
         self._pieces: list[tuple[str, int, int]] = []   # text, characters in links, hider
-        self._raw: list[tuple[int, int, int]] = []    # end of the line's pieces, tags, container
+        # of each line the end of its pieces, tags, container, whether it is spoken
+        self._raw: list[tuple[int, int, int, bool]] = []
         self._tags, self._link = 0, False
 
     def _end_line(self) -> None:
         if len(self._pieces) > (self._raw[-1][0] if self._raw else 0):
-            self._raw.append((len(self._pieces), self._tags, self._container))
+            spoken = any(t in SPOKEN and c == self._container for t, c, _ in self._open)
+            self._raw.append((len(self._pieces), self._tags, self._container, spoken))
         self._tags = 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -234,7 +242,7 @@ class PageLines(HTMLParser):
         self._end_line()
         until = self._judged([self._hides_until(h) for h in self._hiders])
         begin = 0
-        for end, tags, container in self._raw:
+        for end, tags, container, spoken in self._raw:
             shown = [self._pieces[k] for k in range(begin, end)
                      if not self._is_hidden(k, until)]
             begin = end
@@ -242,6 +250,7 @@ class PageLines(HTMLParser):
             if text:
                 linked = sum(n for _, n, _ in shown)
                 self.linked.append(linked)
+                self.spoken.append(spoken)
                 self.lines.append((text, max(len(text) - linked, 0) / max(tags, 1), container))
 
     def _hides_until(self, hider: Hider) -> float:
@@ -332,21 +341,54 @@ def extract(html: str | None, sigma: float = 1.0, share: float = 0.5) -> str:
     if articles:
         roots = {_inside(page, c, ("article", "main")) for c in articles}
     else:
-        roots = chosen | _beside(page, chosen)
-    return " ".join(text for text, _, c in page.lines if _under(page, c, roots))
+        roots = _sections(page, chosen)
+    lists = _lists(page, roots)
+    return " ".join(text for text, _, c in page.lines
+                    if _under(page, c, roots) and not _under(page, c, lists))
 
 
-def _beside(page: PageLines, chosen: set[int]) -> set[int]:
-    """Containers with the parent of a chosen one and most text outside links."""
-    plain, linked = [0] * len(page.parents), [0] * len(page.parents)
-    for (text, _, c), n in zip(page.lines, page.linked, strict=True):
+def _sums(page: PageLines, values: list[int]) -> list[int]:
+    """The values of lines, added up for each container with all that it holds."""
+    sums = [0] * len(page.parents)
+    for (_, _, c), value in zip(page.lines, values, strict=True):
         while c >= 0:
-            plain[c] += max(len(text) - n, 0)
-            linked[c] += n
+            sums[c] += value
             c = page.parents[c]
-    around = {page.parents[c] for c in chosen}
-    return {c for c, parent in enumerate(page.parents)
-            if c and parent in around and plain[c] > linked[c]}
+    return sums
+
+
+def _lists(page: PageLines, roots: set[int]) -> set[int]:
+    """Containers inside a root, with less than half of its text, that are mostly links."""
+    if not any(page.linked):
+        return set()
+    size = _sums(page, [len(text) for text, _, _ in page.lines])
+    linked = _sums(page, page.linked)
+    links = _sums(page, [int(n > 0) for n in page.linked])
+    found = set()
+    for c, kind in enumerate(page.kinds):
+        if kind not in ("div", "section", "article") or c in roots or 2 * linked[c] <= size[c]:
+            continue
+        if links[c] < 2 and kind != "article":
+            continue
+        around = page.parents[c]
+        while around >= 0 and around not in roots:
+            around = page.parents[around]
+        if around >= 0 and 2 * size[c] < size[around]:
+            found.add(c)
+    return found
+
+
+def _sections(page: PageLines, chosen: set[int]) -> set[int]:
+    """The chosen containers and those beside them with most text outside links; all with
+    paragraphs where these hold most of the chosen text of one parent."""
+    plain = _sums(page, [max(len(text) - n, 0) for (text, _, _), n in
+                         zip(page.lines, page.linked, strict=True)])
+    linked, spoken = _sums(page, page.linked), _sums(page, [int(x) for x in page.spoken])
+    lead = dict.fromkeys((page.parents[c] for c in chosen), 0)
+    for c in chosen:
+        lead[page.parents[c]] += plain[c] if spoken[c] else -plain[c]
+    return {c for c, parent in enumerate(page.parents) if parent in lead
+            and (c in chosen or c and plain[c] > linked[c]) and (spoken[c] or lead[parent] <= 0)}
 
 
 def _inside(page: PageLines, container: int, kinds: tuple[str, ...]) -> int:
