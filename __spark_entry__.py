@@ -374,23 +374,23 @@ def incremental_refresh(spark, sf):
 
 
 def stream_annual(spark, sf):
-    """The tape arrives as four files, one per micro-batch, that share years; before them
-    comes one with wrong dividends of one year's rows."""
-    source = shared_folder(spark, "tape-files")
+    """The tape arrives in four deliveries by date, one per micro-batch, that share years;
+    before them comes one with wrong dividends of one year's rows. A delivery is as many
+    files as tasks wrote it."""
+    source, annual = shared_folder(spark, "tape-files"), shared_folder(spark, "annual")
+    places = shared_folder(spark, "stream-tape"), annual, shared_folder(spark, "cp")
     raw = data.raw_tape(spark, sf)
     paid = (F.col("dividends") > 0) & (F.year("date") == 1998)
     wrong = raw.filter(paid).withColumns({
         "dividends": F.col("dividends") * 2, "source_rank": F.col("source_rank") + 2**40})
-    wrong.coalesce(1).write.parquet(source)
-    raw.repartitionByRange(4, "date").write.mode("append").parquet(source)
-    stream = (
-        spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 1).parquet(source)
-    )
-    annual = shared_folder(spark, "annual")
-    start_annual(
-        stream, shared_folder(spark, "stream-tape"), annual, shared_folder(spark, "cp"),
-        S.benchmarks,
-    ).awaitTermination()
+    quarters = raw.agg(F.percentile_approx("date", [0.25, 0.5, 0.75])).first()[0] or []
+    later = [F.col("date") > at(day, raw.schema["date"].dataType) for day in quarters]
+    # Rows without a date come first.
+    number = sum((F.coalesce(x, F.lit(False)).cast("int") for x in later), F.lit(0))
+    for delivery in [wrong, *[raw.filter(number == n) for n in range(len(later) + 1)]]:
+        delivery.write.mode("append").parquet(source)
+        stream = spark.readStream.schema(raw.schema).parquet(source)
+        start_annual(stream, *places, S.benchmarks).awaitTermination()
     return rounded(read_annual(spark, annual), "annual_dividend")
 
 

@@ -1,7 +1,9 @@
 """Streams end where the batch operators do."""
 
 import os
+from datetime import datetime, timedelta
 
+import __spark_entry__ as registered
 from golden import SETTINGS, raw_tape, tape_rows
 from pyspark.sql import functions as F
 
@@ -156,3 +158,25 @@ def test_a_batch_adds_to_its_years_alone(spark, tmp_path):
     assert [part for part, _ in commits.folders_of(spark, paths[1], 2)] == ["2016"]
     tickers = {r.ticker for r in read_annual(spark, paths[1]).filter("year = 2016").collect()}
     assert tickers == {"AAA", "CCC", "ZZZ"}
+
+
+def test_a_delivery_of_the_annual_stream_is_many_files(spark, tmp_path, monkeypatch):
+    """Rows that several tasks read are not brought together in one file."""
+    sf, start = tmp_path / "sf", datetime(1997, 1, 1)
+    sf.mkdir()
+    for part in range(12):
+        rows = [(10 * part + i, i % 7 + 1, i % 5, float(i % 4 + 1), 10.0 * i, 0.09 if i % 2 else 0.0,
+                 start + timedelta(days=100 * (i % 12) + part)) for i in range(20)]
+        spark.createDataFrame(
+            rows, "l_orderkey long, l_linenumber int, l_suppkey long, l_quantity double, "
+            "l_extendedprice double, l_discount double, l_shipdate timestamp_ntz").coalesce(
+            1).write.mode("append").parquet(str(sf / "lineitem.parquet"))
+    monkeypatch.setattr(registered, "shared_folder", lambda _, label: str(tmp_path / label))
+    found = registered.stream_annual(spark, str(sf))
+    batch = registered.rounded(
+        dividends.annual_dividends(registered.companies_tape(spark, str(sf))), "annual_dividend")
+    assert sorted(found.collect()) == sorted(batch.select(*found.columns).collect())
+    files = spark.read.parquet(str(tmp_path / "tape-files")).groupBy(F.input_file_name()).count()
+    assert max(r["count"] for r in files.collect()) <= 240 / 8
+    assert sorted(p.name for p in (tmp_path / "stream-tape" / "data").iterdir()) == [
+        f"commit={2 * n}" for n in range(5)]
