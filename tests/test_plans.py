@@ -8,7 +8,7 @@ from golden import SETTINGS, raw_tape, snapshots
 
 from tickerloom import sampledata
 from tickerloom.operators import clean, collector, dividends, membership, prices, returns
-from tickerloom.sources import curated
+from tickerloom.sources import curated, delimited, inventory
 
 S = SETTINGS
 
@@ -93,3 +93,27 @@ def test_numbering_orders_bucket_sizes_only(spark):
     single = [part for part in plan.split("\n") if "SinglePartition" in part]
     assert len(single) == 1
     assert re.search(r"SinglePartition.*\n.*HashAggregate\(keys=\[_bucket", plan)
+
+
+def test_first_lines_are_found_without_a_sort(spark, tmp_path, monkeypatch):
+    """Files of several blocks, and several files in a task."""
+    source = tmp_path / "in"
+    source.mkdir()
+    for name, header, n in (("a", "x,y", 3000), ("b", "y,x", 2), ("c 1", "x,y", 1), ("d", "x,y", 0)):
+        (source / f"{name}.csv").write_text(header + "\n" + "1,2\n" * n)
+    plans, frame = [], type(spark.range(0))
+    collect = frame.collect
+    monkeypatch.setattr(frame, "collect", lambda df: plans.append(plan_of(df)) or collect(df))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    spark.conf.set("spark.sql.files.openCostInBytes", "64")
+    try:
+        found = delimited.files_by_header(spark, str(source))
+        stock = inventory.take_stock(spark, str(source), str(tmp_path / "known"), 0)
+        listed = {r["file"].rsplit("/", 1)[1]: r["header"] for r in stock.collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert [[f.rsplit("/", 1)[1] for f in files] for files in found] == [
+        ["a.csv", "c 1.csv", "d.csv"], ["b.csv"]]
+    assert listed == {"a.csv": "x,y", "b.csv": "y,x", "c%201.csv": "x,y", "d.csv": "x,y"}
+    assert "SortAggregate" not in plans[0]

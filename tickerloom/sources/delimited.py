@@ -15,17 +15,33 @@ CORRUPT = "_corrupt_record"
 TAPE_COLUMNS = ("ticker", "date", "adj_close", "dividends")
 
 
+def first_lines(lines: DataFrame) -> DataFrame:
+    """file and line: the first of the lines that each file has in its first block.
+
+    `min_by` alone would sort all lines by their file. Beside a collected set it is a hash
+    aggregate: a task holds one line for each of its files, and sorts only when it has more
+    of them than `spark.sql.objectHashAggregate.sortBased.fallbackThreshold`.
+    """
+    numbered = lines.select(
+        F.col("_metadata.file_path").alias("file"), "value",
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"))  # grows along a file
+    return (
+        numbered.filter("block = 0")
+        .groupBy("file")
+        .agg(F.min_by("value", "at").alias("line"), F.collect_set("block").alias("blocks"))
+        .filter(F.size("blocks") == 1)  # keeps the set, which else would be left out
+        .drop("blocks")
+    )
+
+
 def files_by_header(spark: SparkSession, path: str | list[str]) -> list[list[str]]:
     """Files under `path` that share their first line, largest group first.
 
     The first block of each file is read for it. The driver holds one path for each
     file, as its own listing of the folder does.
     """
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), "value",
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("at"))  # grows along a file
-    first = lines.filter("block = 0").groupBy("file").agg(F.min_by("value", "at").alias("line"))
+    first = first_lines(spark.read.text(path))
     groups = first.groupBy("line").agg(F.sort_array(F.collect_list("file")).alias("files"))
     found = [[unquote(f) for f in row["files"]] for row in groups.collect()]
     return sorted(found, key=lambda files: (-len(files), files))

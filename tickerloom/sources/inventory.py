@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from tickerloom.functions.names import snake
 from tickerloom.sources import commits
-from tickerloom.sources.delimited import CORRUPT, TAPE_COLUMNS, file_age_rank
+from tickerloom.sources.delimited import CORRUPT, TAPE_COLUMNS, file_age_rank, first_lines
 from tickerloom.sources.workspace import materialise, shared_folder
 
 FILES = ("file string, size long, modified timestamp, source_rank long, header string, "
@@ -64,10 +64,8 @@ def take_stock(spark: SparkSession, folder: str, path: str, n: int,
     if oldest is None:
         return spark.createDataFrame([], FILES)
     lines = spark.read.options(**options).text(folder).filter(
-        (F.col(MODIFIED) >= F.timestamp_micros(F.lit(oldest))) & (F.trim("value") != "")).select(
-        F.col(FILE).alias("file"), F.col("_metadata.file_block_start").alias("block"), "value",
-        F.monotonically_increasing_id().alias("at"))  # grows along a file
-    first = lines.filter("block = 0").groupBy("file").agg(F.min_by("value", "at").alias("header"))
+        (F.col(MODIFIED) >= F.timestamp_micros(F.lit(oldest))) & (F.trim("value") != ""))
+    first = first_lines(lines).withColumnRenamed("line", "header")
     rows = new.join(first, "file", "left").withColumn(
         "state", F.when(F.col("header").isNull(), "empty").otherwise("data"))
     made = f"data/commit={n}/part=files"
